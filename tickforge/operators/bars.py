@@ -122,7 +122,7 @@ def ffill(df: DataFrame, cols: Sequence[str] | None = None, key: str = KEY,
           order: str = ORDER) -> DataFrame:
     """Forward fill: last non-null value up to the current row (one projection)."""
     cols = [c for c in (cols or df.columns) if c not in (key, order)]
-    w = series_window(key, order).rowsBetween(Window.unboundedPreceding, 0)
+    w = running_window(key, order)
     return df.select(*[F.last(F.col(f"`{c}`"), ignorenulls=True).over(w).alias(c)
                        if c in cols else F.col(f"`{c}`") for c in df.columns])
 
@@ -131,14 +131,29 @@ def bfill(df: DataFrame, cols: Sequence[str] | None = None, key: str = KEY,
           order: str = ORDER) -> DataFrame:
     """Backward fill: next non-null value from the current row on.
 
-    Note: uses future rows (the reference's ``fill_initial_nulls``).
+    Written as a running ``last`` over the *descending* order: Spark's
+    current..unbounded-following frame recomputes per row (quadratic), the
+    growing frame is incremental.  Note: uses future rows (the reference's
+    ``fill_initial_nulls``).
     """
     cols = [c for c in (cols or df.columns) if c not in (key, order)]
-    w = series_window(key, order).rowsBetween(0, Window.unboundedFollowing)
-    return df.select(*[F.first(F.col(f"`{c}`"), ignorenulls=True).over(w).alias(c)
+    w = reverse_running_window(key, order)
+    return df.select(*[F.last(F.col(f"`{c}`"), ignorenulls=True).over(w).alias(c)
                        if c in cols else F.col(f"`{c}`") for c in df.columns])
 
 
+def running_window(key: str = KEY, order: str = ORDER):
+    """Unbounded preceding .. current row (incremental frame)."""
+    return series_window(key, order).rowsBetween(Window.unboundedPreceding, 0)
+
+
+def reverse_running_window(key: str = KEY, order: str = ORDER):
+    """Current row .. unbounded following, as a growing frame over the
+    reversed order."""
+    return (Window.partitionBy(key).orderBy(F.col(order).desc())
+            .rowsBetween(Window.unboundedPreceding, 0))
+
+
 # ------------------------------------------------------------------ P9 P10
 
 def dropna_any(df: DataFrame) -> DataFrame:

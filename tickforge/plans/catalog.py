@@ -73,4 +73,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_all() -> None:
     # importing the modules registers their queries
-    from tickforge.plans import q_bars  # noqa: F401
+    from tickforge.plans import q_bars, q_silver  # noqa: F401

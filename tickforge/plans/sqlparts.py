@@ -64,3 +64,26 @@ news AS (
          substring(text, 1, 60) AS title, text AS description,
          [lang, source] AS keywords, doc_id AS id
   FROM documents)"""
+
+
+def proxy_pivot_sql(src: str = "bars", fields=("o", "h", "l", "c", "v", "vw", "n")) -> str:
+    """Wide proxy table by t (conditional aggregation; (ticker, t) is unique)."""
+    from tickforge.sources.fixtures import PROXIES as P
+    cols = ", ".join(f"max(CASE WHEN ticker = '{p}' THEN {f} END) AS {q(p + '_' + f)}"
+                     for p in P for f in fields)
+    return f"SELECT t, {cols} FROM {src} WHERE ticker IN {PROXIES_SQL} GROUP BY t"
+
+
+def proxy_cols(fields=("o", "h", "l", "c", "v", "vw", "n")) -> list[str]:
+    from tickforge.sources.fixtures import PROXIES as P
+    return [f"{p}_{f}" for p in P for f in fields]
+
+
+NEWS_DAILY = NEWS + """,
+news_daily AS (
+  SELECT search_ticker AS ticker,
+         CAST(CAST(substr(published_utc, 1, 10) AS DATE) AS TIMESTAMP) AS t,
+         replace(string_agg(concat_ws(' ', description, coalesce(array_to_string(keywords, ' '), ''), title),
+                            ' ' ORDER BY CAST(replace(published_utc, 'Z', '') AS TIMESTAMP), id),
+                 chr(10), ' ') AS aggregated_text
+  FROM news GROUP BY 1, 2)"""
