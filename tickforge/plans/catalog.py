@@ -42,7 +42,8 @@ def _rnd(x, digits: int):
     # explicit scale-round-unscale, the same IEEE steps the SQL side takes
     # (decimal rounding would split values that sit exactly on a half)
     k = float(2 ** digits)
-    return F.round(x * F.lit(k)) / F.lit(k)
+    r = F.round(x * F.lit(k)) / F.lit(k)
+    return F.when(r == 0, F.lit(0.0)).otherwise(r)  # one zero: -0.0 -> 0.0
 
 
 def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
@@ -73,4 +74,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_all() -> None:
     # importing the modules registers their queries
-    from tickforge.plans import q_bars, q_silver  # noqa: F401
+    from tickforge.plans import q_bars, q_frames, q_silver  # noqa: F401

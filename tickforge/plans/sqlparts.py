@@ -16,7 +16,8 @@ def rounded(inner: str, dbl: list[str], digits: int = 20, order: str | None = No
     if not dbl:
         return inner
     k = f"{2 ** digits}.0"
-    rep = ", ".join(f"round({q(c)} * {k}) / {k} AS {q(c)}" for c in dbl)
+    rep = ", ".join(f"CASE WHEN round({q(c)} * {k}) = 0 THEN 0.0 ELSE round({q(c)} * {k}) / {k} END AS {q(c)}"
+                    for c in dbl)
     return f"SELECT * REPLACE ({rep}) FROM ({inner}) AS rq"
 
 
