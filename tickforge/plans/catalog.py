@@ -74,4 +74,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_all() -> None:
     # importing the modules registers their queries
-    from tickforge.plans import q_bars, q_frames, q_io, q_prep, q_recur, q_silver, q_text  # noqa: F401
+    from tickforge.plans import q_bars, q_frames, q_io, q_learn, q_prep, q_recur, q_silver, q_text  # noqa: F401

@@ -75,3 +75,67 @@ def build_silver(bars: DataFrame, news: DataFrame | None, targets: Sequence[str]
     df = derive(df, lookback)
     df = B.dropna_any(df)
     return B.target_last(df)
+
+
+# --------------------------------------------------------------------- gold
+
+GOLD_DERIVED = ["williams_r", "stoch_k", "roc", "cci", "adx", "atr", "20D-EMA", "50D-EMA",
+                "100D-EMA", "bollinger_mavg", "bollinger_hband", "bollinger_lband", "vwap",
+                "pvwap", "rsi", "rsicat", "dayofweek", "month", "quarter", "MACDs_12_26_9",
+                "MACDh_12_26_9", "DMP_16"]
+
+
+def indicators(series: DataFrame, mode: str = "key", block_rows: int = 4096,
+               key: str = KEY, order: str = ORDER) -> DataFrame:
+    """The 22 technical and calendar columns of the gold table over
+    (key, order, o, h, l, c, v): frame indicators as JVM windows, the
+    recurrences as the affine scan on this narrow frame."""
+    from tickforge.operators import frames as FR
+    from tickforge.operators import recurrence as R
+    narrow = series.select(key, order, "o", "h", "l", "c", "v")
+    df = FR.add_frame_indicators(narrow, key, order)
+    df = R.add_technical_recurrences(df, key, order, mode=mode, block_rows=block_rows)
+    df = df.withColumn("rsicat", FR.rsi_category("rsi"))
+    return df.select(key, order, *[F.col(f"`{c}`") for c in GOLD_DERIVED])
+
+
+def warmup_fill(df: DataFrame, cols, mode: str = "bfill", key: str = KEY, order: str = ORDER) -> DataFrame:
+    """Warm-up handling of derived columns (W7): NaN -> null, then either the
+    reference's backward fill (uses later values) or leave nulls."""
+    from tickforge.functions import nan_to_null
+    cols = set(cols)
+    df = df.select(*[nan_to_null(F.col(f"`{c}`")).alias(c) if c in cols else F.col(f"`{c}`")
+                     for c in df.columns])
+    if mode == "null":
+        return df
+    return B.bfill(df, list(cols), key, order)
+
+
+def build_gold(silver: DataFrame, warmup: str = "bfill", embed: bool = True, mode: str = "key",
+               block_rows: int = 4096, embedding_size: int = 100, min_count: int = 0,
+               seed: int = 42, w2v_partitions: int = 1, scope: str = "global") -> DataFrame:
+    """Gold table: silver + 22 derived columns (warm-up filled) + the daily
+    text embedding; ``aggregated_text`` dropped, ``target`` last.
+
+    Indicators are computed on the silver rows (after its dropna), so every
+    recurrence is seeded at the first silver row of each ticker (Q22).
+    ``scope='global'`` fits one Word2Vec over every ticker (one distributed
+    fit); ``'per_ticker'`` fits one per ticker, as the reference.
+    """
+    from tickforge.operators import text as X
+    ind = warmup_fill(indicators(silver, mode, block_rows), GOLD_DERIVED, warmup)
+    df = silver.join(ind, on=[KEY, ORDER], how="inner")
+    if embed:
+        if scope == "per_ticker":
+            tickers = [r[0] for r in silver.select(KEY).distinct().collect()]
+            parts = [X.embed_text(df.filter(F.col(KEY) == tk), size=embedding_size, min_count=min_count,
+                                  seed=seed, partitions=w2v_partitions) for tk in sorted(tickers)]
+            out = parts[0]
+            for p in parts[1:]:
+                out = out.unionByName(p)
+            df = out
+        else:
+            df = X.embed_text(df, size=embedding_size, min_count=min_count, seed=seed,
+                              partitions=w2v_partitions)
+    df = df.drop("aggregated_text")
+    return B.target_last(df)
