@@ -336,10 +336,19 @@ def add_technical_recurrences(df: DataFrame, key: str = KEY, order: str = ORDER,
                               ema_windows: Sequence[int] = (20, 50, 100),
                               rsi_window: int = 14, atr_window: int = 14, adx_window: int = 14,
                               macd=(12, 26, 9)) -> DataFrame:
-    """EMAs, RSI, ATR, ADX with +DI (``DMP_16``), MACD signal and histogram, in
-    two scan rounds (T5-T9, T15, T20-T22).  Needs columns h, l, c."""
+    """EMAs, RSI, ATR, ADX with +DI (``DMP_16``), MACD signal and histogram
+    (T5-T9, T15, T20-T22).  Needs columns h, l, c.
+
+    Per-row inputs (previous bar, gains, true range, directional movement,
+    seeds) are window expressions.  Key mode then runs both scan rounds
+    (the second depends on the first: MACD signal, ADX) in one pandas pass
+    per ticker, so the plan has a single exchange on the key.  Blocks mode
+    runs each round as a block-parallel scan.
+    """
     fast, slow, sig = macd
     n, na = atr_window, adx_window
+    emas = sorted(set(ema_windows) | {fast, slow})
+    df0 = df
     df, rn = _numbered(df, key, order, mode)
     df = prev_values(df, {"c": "_pc", "h": "_ph", "l": "_pl"}, 1, key, order, rn, mode)
     up = F.col("h") - F.col("_ph")
@@ -352,14 +361,16 @@ def add_technical_recurrences(df: DataFrame, key: str = KEY, order: str = ORDER,
     df = head_means(df, {"_tr_seed": ("_tr", 0, n - 1), "_tr_s1": ("_tr", 1, na),
                          "_pdm_s1": ("_pdm", 1, na), "_mdm_s1": ("_mdm", 1, na)},
                     key, order, rn, mode)
-    specs = {f"_ema{w}": _ema_spec("c", ema_alpha(w), rn) for w in sorted(set(ema_windows) | {fast, slow})}
+    specs = {f"_ema{w}": _ema_spec("c", ema_alpha(w), rn) for w in emas}
     specs["_up"] = _ema_spec("_gain", 1.0 / rsi_window, rn)
     specs["_dn"] = _ema_spec("_loss", 1.0 / rsi_window, rn)
     specs["_atr"] = _seeded_spec("_tr", 1.0 / n, n - 1, "_tr_seed", rn)
     for c in ("_tr", "_pdm", "_mdm"):
         specs[f"{c}_w"] = _seeded_spec(c, 1.0 / na, na, f"{c}_s1", rn)
-    df = affine_scan(df, specs, key, order, mode, block_rows, rn)
+    if mode == "key":
+        return _tech_by_key(df, df0.columns, specs, key, order, rn, ema_windows, rsi_window, na, macd)
 
+    df = affine_scan(df, specs, key, order, mode, block_rows, rn)
     pdi = F.lit(100.0) * F.try_divide(F.col("_pdm_w"), F.col("_tr_w"))
     mdi = F.lit(100.0) * F.try_divide(F.col("_mdm_w"), F.col("_tr_w"))
     df = df.select("*", pdi.alias("_pdi"), mdi.alias("_mdi"),
@@ -379,5 +390,91 @@ def add_technical_recurrences(df: DataFrame, key: str = KEY, order: str = ORDER,
     out["MACDs_12_26_9"] = F.when(sig_ok, F.col("_sig"))
     out["MACDh_12_26_9"] = F.when(sig_ok, F.col("_macd") - F.col("_sig"))
     out["DMP_16"] = F.col("_pdi")
-    keep = [c for c in df.columns if not c.startswith("_") and c not in out]
+    keep = [c for c in df0.columns if c not in out]
     return df.select(*[F.col(f"`{c}`") for c in keep], *[v.alias(k) for k, v in out.items()])
+
+
+def _div(a, b):
+    """try_divide on Python floats (None for a null operand or a zero divisor)."""
+    if a is None or b is None or b == 0.0:
+        return None
+    return a / b
+
+
+def _tech_by_key(df, cols, specs, key, order, rn, ema_windows, rsi_window, na, macd):
+    """Both scan rounds in one pandas pass per key; the arithmetic is the
+    same, in the same order, as the block-mode column expressions."""
+    fast, slow, sig = macd
+    names = list(specs)
+    tmp = []
+    for i, nm in enumerate(names):
+        a, b = specs[nm]
+        tmp += [a.cast("double").alias(f"_a{i}"), b.cast("double").alias(f"_b{i}")]
+    wide = df.select(*[F.col(f"`{c}`") for c in cols], F.col(rn), *tmp)
+    keep = [c for c in cols if c not in TECH_OUT]
+    out_fields = [df.schema[c] for c in keep] + [T.StructField(c, T.DoubleType()) for c in TECH_OUT]
+    a_sig, a_na = ema_alpha(sig), 1.0 / na
+
+    def nn(v):
+        return None if v != v else v
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order, kind="mergesort")
+        r = dict(zip(names, (_scan(_cols(pdf, f"_a{i}"), _cols(pdf, f"_b{i}"), 0.0)
+                             for i in range(len(names)))))
+        rows = pdf[rn].astype("int64").tolist()
+        m = len(rows)
+        ef, es = r[f"_ema{fast}"], r[f"_ema{slow}"]
+        trw, pdmw, mdmw = (list(map(nn, r[c])) for c in ("_tr_w", "_pdm_w", "_mdm_w"))
+        pdi, mdi, dx, mac = [None] * m, [None] * m, [None] * m, [None] * m
+        for i in range(m):
+            q = _div(pdmw[i], trw[i])
+            pdi[i] = None if q is None else 100.0 * q
+            q = _div(mdmw[i], trw[i])
+            mdi[i] = None if q is None else 100.0 * q
+            if pdi[i] is not None and mdi[i] is not None:
+                q = _div(abs(pdi[i] - mdi[i]), pdi[i] + mdi[i])
+                dx[i] = None if q is None else 100.0 * q
+            if rows[i] >= slow - 1:
+                mac[i] = ef[i] - es[i]
+        # ADX seed: mean of DX over rows na .. 2na-1 (all rows present)
+        lo, hi = na, 2 * na - 1
+        dseed = None
+        if m > hi:
+            vals = [dx[i] for i in range(lo, hi + 1) if dx[i] is not None]
+            if vals:
+                acc = 0.0
+                for v in vals:
+                    acc += v
+                dseed = acc / len(vals)
+        a2, b2, a3, b3 = [], [], [], []
+        for i in range(m):
+            k = rows[i]
+            a2.append(0.0 if k <= hi else 1.0 - a_na)
+            b2.append(float("nan") if k < hi else (
+                (float("nan") if dseed is None else dseed) if k == hi else
+                (float("nan") if dx[i] is None else a_na * dx[i])))
+            a3.append(0.0 if k <= slow - 1 else 1.0 - a_sig)
+            b3.append(float("nan") if k < slow - 1 or mac[i] is None else (
+                mac[i] if k == slow - 1 else a_sig * mac[i]))
+        adx = _scan(a2, b2, 0.0)
+        sg = _scan(a3, b3, 0.0)
+        out = pdf[keep].copy()
+        cols_out = {"adx": [nn(v) for v in adx], "atr": [nn(v) for v in r["_atr"]]}
+        for w in ema_windows:
+            e = r[f"_ema{w}"]
+            cols_out[f"{w}D-EMA"] = [nn(e[i]) if rows[i] >= w - 1 else None for i in range(m)]
+        upv, dnv = r["_up"], r["_dn"]
+        cols_out["rsi"] = [None if rows[i] < rsi_window - 1 else
+                           (100.0 if dnv[i] == 0 else 100.0 - 100.0 / (1.0 + upv[i] / dnv[i]))
+                           for i in range(m)]
+        ok = [rows[i] >= slow + sig - 2 for i in range(m)]
+        cols_out["MACDs_12_26_9"] = [nn(sg[i]) if ok[i] else None for i in range(m)]
+        cols_out["MACDh_12_26_9"] = [nn(mac[i] - sg[i]) if ok[i] and mac[i] is not None else None
+                                     for i in range(m)]
+        cols_out["DMP_16"] = pdi
+        for c in TECH_OUT:
+            out[c] = pd.Series(cols_out[c], index=pdf.index, dtype="object")
+        return out
+
+    return wide.groupBy(key).applyInPandas(run, T.StructType(out_fields))

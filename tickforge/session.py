@@ -29,7 +29,7 @@ def get_session(master: str | None = None, app: str = "tickforge",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    b = b.config("spark.ui.enabled", "false")
+    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in _REQUIRED.items():
         b = b.config(k, v)
     if shuffle_partitions:
