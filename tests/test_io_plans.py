@@ -83,3 +83,25 @@ def test_key_mode_recurrences_add_no_exchange(spark):
     # one exchange for the dedup and one for the per-ticker windows; the
     # pandas scans and later windows reuse the ticker partitioning
     assert plan.count("Exchange hashpartitioning(ticker") <= 2
+
+
+def test_streaming_landing_appends_exactly_once(spark):
+    from tickforge.streaming.landing import land_bar_pages
+    base = tempfile.mkdtemp(prefix="stream-")
+    landing, table, ckpt = (os.path.join(base, x) for x in ("landing", "table", "ckpt"))
+    os.makedirs(landing)
+
+    def page(name, ticker, ts):
+        with open(os.path.join(landing, name), "w") as f:
+            f.write(json.dumps({"ticker": ticker, "results": [
+                {"t": t, "o": 1, "h": 2, "l": 0.5, "c": 1.5, "v": 10} for t in ts]}) + "\n")
+
+    page("a.json", "AAA", [0, 86_400_000])
+    land_bar_pages(spark, landing, table, ckpt).awaitTermination()
+    page("b.json", "AAA", [2 * 86_400_000])
+    page("c.json", "BBB", [0])
+    land_bar_pages(spark, landing, table, ckpt).awaitTermination()
+    land_bar_pages(spark, landing, table, ckpt).awaitTermination()   # nothing new: no duplicates
+    got = spark.read.parquet(table)
+    assert got.count() == 4
+    assert got.filter(F.col("ticker") == "AAA").count() == 3

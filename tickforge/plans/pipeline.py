@@ -139,3 +139,21 @@ def build_gold(silver: DataFrame, warmup: str = "bfill", embed: bool = True, mod
                               partitions=w2v_partitions)
     df = df.drop("aggregated_text")
     return B.target_last(df)
+
+
+def run_layers(bars: DataFrame, news: DataFrame | None, out_dir: str, targets: Sequence[str],
+               proxies: Sequence[str], **gold_args) -> dict[str, str]:
+    """bronze -> silver -> gold as written tables.
+
+    Silver is written once, partitioned by ticker and sorted by t, and gold is
+    built from that table (gold branches over silver several times, so it is
+    materialised instead of recomputed).  Rewriting a subset of tickers only
+    replaces their partitions.
+    """
+    from tickforge.sources.tables import read_table, write_table
+    spark = bars.sparkSession
+    silver_path, gold_path = f"{out_dir.rstrip('/')}/silver", f"{out_dir.rstrip('/')}/gold"
+    write_table(build_silver(bars, news, targets, proxies), silver_path, KEY, ORDER)
+    silver = read_table(spark, silver_path, targets)
+    write_table(build_gold(silver, **gold_args), gold_path, KEY, ORDER)
+    return {"silver": silver_path, "gold": gold_path}

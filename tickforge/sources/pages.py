@@ -49,7 +49,11 @@ def read_bar_pages(spark: SparkSession, path: str, ticker: str | None = None) ->
     The ticker comes from the page's ``ticker`` field, else from the file
     path, else the ``ticker`` argument.  Missing ``vw`` / ``n`` become 0.
     """
-    pages = spark.read.schema(BAR_PAGE).json(path)
+    return flatten_bar_pages(spark.read.schema(BAR_PAGE).json(path), ticker)
+
+
+def flatten_bar_pages(pages: DataFrame, ticker: str | None = None) -> DataFrame:
+    """Page rows -> bar rows; works on batch and streaming frames alike."""
     tk = F.coalesce(F.col("ticker"), F.when(_ticker_from_path() != "", _ticker_from_path()),
                     F.lit(ticker))
     rows = pages.select(tk.alias("ticker"), F.explode("results").alias("r"))
