@@ -136,3 +136,49 @@ def test_row_numbers_dense_per_key(spark):
         F.min("rn").alias("lo"), F.max("rn").alias("hi"), F.countDistinct("rn").alias("d")).collect()
     for r in out:
         assert (r["lo"], r["hi"], r["d"]) == (0, 99, 100)
+
+
+def _same(a, b, cols):
+    assert a.keys() == b.keys()
+    for k in a:
+        for c in cols:
+            x, y = a[k][c], b[k][c]
+            assert (x is None) == (y is None), (k, c)
+            if isinstance(x, float):
+                assert x == pytest.approx(y, rel=1e-9, abs=1e-9), (k, c)
+            else:
+                assert x == y, (k, c)
+
+
+@pytest.mark.parametrize("block_rows", [19, 50])
+def test_blocks_mode_indicators_equal_key_mode(spark, block_rows):
+    from conftest import SF0001
+    from tickforge.plans import pipeline as PL
+    from tickforge.sources import fixtures as FX
+    bars = FX.daily_bars(spark, SF0001).filter(F.col("ticker").isin("Brand#1", "Brand#7"))
+    a = {(r["ticker"], r["t"]): r for r in
+         PL.warmup_fill(PL.indicators(bars), PL.GOLD_DERIVED).collect()}
+    ind = PL.indicators(bars, mode="blocks", block_rows=block_rows, keep_rn=True)
+    b = {(r["ticker"], r["t"]): r for r in
+         PL.warmup_fill(ind, PL.GOLD_DERIVED, rn="_rn", block_rows=block_rows).collect()}
+    _same(a, b, PL.GOLD_DERIVED)
+
+
+def test_blocks_mode_silver_equals_key_mode(spark):
+    from conftest import SF0001
+    from tickforge.plans import pipeline as PL
+    from tickforge.sources import fixtures as FX
+    bars = FX.daily_bars(spark, SF0001)
+    news = FX.news_articles(spark, SF0001)
+    k = PL.build_silver(bars, news, FX.TARGETS, FX.PROXIES)
+    b = PL.build_silver(bars, news, FX.TARGETS, FX.PROXIES, mode="blocks", block_rows=40)
+    assert k.columns == b.columns
+    _same({(r["ticker"], r["t"]): r for r in k.collect()},
+          {(r["ticker"], r["t"]): r for r in b.collect()}, k.columns)
+
+
+def test_halo_larger_than_block_is_rejected(spark):
+    from tickforge.operators.blocks import with_halo
+    df = spark.createDataFrame([(1, 0)], "x int, rn long")
+    with pytest.raises(ValueError):
+        with_halo(df, "rn", 10, back=19)

@@ -335,9 +335,10 @@ def add_technical_recurrences(df: DataFrame, key: str = KEY, order: str = ORDER,
                               mode: str = "key", block_rows: int = 4096,
                               ema_windows: Sequence[int] = (20, 50, 100),
                               rsi_window: int = 14, atr_window: int = 14, adx_window: int = 14,
-                              macd=(12, 26, 9)) -> DataFrame:
+                              macd=(12, 26, 9), rn: str | None = None) -> DataFrame:
     """EMAs, RSI, ATR, ADX with +DI (``DMP_16``), MACD signal and histogram
-    (T5-T9, T15, T20-T22).  Needs columns h, l, c.
+    (T5-T9, T15, T20-T22).  Needs columns h, l, c; in blocks mode ``rn`` may
+    name an existing dense row number (else rows are numbered here).
 
     Per-row inputs (previous bar, gains, true range, directional movement,
     seeds) are window expressions.  Key mode then runs both scan rounds
@@ -348,8 +349,9 @@ def add_technical_recurrences(df: DataFrame, key: str = KEY, order: str = ORDER,
     fast, slow, sig = macd
     n, na = atr_window, adx_window
     emas = sorted(set(ema_windows) | {fast, slow})
-    df0 = df
-    df, rn = _numbered(df, key, order, mode)
+    df0 = df   # an external row number (blocks mode) is kept in the output
+    if rn is None or mode == "key":
+        df, rn = _numbered(df, key, order, mode)
     df = prev_values(df, {"c": "_pc", "h": "_ph", "l": "_pl"}, 1, key, order, rn, mode)
     up = F.col("h") - F.col("_ph")
     dn = F.col("_pl") - F.col("l")

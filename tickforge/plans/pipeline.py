@@ -47,32 +47,67 @@ def align(bars: DataFrame, targets: Sequence[str], proxies: Sequence[str]) -> Da
     return fill_both(joined, B.proxy_columns(proxies))
 
 
-def derive(df: DataFrame, lookback: int = 5, cols: Sequence[str] = ("vw", "n")) -> DataFrame:
-    """target / next_c, class flags, lags and rolling statistics."""
-    df = B.add_targets(df)
-    df = B.add_class_flags(df)
-    df = B.add_lags(df, cols, lookback)
-    return B.add_rolling_stats(df, cols, lookback)
+def derive(df: DataFrame, lookback: int = 5, cols: Sequence[str] = ("vw", "n"),
+           rn: str | None = None, block_rows: int = 4096) -> DataFrame:
+    """target / next_c, class flags, lags and rolling statistics.  With a
+    dense row number ``rn`` the windows run per (key, block) with a halo of
+    ``lookback`` rows back and one row ahead."""
+    if rn is None:
+        df = B.add_targets(df)
+        df = B.add_class_flags(df)
+        df = B.add_lags(df, cols, lookback)
+        return B.add_rolling_stats(df, cols, lookback)
+    from tickforge.operators import blocks as BK
+    h = BK.with_halo(df, rn, block_rows, back=lookback, fwd=1)
+    w = BK.block_window(KEY, rn)
+    rw = w.rowsBetween(-lookback, -1)
+    out = [F.lead(F.col("c") - F.col("o")).over(w).alias("target"), F.lead("c").over(w).alias("next_c")]
+    out += [F.lag(c, i).over(w).alias(f"{c}_lag_{i}") for c in cols for i in range(1, lookback + 1)]
+    for c in cols:
+        out += [F.avg(c).over(rw).alias(f"{c}_rolling_mean"), F.stddev_samp(c).over(rw).alias(f"{c}_rolling_std")]
+    h = BK.drop_halo(h.select("*", *out))
+    h = B.add_class_flags(h)
+    first = ["target", "next_c", "target_class", "c_class"]
+    rest = [f"{c}_lag_{i}" for c in cols for i in range(1, lookback + 1)] + \
+        [f"{c}_rolling_{s}" for c in cols for s in ("mean", "std")]
+    base = [c for c in h.columns if c not in first + rest]
+    return h.select(*[F.col(f"`{c}`") for c in base + first + rest])
 
 
 def build_silver(bars: DataFrame, news: DataFrame | None, targets: Sequence[str],
                  proxies: Sequence[str], lookback: int = 5,
-                 check_proxies: bool = False) -> DataFrame:
+                 check_proxies: bool = False, mode: str = "key",
+                 block_rows: int = 4096) -> DataFrame:
     """Silver table for every target ticker at once.
 
     bars: (ticker, t, o, h, l, c, v, vw, n) with ``t`` a day timestamp.
     news: bronze news rows (search_ticker, published_utc, title,
     description, keywords, id) or None.
+    ``mode='blocks'``: no per-ticker window; rows are numbered per ticker,
+    fills take block carries and the lead / lag / rolling windows run per
+    (ticker, block) with a halo (``operators.blocks``).
     """
     if check_proxies:
         check_proxies_present(bars, proxies)
-    df = align(bars, targets, proxies)
+    rn = None
+    if mode == "key":
+        df = align(bars, targets, proxies)
+    else:
+        from tickforge.operators import blocks as BK
+        from tickforge.operators.recurrence import _numbered
+        joined = B.attach_proxies(bars, targets, proxies)
+        df, rn = _numbered(joined, KEY, ORDER, "blocks")
+        pc = B.proxy_columns(proxies)
+        df = BK.fill_blocks(df, pc, KEY, rn, block_rows, "forward")
+        df = BK.fill_blocks(df, pc, KEY, rn, block_rows, "backward")
     if news is not None:
         nd = daily_text(news.filter(F.col("search_ticker").isin(list(targets))))
         df = attach_news(df, nd)
     else:
         df = df.withColumn("aggregated_text", F.lit(" "))
-    df = derive(df, lookback)
+    df = derive(df, lookback, rn=rn, block_rows=block_rows)
+    if rn is not None:
+        df = df.drop(rn)
     df = B.dropna_any(df)
     return B.target_last(df)
 
@@ -86,29 +121,41 @@ GOLD_DERIVED = ["williams_r", "stoch_k", "roc", "cci", "adx", "atr", "20D-EMA",
 
 
 def indicators(series: DataFrame, mode: str = "key", block_rows: int = 4096,
-               key: str = KEY, order: str = ORDER) -> DataFrame:
+               key: str = KEY, order: str = ORDER, keep_rn: bool = False) -> DataFrame:
     """The 22 technical and calendar columns of the gold table over
     (key, order, o, h, l, c, v): frame indicators as JVM windows, the
     recurrences as the affine scan on this narrow frame."""
     from tickforge.operators import frames as FR
     from tickforge.operators import recurrence as R
     narrow = series.select(key, order, "o", "h", "l", "c", "v")
-    df = FR.add_frame_indicators(narrow, key, order)
-    df = R.add_technical_recurrences(df, key, order, mode=mode, block_rows=block_rows)
+    if mode == "key":
+        df = FR.add_frame_indicators(narrow, key, order)
+        df = R.add_technical_recurrences(df, key, order, mode=mode)
+    else:
+        num, rn = R._numbered(narrow, key, order, "blocks")
+        df = FR.add_frame_indicators(num, key, order, "blocks", rn, block_rows)
+        df = R.add_technical_recurrences(df, key, order, mode="blocks", block_rows=block_rows, rn=rn)
     df = df.withColumn("rsicat", FR.rsi_category("rsi"))
-    return df.select(key, order, *[F.col(f"`{c}`") for c in GOLD_DERIVED])
+    extra = ["_rn"] if keep_rn and mode != "key" else []
+    return df.select(key, order, *extra, *[F.col(f"`{c}`") for c in GOLD_DERIVED])
 
 
-def warmup_fill(df: DataFrame, cols, mode: str = "bfill", key: str = KEY, order: str = ORDER) -> DataFrame:
+def warmup_fill(df: DataFrame, cols, mode: str = "bfill", key: str = KEY, order: str = ORDER,
+                rn: str | None = None, block_rows: int = 4096) -> DataFrame:
     """Warm-up handling of derived columns (W7): NaN -> null, then either the
-    reference's backward fill (uses later values) or leave nulls."""
+    reference's backward fill (uses later values) or leave nulls.  With a
+    dense row number ``rn`` the fill runs block-parallel (block carries)."""
     from tickforge.functions import nan_to_null
-    cols = set(cols)
-    df = df.select(*[nan_to_null(F.col(f"`{c}`")).alias(c) if c in cols else F.col(f"`{c}`")
+    cols = list(cols)
+    cs = set(cols)
+    df = df.select(*[nan_to_null(F.col(f"`{c}`")).alias(c) if c in cs else F.col(f"`{c}`")
                      for c in df.columns])
     if mode == "null":
         return df
-    return B.bfill(df, list(cols), key, order)
+    if rn is not None:
+        from tickforge.operators.blocks import fill_blocks
+        return fill_blocks(df, cols, key, rn, block_rows, "backward")
+    return B.bfill(df, cols, key, order)
 
 
 def build_gold(silver: DataFrame, warmup: str = "bfill", embed: bool = True, mode: str = "key",
@@ -123,7 +170,11 @@ def build_gold(silver: DataFrame, warmup: str = "bfill", embed: bool = True, mod
     fit); ``'per_ticker'`` fits one per ticker, as the reference.
     """
     from tickforge.operators import text as X
-    ind = warmup_fill(indicators(silver, mode, block_rows), GOLD_DERIVED, warmup)
+    if mode == "key":
+        ind = warmup_fill(indicators(silver, mode, block_rows), GOLD_DERIVED, warmup)
+    else:
+        ind = warmup_fill(indicators(silver, mode, block_rows, keep_rn=True), GOLD_DERIVED, warmup,
+                          rn="_rn", block_rows=block_rows).drop("_rn")
     df = silver.join(ind, on=[KEY, ORDER], how="inner")
     if embed:
         if scope == "per_ticker":

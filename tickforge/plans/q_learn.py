@@ -59,6 +59,19 @@ def warmup_filled(spark, sf_dir):
     return round_doubles(PL.warmup_fill(ind, PL.GOLD_DERIVED, "bfill"))
 
 
+@register("warmup_filled_long_series", rounded(
+    f"WITH RECURSIVE {IND_SQL} SELECT ticker, t, "
+    + ", ".join(f"last_value({q(c)} IGNORE NULLS) {REV} AS {q(c)}" for c in PL.GOLD_DERIVED)
+    + " FROM ind", PL.GOLD_DERIVED))
+def warmup_filled_long_series(spark, sf_dir):
+    """All 22 derived columns plus the warm-up fill in the block-parallel mode
+    (200-row blocks: halo frames, block carries for VWAP and the fill, block
+    scans for the recurrences); equals ``warmup_filled``."""
+    ind = PL.indicators(FX.daily_bars(spark, sf_dir), mode="blocks", block_rows=200, keep_rn=True)
+    out = PL.warmup_fill(ind, PL.GOLD_DERIVED, "bfill", rn="_rn", block_rows=200).drop("_rn")
+    return round_doubles(out)
+
+
 def _silver(spark, sf_dir):
     bars = FX.daily_bars(spark, sf_dir)
     return PL.build_silver(bars, FX.news_articles(spark, sf_dir), FX.TARGETS, FX.PROXIES)

@@ -109,3 +109,15 @@ def silver(spark, sf_dir):
     bars = FX.daily_bars(spark, sf_dir)
     return round_doubles(PL.build_silver(bars, FX.news_articles(spark, sf_dir),
                                          FX.TARGETS, FX.PROXIES))
+
+
+@register("silver_long_series", rounded(
+    f"WITH {SILVER_SQL} SELECT {', '.join(q(c) for c in SILVER_COLS)} FROM silver WHERE {SILVER_WHERE}",
+    SILVER_DBL))
+def silver_long_series(spark, sf_dir):
+    """Silver with no per-ticker window: block carries for the fills and
+    (ticker, block) windows with a halo for lead / lags / rolling (300-row
+    blocks); equals ``silver``."""
+    bars = FX.daily_bars(spark, sf_dir)
+    return round_doubles(PL.build_silver(bars, FX.news_articles(spark, sf_dir), FX.TARGETS, FX.PROXIES,
+                                         mode="blocks", block_rows=300))
