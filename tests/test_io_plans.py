@@ -105,3 +105,16 @@ def test_streaming_landing_appends_exactly_once(spark):
     got = spark.read.parquet(table)
     assert got.count() == 4
     assert got.filter(F.col("ticker") == "AAA").count() == 3
+
+
+def test_prefix_scan_merges_schemas(spark):
+    from tickforge.sources.tables import read_prefix
+    base = tempfile.mkdtemp(prefix="prefix-")
+    a = spark.createDataFrame([("A", 1.0)], "ticker string, c double")
+    b = spark.createDataFrame([("B", 2.0, 5)], "ticker string, c double, n int")   # a column added later
+    write_table(a, os.path.join(base, "t"), "ticker", None, mode="append")
+    write_table(b, os.path.join(base, "t"), "ticker", None, mode="append")
+    df = read_prefix(spark, os.path.join(base, "t"))
+    assert set(df.columns) == {"ticker", "c", "n"}
+    rows = {r["ticker"]: r for r in df.collect()}
+    assert rows["A"]["n"] is None and rows["B"]["n"] == 5
