@@ -119,3 +119,23 @@ def test_business_days_skip_weekend_and_holiday(spark):
     got = [r["t"].date().isoformat() for r in
            FC.next_business_days(last, 3, FC.holiday_table(spark)).orderBy("step").collect()]
     assert got == ["2001-11-23", "2001-11-26", "2001-11-27"]   # 22nd is a holiday, 24-25 weekend
+
+
+def test_input_order_irrelevant(spark):
+    bars = FX.daily_bars(spark, SF0001).filter(F.col("ticker").isin("Brand#1", "Brand#2"))
+    shuffled = bars.repartition(7, F.rand(5)).sortWithinPartitions(F.rand(9))
+    a = sorted(PL.indicators(bars).collect())
+    b = sorted(PL.indicators(shuffled).collect())
+    assert len(a) == len(b)
+    for x, y in zip(a, b):
+        for c in PL.GOLD_DERIVED:
+            assert x[c] == y[c] or (x[c] is not None and x[c] == pytest.approx(y[c], rel=1e-12))
+
+
+def test_adding_a_ticker_changes_no_other_series(spark):
+    bars = FX.daily_bars(spark, SF0001)
+    one = bars.filter(F.col("ticker") == "Brand#3")
+    both = bars.filter(F.col("ticker").isin("Brand#3", "Brand#9"))
+    a = {r["t"]: r for r in PL.indicators(one).collect()}
+    b = {r["t"]: r for r in PL.indicators(both).filter(F.col("ticker") == "Brand#3").collect()}
+    assert a == b

@@ -37,7 +37,7 @@ BRONZE_BARS = T.StructType([T.StructField("ticker", T.StringType())] + list(BAR_
 
 def _ticker_from_path() -> F.Column:
     # .../ticker=XYZ/... or .../XYZ.json
-    p = F.input_file_name()
+    p = F.col("_metadata.file_path")
     part = F.regexp_extract(p, r"ticker=([^/]+)", 1)
     base = F.regexp_extract(p, r"([^/]+)\.json[^/]*$", 1)
     return F.when(part != "", part).otherwise(base)
