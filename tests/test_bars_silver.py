@@ -71,3 +71,17 @@ def test_silver_shape(spark):
     n = s.count()
     assert n > 0
     assert s.dropna().count() == n
+
+
+def test_daily_text_order_and_nulls(spark):
+    from tickforge.operators.news import daily_text
+    rows = [("X", "2020-01-02T15:00:00Z", "late", "second\nline", ["k1", None], 2),
+            ("X", "2020-01-02T09:00:00Z", "early", None, None, 7),
+            ("X", "2020-01-03T09:00:00Z", None, None, None, 1)]
+    news = spark.createDataFrame(rows, "search_ticker string, published_utc string, title string, "
+                                       "description string, keywords array<string>, id long")
+    got = {r["t"].day: r["aggregated_text"] for r in daily_text(news).collect()}
+    # earlier article first; null fields and null keywords skipped (a null keyword
+    # list joins to ''), newline -> space
+    assert got[2] == " early second line k1 late"
+    assert got[3] == ""

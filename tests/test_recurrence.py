@@ -182,3 +182,61 @@ def test_halo_larger_than_block_is_rejected(spark):
     df = spark.createDataFrame([(1, 0)], "x int, rn long")
     with pytest.raises(ValueError):
         with_halo(df, "rn", 10, back=19)
+
+
+def _wilder_py(h, l, c, n=14):
+    """Plain-Python textbook Wilder ATR / +DI / ADX, the definitions the
+    operators implement (seeds: mean of the first n values)."""
+    m = len(c)
+    tr = [h[0] - l[0]] + [max(h[i] - l[i], abs(h[i] - c[i - 1]), abs(l[i] - c[i - 1])) for i in range(1, m)]
+    pdm, mdm = [0.0], [0.0]
+    for i in range(1, m):
+        up, dn = h[i] - h[i - 1], l[i - 1] - l[i]
+        pdm.append(up if up > dn and up > 0 else 0.0)
+        mdm.append(dn if dn > up and dn > 0 else 0.0)
+    a = 1.0 / n
+
+    def smooth(x, seed_row, lo):
+        out = [None] * m
+        if m > seed_row:
+            out[seed_row] = sum(x[lo:seed_row + 1]) / (seed_row + 1 - lo)
+            for i in range(seed_row + 1, m):
+                out[i] = (1 - a) * out[i - 1] + a * x[i]
+        return out
+
+    atr = smooth(tr, n - 1, 0)
+    trw, pw, mw = smooth(tr, n, 1), smooth(pdm, n, 1), smooth(mdm, n, 1)
+    pdi = [None if t is None or t == 0 else 100 * p / t for p, t in zip(pw, trw)]
+    mdi = [None if t is None or t == 0 else 100 * q / t for q, t in zip(mw, trw)]
+    dx = [None if p is None or q is None or p + q == 0 else 100 * abs(p - q) / (p + q) for p, q in zip(pdi, mdi)]
+    adx = [None] * m
+    if m > 2 * n - 1 and all(d is not None for d in dx[n:2 * n]):
+        adx[2 * n - 1] = sum(dx[n:2 * n]) / n
+        for i in range(2 * n, m):
+            adx[i] = (1 - a) * adx[i - 1] + a * dx[i]
+    return atr, pdi, adx
+
+
+def test_atr_adx_hand_worked(spark):
+    rnd = random.Random(11)
+    c, h, l = [], [], []
+    px = 100.0
+    for _ in range(45):
+        px += rnd.uniform(-2, 2)
+        lo, hi = px - rnd.uniform(0, 1.5), px + rnd.uniform(0, 1.5)
+        c.append(px), h.append(hi), l.append(lo)
+    df = bars_df(spark, [(i, c[i], h[i], l[i], c[i]) for i in range(45)])
+    out = R.add_technical_recurrences(df).orderBy("t").collect()
+    atr, pdi, adx = _wilder_py(h, l, c)
+    for r, x, p, d in zip(out, atr, pdi, adx):
+        for got, exp in ((r["atr"], x), (r["DMP_16"], p), (r["adx"], d)):
+            assert (got is None) == (exp is None)
+            if exp is not None:
+                assert got == pytest.approx(exp, rel=1e-9)
+
+
+def test_window_minus_one_rows(spark):
+    df = bars_df(spark, [(i, 1 + i, 2 + i, i, 1 + i) for i in range(13)])
+    assert all(r["rsi"] is None for r in R.add_rsi(df).collect())
+    df19 = bars_df(spark, [(i, 1, 1, 1, 1 + i) for i in range(19)])
+    assert all(r["20D-EMA"] is None for r in R.add_ema(df19).collect())
