@@ -121,21 +121,25 @@ def test_affine_scan_block_property(spark, ab, m):
     for a, b in ab:
         y = b if a == 0.0 else a * y + b
         seq.append(y)
-    numbered = R.with_row_numbers(df, col="rn", span=86400.0 * 3)
+    numbered = R.with_row_numbers(df, col="rn", method="buckets", span=86400.0 * 3)
     out = R.affine_scan(numbered, {"y": ("a", "b")}, mode="blocks", block_rows=m, rn="rn")
     got = [r["y"] for r in out.orderBy("t").collect()]
     for g, e in zip(got, seq):
         assert g == pytest.approx(e, rel=1e-9, abs=1e-9)
 
 
-def test_row_numbers_dense_per_key(spark):
+@pytest.mark.parametrize("method", ["range", "buckets"])
+def test_row_numbers_dense_and_ordered(spark, method):
     import datetime as dt
-    data = [(k, dt.datetime(2020, 1, 1) + dt.timedelta(days=7 * i)) for k in "AB" for i in range(100)]
-    df = spark.createDataFrame(data, "ticker string, t timestamp_ntz")
-    out = R.with_row_numbers(df, span=86400.0 * 30).groupBy("ticker").agg(
-        F.min("rn").alias("lo"), F.max("rn").alias("hi"), F.countDistinct("rn").alias("d")).collect()
-    for r in out:
-        assert (r["lo"], r["hi"], r["d"]) == (0, 99, 100)
+    # a hot key (A: 600 rows, half of them in one burst day) next to a small one
+    data = [("A", dt.datetime(2020, 1, 1) + dt.timedelta(seconds=60 * i)) for i in range(300)]
+    data += [("A", dt.datetime(2020, 2, 1) + dt.timedelta(days=i)) for i in range(300)]
+    data += [("B", dt.datetime(2020, 1, 1) + dt.timedelta(days=7 * i)) for i in range(40)]
+    df = spark.createDataFrame(data, "ticker string, t timestamp_ntz").repartition(5)
+    out = R.with_row_numbers(df, method=method, partitions=6, span=86400.0 * 30)
+    for tk, n in (("A", 600), ("B", 40)):
+        rows = out.filter(F.col("ticker") == tk).orderBy("t").collect()
+        assert [r["rn"] for r in rows] == list(range(n))
 
 
 def _same(a, b, cols):

@@ -7,7 +7,7 @@ reset row (a_i = 0, y_i = b_i) at the seed.  Spark has no scan operator, so:
   the series sorted inside the task.  Right for bar series, whose length is
   bounded by the calendar.
 * ``mode="blocks"``: a block-parallel scan for long series.  Rows get global
-  per-key numbers from time buckets (no single-task window),
+  per-key numbers from a range-partitioned sort (no single-task window),
   are cut into blocks of ``block_rows``, each block is reduced to one affine
   map, the few maps per series are folded into carry-in values, and every
   block is replayed from its carry.  A hot series spreads over many tasks.
@@ -76,18 +76,41 @@ def order_value(df: DataFrame, order: str) -> Column:
     return c.cast("double")
 
 
-def with_row_numbers(df: DataFrame, key: str = KEY, order: str = ORDER,
-                     col: str = "rn", span: float = 90 * 86_400.0) -> DataFrame:
-    """0-based row number per key, without a per-key single-task window.
+def with_row_numbers(df: DataFrame, key: str = KEY, order: str = ORDER, col: str = "rn",
+                     method: str = "range", partitions: int | None = None,
+                     span: float = 90 * 86_400.0) -> DataFrame:
+    """Dense 0-based row number per key, without a per-key single-task window.
 
-    Rows are bucketed by ``span`` units of the order value (seconds for
-    timestamps).  Counts per (key, bucket) form a summary of (#keys x
-    #buckets) rows whose per-key prefix sum gives each bucket its offset; the
-    number inside a bucket is a ``row_number`` over ``partitionBy(key,
-    bucket)``, so one long series spreads over as many tasks as it has
-    buckets.  Every step is deterministic, so a recomputed task gives the
-    same numbers.  (key, order) must be unique.
+    ``method="range"`` (default): a range-partitioned sort on (key, order)
+    cuts the data by sampled boundaries, so a hot key or a burst in time is
+    split over many partitions; each row gets its partition's position id,
+    fixed once by a checkpoint in the shared checkpoint folder (a retried or
+    re-planned step cannot renumber).  The partition counts per key form a
+    summary of (#keys x #partitions) rows whose prefix sums give the offsets.
+
+    ``method="buckets"``: no sort; rows are bucketed by ``span`` units of the
+    order value and numbered inside (key, bucket), with offsets from the
+    prefix-summed bucket counts.  Cheaper, but one bucket is one task.
+
+    (key, order) must be unique.
     """
+    if method == "range":
+        from tickforge.session import checkpoint_dir
+        checkpoint_dir(df.sparkSession)
+        n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        s = (df.repartitionByRange(n, F.col(key), F.col(order))
+             .sortWithinPartitions(key, order)
+             .withColumn("_gid", F.monotonically_increasing_id())
+             .checkpoint(eager=True))
+        s = s.withColumn("_pid", F.shiftright(F.col("_gid"), 33))
+        cnt = s.groupBy(key, "_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_gid").alias("_g0"))
+        w = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+        offs = cnt.select(key, "_pid", "_g0", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_start"))
+        out = s.join(offs, [key, "_pid"], "inner")
+        return out.select(*[F.col(f"`{c}`") for c in df.columns],
+                          (F.col("_start") + F.col("_gid") - F.col("_g0")).cast("long").alias(col))
+    if method != "buckets":
+        raise ValueError(f"unknown numbering method {method!r}")
     b = F.floor(order_value(df, order) / F.lit(float(span))).cast("long")
     s = df.withColumn("_bkt", b)
     cnt = s.groupBy(key, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
@@ -267,17 +290,13 @@ def _seeded_spec(x: str, alpha: float, seed_row: int, seed: str, rn: str):
     return a, b
 
 
-def _numbered(df, key, order, mode, checkpoint=True):
+def _numbered(df, key, order, mode):
+    """Per-key row numbers: a window in key mode; in blocks mode the
+    range-sort numbering, whose checkpoint also cuts the lineage that the
+    block steps read several times."""
     if mode == "key":
         return df.withColumn("_rn", row_number0(key, order)), "_rn"
-    out = with_row_numbers(df, key, order, "_rn")
-    if checkpoint:
-        # the block scan reads the numbered series several times: cut the
-        # lineage once, into the shared checkpoint folder
-        from tickforge.session import checkpoint_dir
-        checkpoint_dir(df.sparkSession)
-        out = out.checkpoint(eager=True)
-    return out, "_rn"
+    return with_row_numbers(df, key, order, "_rn"), "_rn"
 
 
 def add_ema(df: DataFrame, windows: Sequence[int] = (20, 50, 100), close: str = "c",
