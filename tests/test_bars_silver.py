@@ -85,3 +85,10 @@ def test_daily_text_order_and_nulls(spark):
     # list joins to ''), newline -> space
     assert got[2] == " early second line k1 late"
     assert got[3] == ""
+
+
+def test_auto_mode_switches_on_series_length(spark):
+    bars = FX.daily_bars(spark, SF0001)
+    assert PL.choose_mode(bars, "auto") == "key"
+    assert PL.choose_mode(bars, "auto", max_series_rows=10) == "blocks"
+    assert PL.choose_mode(bars, "key", max_series_rows=10) == "key"

@@ -25,6 +25,20 @@ def check_proxies_present(bars: DataFrame, proxies: Sequence[str]) -> None:
         raise ValueError(f"proxy series without rows: {missing}")
 
 
+MAX_SERIES_ROWS = 2_000_000   # longest series handled as one task in mode="auto"
+
+
+def choose_mode(df: DataFrame, mode: str = "auto", key: str = KEY,
+                max_series_rows: int = MAX_SERIES_ROWS) -> str:
+    """``'key'`` / ``'blocks'`` as given; ``'auto'`` picks blocks when the
+    longest series exceeds ``max_series_rows`` (one partial-aggregated count
+    per key, reduced to a single number on the driver)."""
+    if mode != "auto":
+        return mode
+    longest = df.groupBy(key).count().agg(F.max("count")).collect()[0][0] or 0
+    return "blocks" if longest > max_series_rows else "key"
+
+
 def fill_both(df: DataFrame, cols: Sequence[str], key: str = KEY, order: str = ORDER) -> DataFrame:
     """Forward fill, then backward fill for leading gaps, in one projection.
 
@@ -89,6 +103,7 @@ def build_silver(bars: DataFrame, news: DataFrame | None, targets: Sequence[str]
     """
     if check_proxies:
         check_proxies_present(bars, proxies)
+    mode = choose_mode(bars.filter(F.col(KEY).isin(list(targets))), mode)
     rn = None
     if mode == "key":
         df = align(bars, targets, proxies)
@@ -128,6 +143,7 @@ def indicators(series: DataFrame, mode: str = "key", block_rows: int = 4096,
     from tickforge.operators import frames as FR
     from tickforge.operators import recurrence as R
     narrow = series.select(key, order, "o", "h", "l", "c", "v")
+    mode = choose_mode(narrow, mode, key)
     if mode == "key":
         df = FR.add_frame_indicators(narrow, key, order)
         df = R.add_technical_recurrences(df, key, order, mode=mode)
@@ -182,6 +198,7 @@ def build_gold(silver: DataFrame, warmup: str = "bfill", embed: bool = True, mod
     default is 1, a single training task; 8 trains about 3x faster here).
     """
     from tickforge.operators import text as X
+    mode = choose_mode(silver, mode)
     if mode == "key":
         ind = warmup_fill(indicators(silver, mode, block_rows), GOLD_DERIVED, warmup)
     else:
@@ -218,12 +235,14 @@ def run_layers(bars: DataFrame, news: DataFrame | None, out_dir: str, targets: S
     Silver is written once, partitioned by ticker and sorted by t, and gold is
     built from that table (gold branches over silver several times, so it is
     materialised instead of recomputed).  Rewriting a subset of tickers only
-    replaces their partitions.
+    replaces their partitions.  ``mode`` defaults to ``'auto'``: series
+    longer than ``MAX_SERIES_ROWS`` switch to the block-parallel windows.
     """
     from tickforge.sources.tables import read_table, write_table
     spark = bars.sparkSession
     silver_path, gold_path = f"{out_dir.rstrip('/')}/silver", f"{out_dir.rstrip('/')}/gold"
-    write_table(build_silver(bars, news, targets, proxies), silver_path, KEY, ORDER)
+    mode = gold_args.pop("mode", "auto")
+    write_table(build_silver(bars, news, targets, proxies, mode=mode), silver_path, KEY, ORDER)
     silver = read_table(spark, silver_path, targets)
-    write_table(build_gold(silver, **gold_args), gold_path, KEY, ORDER)
+    write_table(build_gold(silver, mode=mode, **gold_args), gold_path, KEY, ORDER)
     return {"silver": silver_path, "gold": gold_path}
