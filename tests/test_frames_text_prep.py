@@ -139,3 +139,10 @@ def test_adding_a_ticker_changes_no_other_series(spark):
     a = {r["t"]: r for r in PL.indicators(one).collect()}
     b = {r["t"]: r for r in PL.indicators(both).filter(F.col("ticker") == "Brand#3").collect()}
     assert a == b
+
+
+def test_blocks_mode_folds_equal_key_mode(spark):
+    bars = FX.daily_bars(spark, SF0001).select("ticker", "t")
+    a = sorted(PR.rolling_folds(bars, 20).collect())
+    b = sorted(PR.rolling_folds(bars, 20, mode="blocks").select(*PR.rolling_folds(bars, 20).columns).collect())
+    assert a == b

@@ -74,6 +74,20 @@ def sequences(spark, sf_dir):
                                    *[F.get("x", i).alias(f"x_{c}") for i, c in enumerate(FEATS)]))
 
 
+@register("sequences_long_series", rounded(f"""WITH {SEQ_SQL}
+SELECT lab.ticker, lab.ts, lab.seq_idx, lab.y, CAST(num.rn - (lab.rn - 4) AS INTEGER) AS step,
+       {", ".join(f"num.{c} AS x_{c}" for c in FEATS)}
+FROM lab JOIN num ON num.ticker = lab.ticker AND num.rn BETWEEN lab.rn - 4 AND lab.rn - 1""",
+                                            ["y"] + [f"x_{c}" for c in FEATS]))
+def sequences_long_series(spark, sf_dir):
+    """W8 in the block-parallel mode (100-row blocks, 4-row halo); equals
+    ``sequences``."""
+    seqs = PR.sequences(_scaled(spark, sf_dir)[0], FEATS, "target", 5, mode="blocks", block_rows=100)
+    ex = seqs.select("ticker", "ts", "seq_idx", "y", F.posexplode("X").alias("step", "x"))
+    return round_doubles(ex.select("ticker", "ts", "seq_idx", "y", F.col("step").cast("int"),
+                                   *[F.get("x", i).alias(f"x_{c}") for i, c in enumerate(FEATS)]))
+
+
 @register("chrono_split", rounded(f"""WITH {SEQ_SQL}
 SELECT ticker, ts, seq_idx, y, CASE WHEN seq_idx < floor(n_rows * 0.8) THEN 'train' ELSE 'test' END AS split
 FROM lab""", ["y"]))
