@@ -1,6 +1,5 @@
 """Recurrences: hand-worked values, edge cases, and block scan == per-key scan."""
 
-import math
 import random
 
 import pytest

@@ -11,9 +11,10 @@ from tickforge.operators import learn as L
 from tickforge.operators import metrics as M
 from tickforge.plans import pipeline as PL
 from tickforge.plans.catalog import register, round_doubles
-from tickforge.plans.q_frames import W14, W20, _win
-from tickforge.plans.q_recur import RECUR_CTE, RSICAT_SQL
-from tickforge.plans.sqlparts import q, rounded
+from tickforge.plans.q_frames import W14, W20
+from tickforge.plans.q_recur import RSICAT_SQL, recur_cte
+from tickforge.plans.q_silver import SILVER_COLS, SILVER_DBL, SILVER_SQL, SILVER_WHERE
+from tickforge.plans.sqlparts import BARS_DAILY, q, rounded
 from tickforge.session import scratch_path
 from tickforge.sources import fixtures as FX
 
@@ -21,7 +22,9 @@ P = "PARTITION BY ticker ORDER BY t"
 RUN = f"OVER ({P} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 REV = "OVER (PARTITION BY ticker ORDER BY t DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 
-IND_SQL = f"""{RECUR_CTE},
+def ind_sql(prefix: str, src: str) -> str:
+    """All 22 derived columns (CTE ``ind``) over the series CTE ``src``."""
+    return f"""{recur_cte(prefix, src)},
 fr AS (
   SELECT ticker, t,
     CASE WHEN count(*) {W14} >= 14 THEN (-100.0 * (max(h) {W14} - c)) / nullif(max(h) {W14} - min(l) {W14}, 0) END
@@ -36,7 +39,7 @@ fr AS (
     sum(v * (h + l + c) / 3.0) {RUN} / nullif(sum(v) {RUN}, 0) AS vwap,
     CAST(isodow(t) AS DOUBLE) AS dayofweek, CAST(month(t) AS DOUBLE) AS month,
     CAST(quarter(t) AS DOUBLE) AS quarter
-  FROM bars),
+  FROM {src}),
 fr2 AS (SELECT *, list_reduce(list_prepend(0.0, lst), lambda a, x: a + x) / len(lst) AS sma FROM fr),
 fr3 AS (SELECT * EXCLUDE (lst, sma, tp), CASE WHEN len(lst) >= 20 THEN (tp - sma) / nullif(0.015 *
   (list_reduce(list_prepend(0.0, list_transform(lst, lambda x: abs(x - sma))), lambda a, x: a + x) / len(lst)), 0)
@@ -48,6 +51,9 @@ ind0 AS (
 ind AS (SELECT *{RSICAT_SQL} FROM ind0)"""
 
 
+IND_SQL = ind_sql(BARS_DAILY, "bars")
+
+
 @register("warmup_filled", rounded(
     f"WITH RECURSIVE {IND_SQL} SELECT ticker, t, "
     + ", ".join(f"last_value({q(c)} IGNORE NULLS) {REV} AS {q(c)}" for c in PL.GOLD_DERIVED)
@@ -77,6 +83,25 @@ def _silver(spark, sf_dir):
     return PL.build_silver(bars, FX.news_articles(spark, sf_dir), FX.TARGETS, FX.PROXIES)
 
 
+GOLD_COLS = [c for c in SILVER_COLS if c not in ("aggregated_text", "target")] + PL.GOLD_DERIVED + ["target"]
+
+
+@register("gold_features", rounded(
+    f"WITH RECURSIVE {ind_sql(SILVER_SQL + f', sv AS (SELECT * FROM silver WHERE {SILVER_WHERE})', 'sv')},"
+    + " wf AS (SELECT ticker, t, "
+    + ", ".join(f"last_value({q(c)} IGNORE NULLS) {REV} AS {q(c)}" for c in PL.GOLD_DERIVED)
+    + " FROM ind) SELECT " + ", ".join(f"sv.{q(c)}" if c not in PL.GOLD_DERIVED else f"wf.{q(c)}"
+                                     for c in GOLD_COLS)
+    + " FROM sv JOIN wf ON sv.ticker = wf.ticker AND sv.t = wf.t",
+    [c for c in SILVER_DBL] + PL.GOLD_DERIVED))
+def gold_features(spark, sf_dir):
+    """The gold table without the text embedding: silver, the 22 derived
+    columns computed on the silver rows (every recurrence seeded at a
+    ticker's first silver row, Q22) and the warm-up fill; SQL-checked."""
+    silver = _silver(spark, sf_dir).checkpoint(eager=True)
+    return round_doubles(PL.build_gold(silver, embed=False))
+
+
 @register("gold")
 def gold(spark, sf_dir):
     """Whole gold layer: silver materialised once (checkpoint in the shared

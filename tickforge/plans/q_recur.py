@@ -40,11 +40,13 @@ def _avg_rows(col: str, lo: int, hi: int) -> str:
     return f"CASE WHEN count(*) {f} = {hi - lo + 1} THEN avg({col}) {f} END"
 
 
-RECUR_CTE = f"""{BARS_DAILY},
+def recur_cte(prefix: str, src: str) -> str:
+    """Recurrence CTEs (ending in ``rec``) over the series CTE ``src``."""
+    return f"""{prefix},
 b0 AS (
   SELECT {BASE}, row_number() OVER w - 1 AS rn, lag(c) OVER w AS pc, lag(h) OVER w AS ph,
          lag(l) OVER w AS pl
-  FROM bars WINDOW w AS (PARTITION BY ticker ORDER BY t)),
+  FROM {src} WINDOW w AS (PARTITION BY ticker ORDER BY t)),
 b1 AS (
   SELECT *,
     CASE WHEN pc IS NULL THEN 0.0 ELSE greatest(c - pc, 0.0) END AS gain,
@@ -96,6 +98,9 @@ rec AS (
   FROM d3 JOIN r2 ON d3.ticker = r2.ticker AND d3.rn = r2.rn)"""
 
 
+RECUR_CTE = recur_cte(BARS_DAILY, "bars")
+
+
 def _recur_sql(cols: list[str], extra: str = "") -> str:
     sel = ", ".join(q(c) for c in cols)
     return rounded(f"WITH RECURSIVE {RECUR_CTE} SELECT {BASE}, {sel}{extra} FROM rec",
