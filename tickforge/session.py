@@ -55,8 +55,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment (a shared file system).  Only
-    when it is unset (local tests) a fresh scratch folder is made.
+    On a cluster this is set by the deployment (a shared file system) and is
+    required.  Only in local mode, when it is unset (tests), a fresh scratch
+    folder is made.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -65,7 +66,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     d = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="tickforge-ckpt-")
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster "
+                             "(checkpoints and intermediate tables are written there)")
+        d = tempfile.mkdtemp(prefix="tickforge-ckpt-")   # local mode only (tests)
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
