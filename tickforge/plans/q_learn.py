@@ -14,7 +14,7 @@ from tickforge.plans.catalog import register, round_doubles
 from tickforge.plans.q_frames import W14, W20
 from tickforge.plans.q_recur import RSICAT_SQL, recur_cte
 from tickforge.plans.q_silver import SILVER_COLS, SILVER_DBL, SILVER_SQL, SILVER_WHERE
-from tickforge.plans.sqlparts import BARS_DAILY, q, rounded
+from tickforge.plans.sqlparts import BARS_DAILY, BARS_HOURLY, q, rounded
 from tickforge.session import scratch_path
 from tickforge.sources import fixtures as FX
 
@@ -78,6 +78,15 @@ def warmup_filled_long_series(spark, sf_dir):
     return round_doubles(out)
 
 
+@register("indicators_hourly", rounded(
+    f"WITH RECURSIVE {ind_sql(BARS_HOURLY, 'bars')} SELECT ticker, t, "
+    + ", ".join(q(c) for c in PL.GOLD_DERIVED) + " FROM ind", PL.GOLD_DERIVED))
+def indicators_hourly(spark, sf_dir):
+    """The 22 derived columns over hourly bars of the events table (F2):
+    the same operators on an intraday series."""
+    return round_doubles(PL.indicators(FX.hourly_bars(spark, sf_dir)))
+
+
 def _silver(spark, sf_dir):
     bars = FX.daily_bars(spark, sf_dir)
     return PL.build_silver(bars, FX.news_articles(spark, sf_dir), FX.TARGETS, FX.PROXIES)
