@@ -146,3 +146,31 @@ def test_blocks_mode_folds_equal_key_mode(spark):
     a = sorted(PR.rolling_folds(bars, 20).collect())
     b = sorted(PR.rolling_folds(bars, 20, mode="blocks").select(*PR.rolling_folds(bars, 20).columns).collect())
     assert a == b
+
+
+def test_exact_quantiles_equal_percentile(spark):
+    from tickforge.operators.quantiles import exact_quantiles
+    rnd = random.Random(4)
+    rows = [("hot", float(rnd.choice([0, 0, 0, 1, 2, 3.5]) + rnd.random() * (i % 3 == 0))) for i in range(3000)]
+    rows += [("b", rnd.uniform(-5, 5)) for _ in range(101)] + [("c", 7.0)] + [("d", 1.0), ("d", 2.0)]
+    rows += [("e", None)]
+    df = spark.createDataFrame(rows, "k string, x double").repartition(6)
+    qs = [0.05, 0.5, 0.95]
+    got = {r["k"]: r for r in exact_quantiles(df, "k", "x", qs, ["a", "m", "z"], partitions=8).collect()}
+    exp = {r["k"]: r for r in df.groupBy("k").agg(
+        F.percentile("x", 0.05).alias("a"), F.percentile("x", 0.5).alias("m"),
+        F.percentile("x", 0.95).alias("z")).collect()}
+    assert set(got) == {k for k in exp if exp[k]["m"] is not None}
+    for k in got:
+        for c in "amz":
+            assert got[k][c] == exp[k][c], (k, c)
+
+
+def test_metrics_sort_median_equals_percentile(spark):
+    from tickforge.operators import metrics as M
+    rnd = random.Random(2)
+    df = spark.createDataFrame([(rnd.choice("AB"), rnd.uniform(-1, 1), rnd.uniform(-1, 1)) for _ in range(400)],
+                               "ticker string, y double, yhat double")
+    a = {r["ticker"]: r["medae"] for r in M.regression_metrics(df).collect()}
+    b = {r["ticker"]: r["medae"] for r in M.regression_metrics(df, median="sort").collect()}
+    assert a == b
