@@ -121,7 +121,7 @@ def test_affine_scan_block_property(spark, ab, m):
         y = b if a == 0.0 else a * y + b
         seq.append(y)
     numbered = R.with_row_numbers(df, col="rn", method="buckets", span=86400.0 * 3)
-    out = R.affine_scan(numbered, {"y": ("a", "b")}, mode="blocks", block_rows=m, rn="rn")
+    out = R.affine_scan(numbered, {"y": ("a", "b")}, mode="blocks", block_rows=m, rn="rn", fanout=2)
     got = [r["y"] for r in out.orderBy("t").collect()]
     for g, e in zip(got, seq):
         assert g == pytest.approx(e, rel=1e-9, abs=1e-9)

@@ -9,8 +9,10 @@ reset row (a_i = 0, y_i = b_i) at the seed.  Spark has no scan operator, so:
 * ``mode="blocks"``: a block-parallel scan for long series.  Rows get global
   per-key numbers from a range-partitioned sort (no single-task window),
   are cut into blocks of ``block_rows``, each block is reduced to one affine
-  map, the few maps per series are folded into carry-in values, and every
-  block is replayed from its carry.  A hot series spreads over many tasks.
+  map, the maps are folded into carry-in values in two levels (super-blocks
+  of ``fanout`` maps), and every block is replayed from its carry.  A hot
+  series spreads over many tasks; no task holds more than one block, one
+  super-block of maps, or a key's super-maps.
 
 Every column of the input passes through the pandas step, so no join back is
 needed; callers keep the frame narrow.  Nulls: a null ``b`` makes ``y`` null until the next
@@ -125,7 +127,8 @@ def with_row_numbers(df: DataFrame, key: str = KEY, order: str = ORDER, col: str
 # ------------------------------------------------------------------ scans
 
 def affine_scan(df: DataFrame, specs: Spec, key: str = KEY, order: str = ORDER,
-                mode: str = "key", block_rows: int = 4096, rn: str | None = None) -> DataFrame:
+                mode: str = "key", block_rows: int = 4096, rn: str | None = None,
+                fanout: int = 1024) -> DataFrame:
     """Add one column per spec ``out -> (a, b)`` holding the scan result.
 
     Every input column passes through the pandas step unchanged, so no join
@@ -147,7 +150,7 @@ def affine_scan(df: DataFrame, specs: Spec, key: str = KEY, order: str = ORDER,
     if mode == "blocks":
         if rn is None:
             raise ValueError("blocks mode needs a row-number column (see with_row_numbers)")
-        return _scan_blocks(wide, names, key, rn, block_rows, df.columns, out_schema)
+        return _scan_blocks(wide, names, key, rn, block_rows, df.columns, out_schema, fanout)
     raise ValueError(f"unknown mode {mode!r}")
 
 
@@ -167,7 +170,7 @@ def _scan_by_key(wide, names, key, order, cols, schema):
     return wide.groupBy(key).applyInPandas(run, schema)
 
 
-def _scan_blocks(wide, names, key, rn, m, cols, schema):
+def _scan_blocks(wide, names, key, rn, m, cols, schema, fanout: int = 1024):
     k = len(names)
     blocked = wide.withColumn("_blk", F.floor(F.col(rn) / F.lit(m)).cast("long"))
     kt = wide.schema[key].dataType
@@ -189,22 +192,52 @@ def _scan_blocks(wide, names, key, rn, m, cols, schema):
     maps = (blocked.select(key, "_blk", rn, *ab)
             .groupBy(key, "_blk").applyInPandas(summarize, T.StructType(sum_fields)))
 
-    # 2. carry-in per block: fold the (#rows / block_rows) maps of each key
+    # 2. carry-in per block, in two levels so no task folds a whole key:
+    #    maps are grouped into super-blocks of ``fanout`` blocks, each
+    #    super-block is composed to one map, the (#blocks / fanout) super-maps
+    #    of a key are folded, and each super-block replays its maps from its
+    #    super-carry.
     carry_fields = [T.StructField(key, kt), T.StructField("_blk", T.LongType())] + \
         [T.StructField(f"_y{i}", T.DoubleType()) for i in range(k)]
+    sup_fields = [T.StructField(key, kt), T.StructField("_sb", T.LongType())]
+    for i in range(k):
+        sup_fields += [T.StructField(f"_A{i}", T.DoubleType()), T.StructField(f"_B{i}", T.DoubleType())]
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_blk", kind="mergesort")
-        out = {key: pdf[key].to_numpy(), "_blk": pdf["_blk"].to_numpy()}
+        row = {key: [pdf[key].iloc[0]], "_sb": [int(pdf["_sb"].iloc[0])]}
+        for i in range(k):
+            A, B = _block_map(_cols(pdf, f"_A{i}"), _cols(pdf, f"_B{i}"))
+            row[f"_A{i}"], row[f"_B{i}"] = [A], [B]
+        return pd.DataFrame(row)
+
+    def fold_maps(pdf: pd.DataFrame, y0s: list, order_col: str) -> dict:
+        pdf = pdf.sort_values(order_col, kind="mergesort")
+        out = {key: pdf[key].to_numpy(), order_col: pdf[order_col].to_numpy()}
         for i in range(k):
-            y, ys = 0.0, []
+            y, ys = y0s[i], []
             for Aj, Bj in zip(_cols(pdf, f"_A{i}"), _cols(pdf, f"_B{i}")):
                 ys.append(y)
                 y = Bj if Aj == 0.0 else Aj * y + Bj
             out[f"_y{i}"] = ys
-        return pd.DataFrame(out)
+        return out
+
+    sup_carry_fields = [T.StructField(key, kt), T.StructField("_sb", T.LongType())] + \
+        [T.StructField(f"_y{i}", T.DoubleType()) for i in range(k)]
+    maps = maps.withColumn("_sb", F.floor(F.col("_blk") / F.lit(fanout)).cast("long"))
+    sup = maps.groupBy(key, "_sb").applyInPandas(compose, T.StructType(sup_fields))
+    sup_carries = sup.groupBy(key).applyInPandas(
+        lambda pdf: pd.DataFrame(fold_maps(pdf, [0.0] * k, "_sb")), T.StructType(sup_carry_fields))
+
+    def fold_block(pdf: pd.DataFrame, cdf: pd.DataFrame) -> pd.DataFrame:
+        if pdf.empty:
+            return pd.DataFrame({f.name: [] for f in carry_fields})
+        y0s = [float(cdf[f"_y{i}"].iloc[0]) if len(cdf) else 0.0 for i in range(k)]
+        out = fold_maps(pdf, y0s, "_blk")
+        return pd.DataFrame({c: out[c] for c in [key, "_blk"] + [f"_y{i}" for i in range(k)]})
 
-    carries = maps.groupBy(key).applyInPandas(fold, T.StructType(carry_fields))
+    carries = (maps.groupBy(key, "_sb").cogroup(sup_carries.groupBy(key, "_sb"))
+               .applyInPandas(fold_block, T.StructType(carry_fields)))
 
     # 3. replay every block from its carry (co-grouped on (key, block))
     def replay(pdf: pd.DataFrame, cdf: pd.DataFrame) -> pd.DataFrame:
