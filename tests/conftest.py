@@ -12,7 +12,8 @@ SF001 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from tickforge.session import get_session
-    s = get_session("local[*]", app="tickforge-tests", shuffle_partitions=8)
+    s = get_session("local[*]", app="tickforge-tests", shuffle_partitions=8,
+                    extra={"spark.driver.memory": "4g"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
 
