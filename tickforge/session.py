@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -42,16 +43,44 @@ def get_session(master: str | None = None, app: str = "tickforge",
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session (idempotent)."""
+    """Apply the runtime settings to an existing session (idempotent) and
+    make the package importable by the Python workers."""
     for k, v in _REQUIRED.items():
         try:
             spark.conf.set(k, v)
         except Exception:  # static conf on a shared session: leave as is
             pass
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set = set()
+_ZIP: list = []
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers once per context
+    (what ``--py-files`` does): the pandas steps are pickled by reference
+    to their module, so workers must be able to import it."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    if not _ZIP:
+        root = os.path.dirname(os.path.abspath(__file__))
+        out = os.path.join(tempfile.mkdtemp(prefix="tickforge-pkg-"), "tickforge.zip")
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for d, _, files in os.walk(root):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(d, f)
+                        z.write(full, os.path.relpath(full, os.path.dirname(root)))
+        _ZIP.append(out)
+    sc.addPyFile(_ZIP[0])
+    _SHIPPED.add(app)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
