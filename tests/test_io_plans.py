@@ -118,3 +118,19 @@ def test_prefix_scan_merges_schemas(spark):
     assert set(df.columns) == {"ticker", "c", "n"}
     rows = {r["ticker"]: r for r in df.collect()}
     assert rows["A"]["n"] is None and rows["B"]["n"] == 5
+
+
+def test_package_is_shipped_to_workers(spark):
+    import zipfile
+    from tickforge import session as S
+    S.configure(spark)
+    assert S._ZIP and spark.sparkContext.applicationId in S._SHIPPED
+    names = set(zipfile.ZipFile(S._ZIP[0]).namelist())
+    assert {"tickforge/__init__.py", "tickforge/operators/recurrence.py",
+            "tickforge/plans/pipeline.py"} <= names
+
+
+def test_entry_schema_is_stable(spark):
+    import __spark_entry__ as E
+    a, b = E.entry(spark).schema, E.entry(spark).schema
+    assert a == b and len(a.fields) == 105
