@@ -243,3 +243,15 @@ def test_window_minus_one_rows(spark):
     assert all(r["rsi"] is None for r in R.add_rsi(df).collect())
     df19 = bars_df(spark, [(i, 1, 1, 1, 1 + i) for i in range(19)])
     assert all(r["20D-EMA"] is None for r in R.add_ema(df19).collect())
+
+
+def test_blocks_mode_gold_equals_key_mode(spark):
+    from conftest import SF0001
+    from tickforge.plans import pipeline as PL
+    from tickforge.sources import fixtures as FX
+    silver = PL.build_silver(FX.daily_bars(spark, SF0001), None, FX.TARGETS[:2], FX.PROXIES).checkpoint(eager=True)
+    k = PL.build_gold(silver, embed=False)
+    b = PL.build_gold(silver, embed=False, mode="blocks", block_rows=40)
+    assert sorted(k.columns) == sorted(b.columns)
+    _same({(r["ticker"], r["t"]): r for r in k.collect()},
+          {(r["ticker"], r["t"]): r for r in b.collect()}, PL.GOLD_DERIVED + ["target"])
