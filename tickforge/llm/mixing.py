@@ -9,9 +9,9 @@ Each document of a source is wanted r = target / size times: floor(r) certain
 whole copies, and one more with chance f = r - floor(r).  For that copy documents
 are ranked by Pareto order sampling, (u / (1 - u)) / (f / (1 - f)) with u a uniform
 number hashed from the document, and are taken in that order until the words still
-wanted are reached (a sample of fixed size, in words): a document is in when more
-than half of it fits.  Last, the one untaken document that brings the source
-nearest to its target is added, if that helps.
+wanted are reached (a sample of fixed size, in words), each only if it fits whole.
+Last, the one untaken document that brings the source nearest to its target is
+added, if that helps.
 
 Scale: u is a hash, so the ranks are cut into ``cells`` equal cells for each
 source.  Cells before the cut are taken and cells behind it are not, by their summed
@@ -107,7 +107,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     inside = F.col("cell") == F.col("cut")
     order = Window.partitionBy("source").orderBy("pareto", "id", "row_key", "rid")
     edge = (placed.filter(inside).withColumn("run", F.sum("size").over(order))
-            .withColumn("extra", ((F.col("before") + F.col("run") - F.col("size") / 2 <= F.col("need"))
+            .withColumn("extra", ((F.col("before") + F.col("run") <= F.col("need"))
                                   & F.col("pareto").isNotNull()).cast("int")).drop("run"))
     rest = placed.filter(~F.coalesce(inside, F.lit(False))).withColumn(
         "extra", (F.col("pareto").isNotNull()
