@@ -6,19 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickforge.llm import exact_dedup, mixing, sharding
+from tickforge.llm import bpe, exact_dedup, lang_id, mixing, sharding
 from tickforge.session import configure
 
 MODULES = {
+    "op2_language_id": lang_id,
     "op7_pareto_mixing": mixing,
     "op8_exact_dedup": exact_dedup,
+    "op9_bpe_automaton": bpe,
     "op10_sampled_splitters": sharding,
 }
 
 
+#: Bytes of an Arrow batch: Python workers hold a few batches of whole texts at a time.
+BATCH_BYTES = 8 << 20
+
+
 def _configured(fn: Callable) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
         return fn(spark, sf_dir)
     run.__doc__ = fn.__doc__
     return run
