@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickforge.llm import bpe, exact_dedup, jaccard_join, lang_id, mixing, sharding
+from tickforge.llm import bpe, exact_dedup, jaccard_join, lang_id, mixing, sharding, syncmers
 from tickforge.session import configure
 
 MODULES = {
     "op2_language_id": lang_id,
     "op3_parity_jaccard": jaccard_join,
+    "op6_closed_syncmers": syncmers,
     "op7_pareto_mixing": mixing,
     "op8_exact_dedup": exact_dedup,
     "op9_bpe_automaton": bpe,
