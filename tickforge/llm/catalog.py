@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickforge.llm import bpe, context_tree, exact_dedup, jaccard_join, lang_id, mixing, sharding, syncmers
+from tickforge.llm import bpe, context_tree, exact_dedup, jaccard_join, lang_id, mixing, sharding, syncmers, unit_dedup
 from tickforge.session import configure
 
 MODULES = {
     "op2_language_id": lang_id,
     "op3_parity_jaccard": jaccard_join,
     "op4_context_tree": context_tree,
+    "op5_unit_dedup": unit_dedup,
     "op6_closed_syncmers": syncmers,
     "op7_pareto_mixing": mixing,
     "op8_exact_dedup": exact_dedup,
