@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickforge.llm import bpe, context_tree, exact_dedup, jaccard_join, lang_id, mixing, sharding, syncmers, unit_dedup
+from tickforge.llm import bpe, context_tree, exact_dedup, jaccard_join, lang_id, mixing, quality, sharding, syncmers, unit_dedup
 from tickforge.session import configure
 
 MODULES = {
+    "op1_site_quality": quality,
     "op2_language_id": lang_id,
     "op3_parity_jaccard": jaccard_join,
     "op4_context_tree": context_tree,
