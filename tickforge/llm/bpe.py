@@ -14,8 +14,9 @@ therefore compiled when first used, and kept in a table.
 Encoding: text is split into words (byte-level pattern).  In a word, every prefix ends
 in one state, since the accepted sequence is unique; a table-driven walk over the byte
 trie of the vocabulary finds it from the states of the shorter prefixes, and the path
-back gives the tokens.  Words are memoised in a table of at most ``CACHE`` entries
-per Python worker, emptied when full (the results do not change).
+back gives the tokens.  Words are memoised in two tables of at most ``CACHE`` entries
+per Python worker; when the newer is full it takes the place of the older (the results
+do not change).
 Decoding emits the labels (bytes) of the arcs.
 
 Null text is the empty text: no tokens, empty decoded text.  Special tokens of the
@@ -35,9 +36,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import col, documents, free_name
+from tickforge.llm.common import col, documents
 
-#: Entries of a worker's word table and arc table.
+#: Entries of each of a worker's two word tables; its arc table has twice as many.
 CACHE = 300_000
 #: Fixed value: the pattern that splits text into words in byte-level vocabularies.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -96,7 +97,9 @@ class Automaton:
                     n += 1
                 node = nxt
             self.token[node] = i
-        self.arcs, self.known = {}, {}
+        self.longest = max(map(len, self.labels.values()), default=1)
+        self.at = [self.token.get(k, -1) for k in range(n)]
+        self.arcs, self.known, self.older = {}, {}, {}
 
     def _spine(self, t: int, side: int) -> list[tuple[int, int, int]]:
         """(segment, born, consumed) along the left (0) or right (1) edge of a token."""
@@ -128,27 +131,24 @@ class Automaton:
                         break
                 if not ok:
                     break
-            if len(self.arcs) >= 4 * CACHE:
+            if len(self.arcs) >= 2 * CACHE:
                 self.arcs.clear()
             self.arcs[key] = ok
         return ok
 
     def encode_word(self, word: bytes) -> list[int]:
-        n, step, token, arc = len(word), self.step, self.token, self.arc
+        n, step, at, arc, arcs = len(word), self.step.get, self.at, self.arc, self.arcs
         state = [-1] * (n + 1)           # the state after each prefix
         since = [0] * (n + 1)
         for i in range(n):
-            u = state[i]
-            if i and u < 0:
-                continue
-            node, j = 0, i
-            while j < n:
-                node = step.get(node << 8 | word[j])
+            u, node, j = state[i] << 20, 0, i
+            for b in word[i:i + self.longest]:
+                node = step(node << 8 | b)
                 if node is None:
                     break
                 j += 1
-                t = token.get(node)
-                if t is not None and (i == 0 or arc(u, t)):
+                t = at[node]
+                if t >= 0 and (i == 0 or ((ok := arcs.get(u | t)) is None and arc(u >> 20, t)) or ok):
                     state[j], since[j] = t, i
         out, j = [], n
         while j:
@@ -163,11 +163,14 @@ class Automaton:
         for w in self.words.findall(part):
             ids = known.get(w)
             if ids is None:
-                got = self.encode_word(w.encode())
-                ids = struct.pack(f"<{len(got)}I", *got)
+                ids = self.older.get(w)
+                if ids is None:
+                    got = self.encode_word(w.encode())
+                    ids = struct.pack(f"<{len(got)}I", *got)
                 if len(w) <= 64:
                     if len(known) >= CACHE:
-                        known.clear()
+                        self.older = known
+                        known = self.known = {}
                     known[w] = ids
             out.append(ids)
         return b"".join(out)
@@ -255,12 +258,6 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.withColumnRenamed("id", id_col)
 
 
-def encode_stage(docs: DataFrame) -> DataFrame:
-    """Every row of ``docs`` with its token count and the digests of ids and decoded text."""
-    taken = free_name(docs, "n_tokens")
-    return round_trip(docs).withColumnRenamed("n_tokens", taken)
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir))
 
