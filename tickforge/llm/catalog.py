@@ -27,10 +27,15 @@ MODULES = {
 BATCH_BYTES = 8 << 20
 
 
+def prepare(spark: SparkSession) -> None:
+    """Session settings that the operators rely on."""
+    configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def _configured(fn: Callable) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        configure(spark)
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        prepare(spark)
         return fn(spark, sf_dir)
     run.__doc__ = fn.__doc__
     return run
