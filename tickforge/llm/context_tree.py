@@ -63,7 +63,8 @@ def pair_keys(buf: np.ndarray, lo: int) -> np.ndarray:
     for d in range(DEPTH):
         b = np.zeros(n, np.uint8)
         skip = max(0, d + 1 - lo)
-        b[skip:] = buf[lo + skip - 1 - d:len(buf) - 1 - d]
+        if skip < n:
+            b[skip:] = buf[lo + skip - 1 - d:len(buf) - 1 - d]
         b *= alive
         key |= b.astype(_U) << _U(8 * (6 - d))
         alive &= b != 10
