@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.session import checkpoint_dir, scratch_path
+from tickforge.session import scratch_path
 
 #: The ASCII white space that separates words: space and \\t \\n \\v \\f \\r.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
@@ -19,16 +19,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Fix a narrow table in the shared checkpoint folder and cut its lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def written(df: DataFrame, name: str = "step") -> DataFrame:
+    """Write a table as Parquet under the shared checkpoint folder and reread it.
 
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write a table as Parquet under the shared checkpoint folder and reread it."""
+    Cuts the lineage like ``checkpoint()``, but the reread table also has its real size: the estimates that a
+    checkpointed table keeps multiply with every join of a loop."""
     spark = df.sparkSession
-    path = scratch_path(spark, f"{spark.sparkContext.applicationId}-{name}-{uuid.uuid4().hex[:8]}")
+    path = scratch_path(spark, f"{spark.sparkContext.applicationId}-{name}-{uuid.uuid4().hex[:12]}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

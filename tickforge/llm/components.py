@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import checkpointed
+from tickforge.llm.common import written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -19,10 +19,10 @@ def components(links: DataFrame) -> DataFrame:
     edges = _ordered(links.select("a", "b"))
     labels = None
     while not edges.isEmpty():
-        hook = checkpointed(edges.groupBy("a").agg(F.min("b").alias("p")))
+        hook = written(edges.groupBy("a").agg(F.min("b").alias("p")))
         while True:
             up = hook.select(F.col("a").alias("p"), F.col("p").alias("pp"))
-            jumped = checkpointed(hook.join(up, "p", "left")
+            jumped = written(hook.join(up, "p", "left")
                                   .select("a", F.coalesce("pp", "p").alias("p"), F.col("pp").isNotNull().alias("moved")))
             hook = jumped.select("a", "p")
             if jumped.filter("moved").isEmpty():
@@ -31,7 +31,7 @@ def components(links: DataFrame) -> DataFrame:
             labels = hook
         else:
             up = hook.select(F.col("a").alias("p"), F.col("p").alias("pp"))
-            labels = checkpointed(labels.join(up, "p", "left").select("a", F.coalesce("pp", "p").alias("p"))
+            labels = written(labels.join(up, "p", "left").select("a", F.coalesce("pp", "p").alias("p"))
                                   .unionByName(hook))
         to = hook.select(F.col("a").alias("n"), F.col("p").alias("r"))
         edges = (edges.join(to.toDF("a", "ra"), "a", "left").join(to.toDF("b", "rb"), "b", "left")
@@ -43,5 +43,5 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _ordered(edges: DataFrame) -> DataFrame:
-    return checkpointed(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    return written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                         .distinct())

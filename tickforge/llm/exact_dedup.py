@@ -1,7 +1,7 @@
 """Exact dedup by a heavy-hitter split (DataFrame functions only).
 
 1. One pass over the texts leaves a narrow table (id, length, SHA-256 of the
-   text without white space), fixed by a checkpoint.
+   text without white space), written once.
 2. Misra-Gries counters (Spark's ``approx_top_k``, a frequent-items sketch that
    combines map-side) name the digests that may be frequent.  Every digest with
    more than about 4 / ``counters`` of all rows is among them.
@@ -12,7 +12,7 @@
 
 Order of preference inside a group: more code points, then smaller id (null
 last).  Rows that agree in id and text are told apart by an ordinal fixed by
-the checkpoint; exactly one row of a group is kept.
+that table; exactly one row of a group is kept.
 
 Null text counts as empty; empty and white-space texts form one group; an empty
 table gives an empty result.  Other columns never matter.
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import (WHITE_SPACE, checkpointed, col, documents, keep_decided)
+from tickforge.llm.common import (WHITE_SPACE, col, documents, keep_decided, written)
 
 #: Digests that may be broadcast, and counters of the frequent-items sketch.
 HEAVY, COUNTERS = 256, 4096
@@ -41,7 +41,7 @@ def digest(text: Column) -> Column:
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 heavy: int = HEAVY, counters: int = COUNTERS) -> DataFrame:
     """One row per row of ``docs``: (id, keep_id, group_size, kept, text_sha256)."""
-    rows = checkpointed(docs.select(
+    rows = written(docs.select(
         col(id_col).alias("id"),
         F.length(F.coalesce(col(text_col), F.lit(""))).alias("len"),
         digest(col(text_col)).alias("digest"),

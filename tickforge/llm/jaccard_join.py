@@ -17,7 +17,8 @@ members with Jaccard at least J the symmetric difference has at most
 4. Candidates.  In a key's run every class is paired with the first (a star, linear in the
    run).  Pairs pass the Hamming bound of the sketches, then the exact test on the shingle sets.
    Links are contracted to components.  Where a key still holds classes of different
-   components, all pairs across components are compared in blocks of classes by the
+   components, stars around other classes follow while they find links (at most ``STARS``).  What is
+   then left in different components is compared whole: all pairs across components are compared in blocks of classes by the
    Hamming bound (only pairs that pass leave a block), and verified in the same way.
    So no link that joins two components is lost.
 
@@ -36,14 +37,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import checkpointed, col, documents, keep_decided, written
+from tickforge.llm.common import col, documents, keep_decided, written
 from tickforge.llm.components import components
 from tickforge.llm.words import mix, shingles, word_hashes
 
-SKETCH_BITS = 1024
+#: Bits of a parity sketch for each shingle, and at least.
+BITS_EACH, BITS_LEAST = 2, 256
 HEAVY, COUNTERS = 256, 4096
 #: Bits of the table that tells which rows may be candidates (false positives only cost time).
 FILTER_BITS = 1 << 22
+#: Further stars at most, before components are compared whole.
+STARS = 3
 #: Classes in a block of the comparison across components.
 CHUNK = 256
 
@@ -83,22 +87,42 @@ def _class(s: np.ndarray) -> tuple[int, int]:
     return int(d[0]), int(d[1])
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Parity sketch of a set of hashes: a power of two bits, at least ``BITS_EACH`` for each member."""
+    size = max(BITS_LEAST, 1 << int(BITS_EACH * len(s) - 1).bit_length()) if len(s) else BITS_LEAST
+    bits = np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(b: bytes, size: int) -> np.ndarray:
+    """A sketch as 64-bit numbers, folded to ``size`` bytes (the sketch of the same set with fewer bits)."""
+    x = np.frombuffer(b, np.uint64)
+    while 8 * len(x) > size:
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    return x
+
+
+def distances(one: bytes, others: list[bytes]) -> np.ndarray:
+    """Hamming distances of a sketch and others, all folded to the smallest."""
+    size = min(len(one), *map(len, others))
+    return np.bitwise_count(folded(one, size) ^ np.stack([folded(o, size) for o in others])).sum(axis=1)
+
+
 def _features(docs: DataFrame, k: int) -> DataFrame:
     """(id, idh, n, c1, c2, sketch) of rows (id, idh, text); c1, c2: digest of the set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, c1, c2, sketch = [], [], [], []
+            n, c1, c2, sketches = [], [], [], []
             for words in word_hashes(b.column(2).to_pylist()):
                 s = shingles(words, k)
                 d = _class(s)
                 n.append(len(s))
                 c1.append(d[0])
                 c2.append(d[1])
-                bits = np.bincount((s & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
-                sketch.append(np.packbits(bits.astype(np.uint8)).tobytes())
+                sketches.append(sketch(s))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(c1, pa.int64()), pa.array(c2, pa.int64()),
-                 pa.array(sketch, pa.binary())], names=["id", "idh", "n", "c1", "c2", "sketch"])
+                 pa.array(sketches, pa.binary())], names=["id", "idh", "n", "c1", "c2", "sketch"])
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.mapInArrow(run, f"id {kind}, idh long, n long, c1 long, c2 long, sketch binary")
@@ -166,10 +190,6 @@ def _meetings(keys: DataFrame) -> DataFrame:
             .mapInArrow(run, "key long, hub long, c long"))
 
 
-def _distance(a: bytes, b: bytes) -> int:
-    return int(np.bitwise_count(np.frombuffer(a, np.uint64) ^ np.frombuffer(b, np.uint64)).sum())
-
-
 def _near(pairs: DataFrame, classes: DataFrame, bounds: Bounds) -> DataFrame:
     """Pairs (a, b) of classes whose sizes and sketches allow a link."""
     x = classes.select(F.col("c1").alias("a"), F.col("n").alias("an"), F.col("sketch").alias("asketch"))
@@ -179,8 +199,7 @@ def _near(pairs: DataFrame, classes: DataFrame, bounds: Bounds) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
             if t.num_rows:
-                sk = [np.frombuffer(b"".join(t.column(i).to_pylist()), np.uint64).reshape(t.num_rows, -1) for i in (4, 5)]
-                far = np.bitwise_count(sk[0] ^ sk[1]).sum(axis=1)
+                far = np.array([distances(x, [y])[0] for x, y in zip(t.column(4).to_pylist(), t.column(5).to_pylist())])
                 an, bn = t.column(2).to_numpy(), t.column(3).to_numpy()
                 ok = (far <= bounds.most(an, bn)) & (den * np.minimum(an, bn) >= num * np.maximum(an, bn))
                 yield t.select(["a", "b"]).filter(pa.array(ok))
@@ -219,7 +238,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, bounds: Bounds) -> DataFrame:
     """The pairs (a, b) that link, by their whole shingle sets."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
-    wanted = checkpointed(ends.join(classes.select(F.col("c1").alias("c"), "id"), "c"))
+    wanted = written(ends.join(classes.select(F.col("c1").alias("c"), "id"), "c"))
     sets = written(_sets(docs, wanted, k), "sets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,11 +256,27 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int, bou
             .select("a", "b", "amembers", "bmembers").mapInArrow(run, "a long, b long"))
 
 
+def _again(met: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) for another star: every class with a hub that is drawn anew for each key, where their components
+    differ."""
+    members = _labelled(met, labels)
+    draw = F.xxhash64("c", F.lit(turn))
+    hubs = members.groupBy("key").agg(F.min(F.struct(draw.alias("d"), F.col("c").alias("hub"), F.col("root").alias("to"))).alias("h"),
+                                      F.min("root").alias("lo"), F.max("root").alias("hi"))
+    return (members.join(hubs.filter("lo <> hi").select("key", "h.hub", "h.to"), "key").filter("root <> to")
+            .select(F.greatest("c", "hub").alias("a"), F.least("c", "hub").alias("b")).distinct())
+
+
+def _labelled(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, c, root): every class under every key it shares, with its component."""
+    members = met.select("key", "c").unionByName(met.select("key", F.col("hub").alias("c")).distinct())
+    return (members.join(labels.select(F.col("node").alias("c"), "root"), "c", "left")
+            .withColumn("root", F.coalesce("root", "c")))
+
+
 def _across(met: DataFrame, labels: DataFrame, classes: DataFrame, bounds: Bounds) -> DataFrame:
     """Pairs of classes that share a key, lie in different components and pass the Hamming bound."""
-    members = met.select("key", "c").unionByName(met.select("key", F.col("hub").alias("c")).distinct())
-    labelled = (members.join(labels.select(F.col("node").alias("c"), "root"), "c", "left")
-                .withColumn("root", F.coalesce("root", "c")))
+    labelled = _labelled(met, labels)
     mixed = (labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("g"))
              .filter("lo <> hi").select("key", F.ceil(F.col("g") / CHUNK).cast("int").alias("chunks")))
     rows = (labelled.join(mixed, "key")
@@ -258,9 +293,10 @@ def _across(met: DataFrame, labels: DataFrame, classes: DataFrame, bounds: Bound
         for t in batches:
             a, b = [], []
             for ls, rs in zip(t.column(0).to_pylist(), t.column(1).to_pylist()):
-                pack = [(np.array([m["c"] for m in s]), np.array([m["root"] for m in s]), np.array([m["n"] for m in s]),
-                         np.frombuffer(b"".join(m["sketch"] for m in s), np.uint64).reshape(len(s), -1)) for s in (ls, rs)]
-                (lc, lr, ln, ls_), (rc, rr, rn, rs_) = pack
+                size = min(len(m["sketch"]) for s in (ls, rs) for m in s)
+                (lc, lr, ln, ls_), (rc, rr, rn, rs_) = [
+                    (np.array([m["c"] for m in s]), np.array([m["root"] for m in s]), np.array([m["n"] for m in s]),
+                     np.stack([folded(m["sketch"], size) for m in s])) for s in (ls, rs)]
                 for i in range(len(lc)):
                     ok = ((lr[i] != rr) & (np.bitwise_count(ls_[i] ^ rs_).sum(axis=1) <= bounds.most(ln[i], rn))
                           & (den * np.minimum(ln[i], rn) >= num * np.maximum(ln[i], rn)))
@@ -290,13 +326,21 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = written(_meetings(_keys(texts, k, bounds, sent)), "meetings")
     # classes that meet another one: one row each
     ends = met.select(F.explode(F.array("hub", "c")).alias("c1")).distinct()
-    classes = checkpointed(rows.join(ends, "c1", "left_semi").groupBy("c1").agg(
+    classes = written(rows.join(ends, "c1", "left_semi").groupBy("c1").agg(
         F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("id").alias("id")))
 
     star = met.select(F.col("c").alias("a"), F.col("hub").alias("b")).distinct()
-    links = checkpointed(_verified(checkpointed(_near(star, classes, bounds)), texts, classes, k, bounds))
+    links = written(_verified(written(_near(star, classes, bounds)), texts, classes, k, bounds))
     labels = components(links)
-    more = checkpointed(_across(met, labels, classes, bounds).join(links, ["a", "b"], "left_anti"))
+    tested = star.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    for turn in range(STARS):
+        more = written(_again(met, labels, turn).join(tested, ["a", "b"], "left_anti"))
+        new = written(_verified(written(_near(more, classes, bounds)), texts, classes, k, bounds))
+        if new.isEmpty():
+            break
+        tested, links = tested.unionByName(more), links.unionByName(new)
+        labels = components(links)
+    more = written(_across(met, labels, classes, bounds).join(tested, ["a", "b"], "left_anti"))
     if not more.isEmpty():
         labels = components(links.unionByName(_verified(more, texts, classes, k, bounds)))
 

@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import (WHITE_SPACE_CLASS, checkpointed, col, documents, free_name)
+from tickforge.llm.common import (WHITE_SPACE_CLASS, col, documents, free_name, written)
 
 MOST, CELLS, SEED, MAX_SOURCES = 3, 4096, 7, 1_000_000
 
@@ -67,7 +67,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """One row per row of ``docs``: (id, source, size, source_size, target, copies, taken, row_key)."""
     spark = docs.sparkSession
     text = F.coalesce(col(text_col), F.lit(""))
-    rows = checkpointed(docs.select(
+    rows = written(docs.select(
         col(id_col).alias("id"), col(source_col).cast("string").alias("source"),
         words(col(text_col)).alias("size"), F.xxhash64(text).alias("row_key"),
         F.monotonically_increasing_id().alias("rid"))

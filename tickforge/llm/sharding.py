@@ -3,7 +3,7 @@
 A record's key is (64-bit hash of its text, id, ordinal), so equal texts are
 neighbours and a group is cut only where a shard is full.
 
-1. One pass leaves narrow rows (key, size, CRC-32), fixed by a checkpoint.
+1. One pass leaves narrow rows (key, size, CRC-32), written once.
 2. Keys are sampled with chance in proportion to size, ``per_shard`` for each
    shard on average.  The sample's size does not grow with the input; its
    quantiles are the splitters, and records larger than a sampling step are
@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import checkpointed, col, documents, written
+from tickforge.llm.common import col, documents, written
 
 SHARDS, OVERHEAD = 40, 16
 #: Ranges and mean number of sampled keys for each shard; share over which a range is subdivided.
@@ -62,7 +62,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_co
           overhead: int = OVERHEAD) -> DataFrame:
     """One row per row of ``docs``: (id, size, text_crc32, law, shard, slot, grown_shard)."""
     text = F.coalesce(col(text_col), F.lit(""))
-    rows = checkpointed(docs.select(
+    rows = written(docs.select(
         col(id_col).alias("id"),
         (F.octet_length(text) + F.lit(overhead)).cast("long").alias("size"),
         F.crc32(text.cast("binary")).cast("long").alias("crc"),

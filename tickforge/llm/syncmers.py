@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import WHITE_SPACE_CLASS, checkpointed, col, documents
+from tickforge.llm.common import WHITE_SPACE_CLASS, col, documents, written
 
 K, S, SIZE = 5, 2, 64
 BLOCK_CHARS, MAX_BLOCKS, PER_BLOCK = 2_000_000, 1 << 17, 8
@@ -105,7 +105,7 @@ def with_successor(docs: DataFrame, id_col: str, text_col: str, block_chars: int
     first row in the block that comes before it in descending order."""
     base = docs.select(col(id_col).alias("id"), F.coalesce(col(id_col).cast("long"), F.lit(LEAST)).alias("i"),
                        F.coalesce(col(text_col), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
-    narrow = checkpointed(base.select("i", "h", F.length("text").alias("n")))
+    narrow = written(base.select("i", "h", F.length("text").alias("n")))
     total = narrow.agg((F.sum("n") + F.count(F.lit(1))).alias("t")).first()[0] or 1
     blocks = int(min(MAX_BLOCKS, max(1, total // block_chars)))
     step = float(max(1, total // (blocks * PER_BLOCK)))
