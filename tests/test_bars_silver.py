@@ -87,8 +87,41 @@ def test_daily_text_order_and_nulls(spark):
     assert got[3] == ""
 
 
-def test_auto_mode_switches_on_series_length(spark):
-    bars = FX.daily_bars(spark, SF0001)
-    assert PL.choose_mode(bars, "auto") == "key"
-    assert PL.choose_mode(bars, "auto", max_series_rows=10) == "blocks"
-    assert PL.choose_mode(bars, "key", max_series_rows=10) == "key"
+def test_own_nulls_are_filled(spark):
+    rows = [(i, 10.0, 12.0, 9.0, 10.0 + i) for i in range(30)]
+    bars = bars_df(spark, rows).unionByName(bars_df(spark, rows, "P"))
+    holed = bars.withColumn("c", F.when((F.col("ticker") != "A") | (F.dayofmonth("t") != 15), F.col("c")))
+    for mode in ("key", "blocks"):
+        s = PL.build_silver(holed, None, None, ["P"], mode=mode, block_rows=7)
+        assert s.count() == 24 and s.filter(F.dayofmonth("t") == 15).first()["c"] == 10.0 + 13
+
+
+def test_silver_without_lookahead(spark):
+    """Without the backward fill no value depends on later rows: cutting the series keeps earlier rows."""
+    bars = bars_df(spark, [(i, 10.0, 12.0, 9.0, 10.0 + i) for i in range(30)]).unionByName(
+        bars_df(spark, [(i, 1.0, 2.0, 0.5, 1.0 + i) for i in range(10, 30)], "P"))
+    whole = PL.build_silver(bars, None, None, ["P"], bfill=False)
+    cut = PL.build_silver(bars.filter(F.dayofmonth("t") <= 20), None, None, ["P"], bfill=False)
+    late = PL.build_silver(bars, None, None, ["P"])
+    assert late.count() == 24 and whole.count() == 19     # the proxy starts on day 11
+    a = {r["t"]: r for r in whole.collect()}
+    assert cut.count() > 0 and all(a[r["t"]] == r for r in cut.collect())
+
+
+def test_absent_proxy_raises_by_default(spark):
+    with pytest.raises(ValueError, match="without rows"):
+        PL.build_silver(bars_df(spark, [(i, 1, 2, 0.5, 1.5) for i in range(20)]), None, None, ["NOPE"])
+
+
+def test_malformed_publication_time(spark):
+    from tickforge.operators.news import daily_text
+    rows = [("X", "not a time", "a", "b", None, 1), ("X", "2020-01-02T09:00:00Z", "c", "d", None, 2)]
+    news = spark.createDataFrame(rows, "search_ticker string, published_utc string, title string, "
+                                       "description string, keywords array<string>, id long")
+    assert {r["t"] and r["t"].day: r["aggregated_text"].strip() for r in daily_text(news).collect()} == {None: "b  a", 2: "d  c"}
+
+
+def test_ticks_are_scanned_once(spark):
+    """One materialised bar table feeds targets, proxies and the check."""
+    s = PL.build_silver(FX.daily_bars(spark, SF0001), None, FX.TARGETS, FX.PROXIES)
+    assert "lineitem" not in s._jdf.queryExecution().executedPlan().toString()

@@ -249,7 +249,7 @@ def test_blocks_mode_gold_equals_key_mode(spark):
     from conftest import SF0001
     from tickforge.plans import pipeline as PL
     from tickforge.sources import fixtures as FX
-    silver = PL.build_silver(FX.daily_bars(spark, SF0001), None, FX.TARGETS[:2], FX.PROXIES).checkpoint(eager=True)
+    silver = PL.build_silver(FX.daily_bars(spark, SF0001), None, ["Brand#1", "Brand#2"], FX.PROXIES).checkpoint(eager=True)
     k = PL.build_gold(silver, embed=False)
     b = PL.build_gold(silver, embed=False, mode="blocks", block_rows=40)
     assert sorted(k.columns) == sorted(b.columns)

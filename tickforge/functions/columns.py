@@ -41,8 +41,9 @@ def epoch_ms_to_day(ms) -> Column:
 
 
 def iso_to_day(s) -> Column:
-    """ISO-8601 string (with or without offset) -> UTC day as ``timestamp_ntz``."""
-    return F.to_timestamp(_c(s)).cast("date").cast("timestamp_ntz")
+    """ISO-8601 string (with or without offset) -> UTC day as ``timestamp_ntz``; null
+    for a string that is no timestamp."""
+    return F.try_to_timestamp(_c(s)).cast("date").cast("timestamp_ntz")
 
 
 def weekday_mon1(ts) -> Column:

@@ -91,7 +91,15 @@ def add_rolling_stats(df: DataFrame, cols: Sequence[str] = ("vw", "n"), k: int =
 
 # ------------------------------------------------------------------ J1 P2
 
-def attach_proxies(bars: DataFrame, targets: Sequence[str], proxies: Sequence[str],
+def target_rows(df: DataFrame, targets: Sequence[str] | None, proxies: Sequence[str],
+                key: str = KEY) -> DataFrame:
+    """Rows of the target tickers; ``targets`` None means every ticker that is not a proxy."""
+    if targets is None:
+        return df.filter(~F.col(key).isin(list(proxies)))
+    return df.filter(F.col(key).isin(list(targets)))
+
+
+def attach_proxies(bars: DataFrame, targets: Sequence[str] | None, proxies: Sequence[str],
                    fields: Sequence[str] = BAR_FIELDS, key: str = KEY,
                    order: str = ORDER) -> DataFrame:
     """Left-join every proxy's bar fields onto the target series by ``order``.
@@ -99,7 +107,8 @@ def attach_proxies(bars: DataFrame, targets: Sequence[str], proxies: Sequence[st
     The reference runs one left join per proxy.  Because (key, order) is
     unique, pivoting the proxies once (explicit value list: no extra job to
     discover it) and joining once is the same result with one exchange.
-    Columns are ``<proxy>_<field>``.
+    Columns are ``<proxy>_<field>``.  ``targets`` None: every ticker that is not a
+    proxy.  ``bars`` is read twice; materialise it first where it is expensive.
     """
     proxies = list(proxies)
     wide = (bars.filter(F.col(key).isin(proxies))
@@ -108,8 +117,7 @@ def attach_proxies(bars: DataFrame, targets: Sequence[str], proxies: Sequence[st
             .agg(*[F.first(f).alias(f) for f in fields]))
     if len(fields) == 1:  # pivot names single-aggregate columns by value only
         wide = wide.select(order, *[F.col(f"`{p}`").alias(f"{p}_{fields[0]}") for p in proxies])
-    tgt = bars.filter(F.col(key).isin(list(targets)))
-    return tgt.join(wide, on=order, how="left")
+    return target_rows(bars, targets, proxies, key).join(wide, on=order, how="left")
 
 
 def proxy_columns(proxies: Sequence[str], fields: Sequence[str] = BAR_FIELDS) -> list[str]:

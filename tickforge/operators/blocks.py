@@ -18,7 +18,6 @@ Every shuffle is by (key, block), so a series of any length spreads over
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,12 +42,14 @@ def with_halo(df: DataFrame, rn: str, m: int, back: int = 0, fwd: int = 0) -> Da
         raise ValueError(f"halo ({back}, {fwd}) larger than the block ({m} rows)")
     b = block_of(rn, m)
     pos = F.col(rn) - b * F.lit(m)
-    parts = [df.select("*", b.alias(BLK), F.lit(False).alias(HALO))]
+    place = lambda blk, halo: F.struct(blk.alias(BLK), F.lit(halo).alias(HALO))
+    places = [place(b, False)]
     if back:
-        parts.append(df.filter(pos >= m - back).select("*", (b + 1).alias(BLK), F.lit(True).alias(HALO)))
+        places.append(F.when(pos >= m - back, place(b + 1, True)))
     if fwd:
-        parts.append(df.filter((pos < fwd) & (b > 0)).select("*", (b - 1).alias(BLK), F.lit(True).alias(HALO)))
-    return reduce(lambda x, y: x.unionByName(y), parts)
+        places.append(F.when((pos < fwd) & (b > 0), place(b - 1, True)))
+    x = df.select("*", F.explode(F.array_compact(F.array(*places))).alias("_at"))
+    return x.select(*[F.col(f"`{c}`") for c in df.columns], F.col(f"_at.{BLK}").alias(BLK), F.col(f"_at.{HALO}").alias(HALO))
 
 
 def drop_halo(df: DataFrame) -> DataFrame:

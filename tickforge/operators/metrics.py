@@ -1,7 +1,7 @@
-"""Forecast metrics and bands (A2-A5, H7), one grouped aggregation each.
+"""Forecast metrics and bands (A2-A5, H7).
 
-Means of y and of the prediction come from a first aggregation joined back
-by key (a small per-key table), never from sum-of-squares shortcuts.
+Directional accuracy compares with the means of y and of the prediction, which
+come from a first aggregation joined back by key (one row per key).
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickforge.functions import safe_div
+from tickforge.operators.quantiles import exact_quantiles
 
 KEY = "ticker"
 EPS = 1e-7  # epsilon of the reference's R^2 denominator in the combined metric
@@ -22,24 +23,17 @@ def _with_means(df: DataFrame, y: str, yhat: str, by: str) -> DataFrame:
     return df.join(m, by, "left")
 
 
-def regression_metrics(df: DataFrame, y: str = "y", yhat: str = "yhat", by: str = KEY,
-                       median: str = "percentile") -> DataFrame:
-    """RMSE, MAE, R^2 = 1 - SSE / sum (y - ybar)^2, median absolute error.
+def regression_metrics(df: DataFrame, y: str = "y", yhat: str = "yhat", by: str = KEY) -> DataFrame:
+    """RMSE, MAE, R^2 = 1 - SSE / SST with SST = n * var_pop(y), median absolute error.
 
-    ``median='percentile'`` uses Spark's exact ``percentile`` (one buffer of
-    distinct values per key); ``'sort'`` uses ``quantiles.exact_quantiles``
-    (same result, no key gathered in one task) for very large keys."""
-    x = _with_means(df, y, yhat, by)
+    One grouped aggregation; the median is an exact quantile by range sort, which gathers no
+    key in one task (``operators.quantiles``).  ``df`` is read twice."""
     e = F.col(y) - F.col(yhat)
-    aggs = [F.count(F.lit(1)).alias("n"),
-            F.sqrt(F.avg(e * e)).alias("rmse"),
-            F.avg(F.abs(e)).alias("mae"),
-            (F.lit(1.0) - safe_div(F.sum(e * e), F.sum((F.col(y) - F.col("_ybar")) ** 2))).alias("r2")]
-    if median == "percentile":
-        return x.groupBy(by).agg(*aggs, F.percentile(F.abs(e), 0.5).alias("medae"))
-    from tickforge.operators.quantiles import exact_quantiles
-    med = exact_quantiles(df, by, F.abs(F.col(y) - F.col(yhat)), [0.5], ["medae"])
-    return x.groupBy(by).agg(*aggs).join(med, by, "left")
+    g = df.groupBy(by).agg(
+        F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
+        (F.lit(1.0) - safe_div(F.sum(e * e), F.count(y) * F.var_pop(y))).alias("r2"))
+    med = exact_quantiles(df, by, F.abs(e), [0.5], ["medae"])
+    return g.join(med, by, "left")
 
 
 def mape(df: DataFrame, y: str = "y", yhat: str = "yhat", by: str = KEY) -> DataFrame:
@@ -82,15 +76,9 @@ def prediction_band(df: DataFrame, yhat: str = "yhat", pct: float = 0.95) -> Dat
 
 
 def residual_band(df: DataFrame, y: str = "y", yhat: str = "yhat", lo: float = 0.05,
-                  hi: float = 0.95, by: str = KEY, method: str = "percentile") -> DataFrame:
-    """yhat plus the per-key lo / hi quantiles of the residuals y - yhat
-    (``method='sort'``: the distributed exact quantiles, same values)."""
-    if method == "percentile":
-        q = df.groupBy(by).agg(F.percentile(F.col(y) - F.col(yhat), lo).alias("_qlo"),
-                               F.percentile(F.col(y) - F.col(yhat), hi).alias("_qhi"))
-    else:
-        from tickforge.operators.quantiles import exact_quantiles
-        q = exact_quantiles(df, by, F.col(y) - F.col(yhat), [lo, hi], ["_qlo", "_qhi"])
+                  hi: float = 0.95, by: str = KEY) -> DataFrame:
+    """yhat plus the per-key lo / hi quantiles of the residuals y - yhat (exact, by range sort)."""
+    q = exact_quantiles(df, by, F.col(y) - F.col(yhat), [lo, hi], ["_qlo", "_qhi"])
     j = df.join(q, by, "left")
     return j.select(*[F.col(f"`{c}`") for c in df.columns],
                     (F.col(yhat) + F.col("_qlo")).alias("lower"), (F.col(yhat) + F.col("_qhi")).alias("upper"))

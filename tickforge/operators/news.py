@@ -22,10 +22,12 @@ def daily_text(news: DataFrame, key: str = "search_ticker", published: str = "pu
                article_id: str = "id") -> DataFrame:
     """One row per (ticker, day) with every article's text joined by a space.
 
-    Articles are ordered by (publication time, article id) so the text is
+    An article whose time cannot be read has the day null, as the reference's
+    truncation gives; it joins no bar.  The gathered list of a group is the
+    output text itself in pieces.  Articles are ordered by (publication time, article id) so the text is
     deterministic; newlines become spaces (P4, P5, P6, A1).
     """
-    ts = F.to_timestamp(F.col(published))
+    ts = F.try_to_timestamp(F.col(published))
     per_article = news.select(
         F.col(key).alias(KEY), iso_to_day(F.col(published)).alias(ORDER),
         F.struct(ts.alias("ts"), F.col(article_id).alias("id"),

@@ -16,8 +16,8 @@ reset row (a_i = 0, y_i = b_i) at the seed.  Spark has no scan operator, so:
 
 Every column of the input passes through the pandas step, so no join back is
 needed; callers keep the frame narrow.  Nulls: a null ``b`` makes ``y`` null until the next
-reset.  The arithmetic is ``a * y + b`` in that order on every path, so
-results are reproducible bit for bit in other engines.
+reset, in both modes: a composed map carries its reset as a flag of its own.  The kernels work on
+NumPy arrays, about 2 sqrt(n) vector steps for n rows.
 """
 
 from __future__ import annotations
@@ -37,32 +37,51 @@ Spec = Mapping[str, tuple]  # out name -> (a column, b column)
 
 # ------------------------------------------------------------ pandas kernels
 
-def _scan(a: list, b: list, y: float) -> list:
-    out = [0.0] * len(a)
-    for i, (ai, bi) in enumerate(zip(a, b)):
-        y = bi if ai == 0.0 else ai * y + bi
-        out[i] = y
-    return out
-
-
-def _block_map(a: list, b: list) -> tuple[float, float]:
-    """Compose a block into y_out = A * y_in + B (A = 0 when the block resets)."""
-    y = 0.0
-    A = 1.0
-    for ai, bi in zip(a, b):
-        if ai == 0.0:
-            y, A = bi, 0.0
-        else:
-            y, A = ai * y + bi, A * ai
-    return A, y
-
-
-def _cols(pdf: pd.DataFrame, name: str) -> list:
-    return pdf[name].astype("float64").tolist()
-
-
-def _nan_to_none(v: list) -> list:
-    return [None if x != x else x for x in v]
+def block_map(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Compose the steps along the last axis into y_out = A * y_in + B, or y_out = B where the flag
+    says that a reset (a = 0) occurred."""
+    A, B, reset = np.ones(a.shape[:-1]), np.zeros(a.shape[:-1]), np.zeros(a.shape[:-1], bool)
+    for j in range(a.shape[-1]):
+        aj, bj = a[..., j], b[..., j]
+        at = aj == 0.0
+        B = np.where(at, bj, aj * B + bj)
+        A = np.where(at, 0.0, aj * A)
+        reset |= at
+    return A, B, reset
+
+
+def step_map(A, B, reset, y):
+    return np.where(reset, B, A * y + B)
+
+
+def scan(a: np.ndarray, b: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """y_i = a_i * y_(i-1) + b_i along the last axis of (series, n) arrays, from ``y`` (series).
+
+    The n steps are laid out as about sqrt(n) rows of sqrt(n) steps: all rows are composed side by side, the
+    rows' carries follow one after the other, and all rows are replayed side by side.  A null (NaN) b
+    stays until the next reset."""
+    k, n = a.shape
+    if not n:
+        return np.zeros((k, 0))
+    m = max(1, int(np.ceil(np.sqrt(n))))
+    rows = -(-n // m)
+    pad = rows * m - n
+    a = np.concatenate([a, np.ones((k, pad))], axis=1).reshape(k, rows, m)
+    b = np.concatenate([b, np.zeros((k, pad))], axis=1).reshape(k, rows, m)
+    A, B, reset = block_map(a, b)
+    carry = np.empty((k, rows))
+    for r in range(rows):
+        carry[:, r] = y
+        y = step_map(A[:, r], B[:, r], reset[:, r], y)
+    out, y = np.empty_like(a), carry
+    for j in range(m):
+        y = step_map(a[..., j], b[..., j], a[..., j] == 0.0, y)
+        out[..., j] = y
+    return out.reshape(k, rows * m)[:, :n]
+
+
+def _stack(pdf: pd.DataFrame, names: Sequence[str]) -> np.ndarray:
+    return np.stack([pdf[c].to_numpy(dtype="float64", na_value=np.nan) for c in names]) if len(names) else np.zeros((0, len(pdf)))
 
 
 # ------------------------------------------------------------- row numbers
@@ -154,18 +173,20 @@ def affine_scan(df: DataFrame, specs: Spec, key: str = KEY, order: str = ORDER,
     raise ValueError(f"unknown mode {mode!r}")
 
 
-def _finish(pdf: pd.DataFrame, cols: list, names: list, ys: list) -> pd.DataFrame:
+def _finish(pdf: pd.DataFrame, cols: list, names: list, ys: np.ndarray) -> pd.DataFrame:
     out = pdf[cols].copy()
     for nm, y in zip(names, ys):
-        out[nm] = pd.Series(_nan_to_none(y), index=pdf.index, dtype="object")
+        out[nm] = y                     # NaN arrives as null
     return out
 
 
 def _scan_by_key(wide, names, key, order, cols, schema):
+    k = len(names)
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, kind="mergesort")
-        ys = [_scan(_cols(pdf, f"_a{i}"), _cols(pdf, f"_b{i}"), 0.0) for i in range(len(names))]
-        return _finish(pdf, cols, names, ys)
+        a, b = (_stack(pdf, [f"_{x}{i}" for i in range(k)]) for x in "ab")
+        return _finish(pdf, cols, names, scan(a, b, np.zeros(k)))
 
     return wide.groupBy(key).applyInPandas(run, schema)
 
@@ -174,87 +195,95 @@ def _scan_blocks(wide, names, key, rn, m, cols, schema, fanout: int = 1024):
     k = len(names)
     blocked = wide.withColumn("_blk", F.floor(F.col(rn) / F.lit(m)).cast("long"))
     kt = wide.schema[key].dataType
+    abr = ["A", "B", "R"]
 
-    # 1. one affine map (A, B) per block and output, from (a, b) columns only
-    sum_fields = [T.StructField(key, kt), T.StructField("_blk", T.LongType())]
-    for i in range(k):
-        sum_fields += [T.StructField(f"_A{i}", T.DoubleType()), T.StructField(f"_B{i}", T.DoubleType())]
+    def fields(at: str, parts: Sequence[str]) -> T.StructType:
+        return T.StructType([T.StructField(key, kt), T.StructField(at, T.LongType())]
+                            + [T.StructField(f"_{x}{i}", T.DoubleType()) for i in range(k) for x in parts])
+
+    def one_row(pdf, at, A, B, reset):
+        row = {key: [pdf[key].iloc[0]], at: [int(pdf[at].iloc[0])]}
+        for i in range(k):
+            row[f"_A{i}"], row[f"_B{i}"], row[f"_R{i}"] = [A[i]], [B[i]], [float(reset[i])]
+        return pd.DataFrame(row)[[key, at] + [f"_{x}{i}" for i in range(k) for x in abr]]
 
+    # 1. one map (A, B, reset) per block and output, from (a, b) columns only
     def summarize(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(rn, kind="mergesort")
-        row = {key: [pdf[key].iloc[0]], "_blk": [int(pdf["_blk"].iloc[0])]}
-        for i in range(k):
-            A, B = _block_map(_cols(pdf, f"_a{i}"), _cols(pdf, f"_b{i}"))
-            row[f"_A{i}"], row[f"_B{i}"] = [A], [B]
-        return pd.DataFrame(row)
+        n = len(pdf)
+        a, b = (_stack(pdf, [f"_{x}{i}" for i in range(k)]) for x in "ab")
+        side = max(1, int(np.sqrt(n)))           # compose rows side by side, then the rows
+        pad = -n % side
+        a = np.concatenate([a, np.ones((k, pad))], axis=1).reshape(k, side, -1)
+        b = np.concatenate([b, np.zeros((k, pad))], axis=1).reshape(k, side, -1)
+        return one_row(pdf, "_blk", *_fold(*block_map(a, b)))
 
     ab = [c for i in range(k) for c in (f"_a{i}", f"_b{i}")]
     maps = (blocked.select(key, "_blk", rn, *ab)
-            .groupBy(key, "_blk").applyInPandas(summarize, T.StructType(sum_fields)))
+            .groupBy(key, "_blk").applyInPandas(summarize, fields("_blk", abr)))
 
     # 2. carry-in per block, in two levels so no task folds a whole key:
     #    maps are grouped into super-blocks of ``fanout`` blocks, each
     #    super-block is composed to one map, the (#blocks / fanout) super-maps
     #    of a key are folded, and each super-block replays its maps from its
     #    super-carry.
-    carry_fields = [T.StructField(key, kt), T.StructField("_blk", T.LongType())] + \
-        [T.StructField(f"_y{i}", T.DoubleType()) for i in range(k)]
-    sup_fields = [T.StructField(key, kt), T.StructField("_sb", T.LongType())]
-    for i in range(k):
-        sup_fields += [T.StructField(f"_A{i}", T.DoubleType()), T.StructField(f"_B{i}", T.DoubleType())]
+    def maps_of(pdf: pd.DataFrame):
+        A, B, R = (_stack(pdf, [f"_{x}{i}" for i in range(k)]) for x in abr)
+        return A, B, R > 0
 
     def compose(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_blk", kind="mergesort")
-        row = {key: [pdf[key].iloc[0]], "_sb": [int(pdf["_sb"].iloc[0])]}
-        for i in range(k):
-            A, B = _block_map(_cols(pdf, f"_A{i}"), _cols(pdf, f"_B{i}"))
-            row[f"_A{i}"], row[f"_B{i}"] = [A], [B]
-        return pd.DataFrame(row)
-
-    def fold_maps(pdf: pd.DataFrame, y0s: list, order_col: str) -> dict:
-        pdf = pdf.sort_values(order_col, kind="mergesort")
-        out = {key: pdf[key].to_numpy(), order_col: pdf[order_col].to_numpy()}
-        for i in range(k):
-            y, ys = y0s[i], []
-            for Aj, Bj in zip(_cols(pdf, f"_A{i}"), _cols(pdf, f"_B{i}")):
-                ys.append(y)
-                y = Bj if Aj == 0.0 else Aj * y + Bj
-            out[f"_y{i}"] = ys
-        return out
+        return one_row(pdf, "_sb", *_fold(*maps_of(pdf)))
+
+    def carries_of(pdf: pd.DataFrame, y0: np.ndarray, at: str) -> pd.DataFrame:
+        pdf = pdf.sort_values(at, kind="mergesort")
+        A, B, R = maps_of(pdf)
+        out, y = np.empty(A.shape), y0
+        for j in range(A.shape[1]):
+            out[:, j] = y
+            y = step_map(A[:, j], B[:, j], R[:, j], y)
+        return pd.DataFrame({key: pdf[key].to_numpy(), at: pdf[at].to_numpy(),
+                             **{f"_y{i}": out[i] for i in range(k)}})
 
-    sup_carry_fields = [T.StructField(key, kt), T.StructField("_sb", T.LongType())] + \
-        [T.StructField(f"_y{i}", T.DoubleType()) for i in range(k)]
     maps = maps.withColumn("_sb", F.floor(F.col("_blk") / F.lit(fanout)).cast("long"))
-    sup = maps.groupBy(key, "_sb").applyInPandas(compose, T.StructType(sup_fields))
+    sup = maps.groupBy(key, "_sb").applyInPandas(compose, fields("_sb", abr))
     sup_carries = sup.groupBy(key).applyInPandas(
-        lambda pdf: pd.DataFrame(fold_maps(pdf, [0.0] * k, "_sb")), T.StructType(sup_carry_fields))
+        lambda pdf: carries_of(pdf, np.zeros(k), "_sb"), fields("_sb", ["y"]))
+
+    def start(cdf: pd.DataFrame) -> np.ndarray:
+        return np.array([cdf[f"_y{i}"].iloc[0] for i in range(k)], dtype="float64") if len(cdf) else np.zeros(k)
 
     def fold_block(pdf: pd.DataFrame, cdf: pd.DataFrame) -> pd.DataFrame:
         if pdf.empty:
-            return pd.DataFrame({f.name: [] for f in carry_fields})
-        y0s = [float(cdf[f"_y{i}"].iloc[0]) if len(cdf) else 0.0 for i in range(k)]
-        out = fold_maps(pdf, y0s, "_blk")
-        return pd.DataFrame({c: out[c] for c in [key, "_blk"] + [f"_y{i}" for i in range(k)]})
+            return pd.DataFrame({f.name: [] for f in fields("_blk", ["y"]).fields})
+        return carries_of(pdf, start(cdf), "_blk")
 
     carries = (maps.groupBy(key, "_sb").cogroup(sup_carries.groupBy(key, "_sb"))
-               .applyInPandas(fold_block, T.StructType(carry_fields)))
+               .applyInPandas(fold_block, fields("_blk", ["y"])))
 
     # 3. replay every block from its carry (co-grouped on (key, block))
     def replay(pdf: pd.DataFrame, cdf: pd.DataFrame) -> pd.DataFrame:
         if pdf.empty:
             return pd.DataFrame({f.name: [] for f in schema.fields})
         pdf = pdf.sort_values(rn, kind="mergesort")
-        ys = []
-        for i in range(k):
-            y0 = float(cdf[f"_y{i}"].iloc[0]) if len(cdf) else 0.0
-            ys.append(_scan(_cols(pdf, f"_a{i}"), _cols(pdf, f"_b{i}"), y0))
-        return _finish(pdf, cols, names, ys)
+        a, b = (_stack(pdf, [f"_{x}{i}" for i in range(k)]) for x in "ab")
+        return _finish(pdf, cols, names, scan(a, b, start(cdf)))
 
     return (blocked.groupBy(key, "_blk")
             .cogroup(carries.groupBy(key, "_blk"))
             .applyInPandas(replay, schema))
 
 
+def _fold(A: np.ndarray, B: np.ndarray, reset: np.ndarray):
+    """Compose maps along the last axis."""
+    a, b, z = np.ones(A.shape[0]), np.zeros(A.shape[0]), np.zeros(A.shape[0], bool)
+    for j in range(A.shape[1]):
+        b = step_map(A[:, j], B[:, j], reset[:, j], b)
+        a = np.where(reset[:, j], 0.0, A[:, j] * a)
+        z |= reset[:, j]
+    return a, b, z
+
+
 # ----------------------------------------------------- series helpers
 
 def row_number0(key: str = KEY, order: str = ORDER) -> Column:
@@ -262,17 +291,16 @@ def row_number0(key: str = KEY, order: str = ORDER) -> Column:
 
 
 def prev_values(df: DataFrame, cols: Mapping[str, str], k: int, key: str, order: str,
-                rn: str | None, mode: str) -> DataFrame:
-    """Values k rows earlier in the series, ``{source: alias}``.  Key mode:
-    ``lag``.  Blocks mode: one equi-join on (key, rn - k), which shuffles by
-    row number, not by key, so a long series is spread evenly."""
+                rn: str | None, mode: str, block_rows: int = 4096) -> DataFrame:
+    """Values k rows earlier in the series, ``{source: alias}``.  Key mode: ``lag``.  Blocks mode:
+    ``lag`` inside (key, block) with a halo of k rows, so a long series is spread evenly."""
     if mode == "key":
         w = series_window(key, order)
         return df.select("*", *[F.lag(c, k).over(w).alias(a) for c, a in cols.items()])
-    prev = df.select(F.col(key).alias("_pk"), (F.col(rn) + F.lit(k)).alias("_prn"),
-                     *[F.col(c).alias(a) for c, a in cols.items()])
-    j = df.join(prev, (df[key] == prev["_pk"]) & (df[rn] == prev["_prn"]), "left")
-    return j.drop("_pk", "_prn")
+    from tickforge.operators import blocks as BK
+    w = BK.block_window(key, rn)
+    h = BK.with_halo(df, rn, block_rows, back=k)
+    return BK.drop_halo(h.select("*", *[F.lag(c, k).over(w).alias(a) for c, a in cols.items()]))
 
 
 def head_means(df: DataFrame, specs: Mapping[str, tuple], key: str, order: str, rn: str,
@@ -364,7 +392,7 @@ def add_rsi(df: DataFrame, window: int = 14, close: str = "c", name: str = "rsi"
     """Wilder RSI: EMAs (alpha = 1/window) of gains and losses from row 0;
     null for the first window - 1 rows (T15)."""
     df, rn = _numbered(df, key, order, mode)
-    df = prev_values(df, {close: "_pc"}, 1, key, order, rn, mode)
+    df = prev_values(df, {close: "_pc"}, 1, key, order, rn, mode, block_rows)
     df = df.select("*", *_gain_loss(close, "_pc"))
     al = 1.0 / window
     specs = {"_up": _ema_spec("_gain", al, rn), "_dn": _ema_spec("_loss", al, rn)}
@@ -404,7 +432,7 @@ def add_technical_recurrences(df: DataFrame, key: str = KEY, order: str = ORDER,
     df0 = df   # an external row number (blocks mode) is kept in the output
     if rn is None or mode == "key":
         df, rn = _numbered(df, key, order, mode)
-    df = prev_values(df, {"c": "_pc", "h": "_ph", "l": "_pl"}, 1, key, order, rn, mode)
+    df = prev_values(df, {"c": "_pc", "h": "_ph", "l": "_pl"}, 1, key, order, rn, mode, block_rows)
     up = F.col("h") - F.col("_ph")
     dn = F.col("_pl") - F.col("l")
     df = df.select("*", *_gain_loss("c", "_pc"),
@@ -448,13 +476,6 @@ def add_technical_recurrences(df: DataFrame, key: str = KEY, order: str = ORDER,
     return df.select(*[F.col(f"`{c}`") for c in keep], *[v.alias(k) for k, v in out.items()])
 
 
-def _div(a, b):
-    """try_divide on Python floats (None for a null operand or a zero divisor)."""
-    if a is None or b is None or b == 0.0:
-        return None
-    return a / b
-
-
 def _tech_by_key(df, cols, specs, key, order, rn, ema_windows, rsi_window, na, macd):
     """Both scan rounds in one pandas pass per key; the arithmetic is the
     same, in the same order, as the block-mode column expressions."""
@@ -469,66 +490,38 @@ def _tech_by_key(df, cols, specs, key, order, rn, ema_windows, rsi_window, na, m
     out_fields = [df.schema[c] for c in keep] + [T.StructField(c, T.DoubleType()) for c in TECH_OUT]
     a_sig, a_na = ema_alpha(sig), 1.0 / na
 
-    def nn(v):
-        return None if v != v else v
+    def ratio(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return np.where(y == 0.0, np.nan, x / np.where(y == 0.0, 1.0, y))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, kind="mergesort")
-        r = dict(zip(names, (_scan(_cols(pdf, f"_a{i}"), _cols(pdf, f"_b{i}"), 0.0)
-                             for i in range(len(names)))))
-        rows = pdf[rn].astype("int64").tolist()
-        m = len(rows)
-        ef, es = r[f"_ema{fast}"], r[f"_ema{slow}"]
-        trw, pdmw, mdmw = (list(map(nn, r[c])) for c in ("_tr_w", "_pdm_w", "_mdm_w"))
-        pdi, mdi, dx, mac = [None] * m, [None] * m, [None] * m, [None] * m
-        for i in range(m):
-            q = _div(pdmw[i], trw[i])
-            pdi[i] = None if q is None else 100.0 * q
-            q = _div(mdmw[i], trw[i])
-            mdi[i] = None if q is None else 100.0 * q
-            if pdi[i] is not None and mdi[i] is not None:
-                q = _div(abs(pdi[i] - mdi[i]), pdi[i] + mdi[i])
-                dx[i] = None if q is None else 100.0 * q
-            if rows[i] >= slow - 1:
-                mac[i] = ef[i] - es[i]
-        # ADX seed: mean of DX over rows na .. 2na-1 (all rows present)
+        k = len(names)
+        a, b = (_stack(pdf, [f"_{x}{i}" for i in range(k)]) for x in "ab")
+        r = dict(zip(names, scan(a, b, np.zeros(k))))
+        rows = pdf[rn].to_numpy(dtype="int64")
+        pdi, mdi = (100.0 * ratio(r[c], r["_tr_w"]) for c in ("_pdm_w", "_mdm_w"))
+        dx = 100.0 * ratio(np.abs(pdi - mdi), pdi + mdi)
+        mac = np.where(rows >= slow - 1, r[f"_ema{fast}"] - r[f"_ema{slow}"], np.nan)
+        # ADX seed: mean of DX over rows na .. 2na-1 (all rows present), summed in order
         lo, hi = na, 2 * na - 1
-        dseed = None
-        if m > hi:
-            vals = [dx[i] for i in range(lo, hi + 1) if dx[i] is not None]
-            if vals:
-                acc = 0.0
-                for v in vals:
-                    acc += v
-                dseed = acc / len(vals)
-        a2, b2, a3, b3 = [], [], [], []
-        for i in range(m):
-            k = rows[i]
-            a2.append(0.0 if k <= hi else 1.0 - a_na)
-            b2.append(float("nan") if k < hi else (
-                (float("nan") if dseed is None else dseed) if k == hi else
-                (float("nan") if dx[i] is None else a_na * dx[i])))
-            a3.append(0.0 if k <= slow - 1 else 1.0 - a_sig)
-            b3.append(float("nan") if k < slow - 1 or mac[i] is None else (
-                mac[i] if k == slow - 1 else a_sig * mac[i]))
-        adx = _scan(a2, b2, 0.0)
-        sg = _scan(a3, b3, 0.0)
+        head = dx[lo:hi + 1][~np.isnan(dx[lo:hi + 1])] if len(rows) > hi else np.empty(0)
+        seed = np.add.accumulate(head)[-1] / len(head) if len(head) else np.nan
+        a2 = np.where(rows <= hi, 0.0, 1.0 - a_na)
+        b2 = np.where(rows < hi, np.nan, np.where(rows == hi, seed, a_na * dx))
+        a3 = np.where(rows <= slow - 1, 0.0, 1.0 - a_sig)
+        b3 = np.where(rows == slow - 1, mac, a_sig * mac)
+        adx, sg = scan(np.stack([a2, a3]), np.stack([b2, b3]), np.zeros(2))
+        ok = rows >= slow + sig - 2
+        up, dn = r["_up"], r["_dn"]
+        made = {"adx": adx, "atr": r["_atr"],
+                "rsi": np.where(rows < rsi_window - 1, np.nan,
+                                np.where(dn == 0, 100.0, 100.0 - 100.0 / (1.0 + up / np.where(dn == 0, 1.0, dn)))),
+                "MACDs_12_26_9": np.where(ok, sg, np.nan), "MACDh_12_26_9": np.where(ok, mac - sg, np.nan),
+                "DMP_16": pdi}
+        made |= {f"{w}D-EMA": np.where(rows >= w - 1, r[f"_ema{w}"], np.nan) for w in ema_windows}
         out = pdf[keep].copy()
-        cols_out = {"adx": [nn(v) for v in adx], "atr": [nn(v) for v in r["_atr"]]}
-        for w in ema_windows:
-            e = r[f"_ema{w}"]
-            cols_out[f"{w}D-EMA"] = [nn(e[i]) if rows[i] >= w - 1 else None for i in range(m)]
-        upv, dnv = r["_up"], r["_dn"]
-        cols_out["rsi"] = [None if rows[i] < rsi_window - 1 else
-                           (100.0 if dnv[i] == 0 else 100.0 - 100.0 / (1.0 + upv[i] / dnv[i]))
-                           for i in range(m)]
-        ok = [rows[i] >= slow + sig - 2 for i in range(m)]
-        cols_out["MACDs_12_26_9"] = [nn(sg[i]) if ok[i] else None for i in range(m)]
-        cols_out["MACDh_12_26_9"] = [nn(mac[i] - sg[i]) if ok[i] and mac[i] is not None else None
-                                     for i in range(m)]
-        cols_out["DMP_16"] = pdi
         for c in TECH_OUT:
-            out[c] = pd.Series(cols_out[c], index=pdf.index, dtype="object")
+            out[c] = made[c]            # NaN arrives as null
         return out
 
     return wide.groupBy(key).applyInPandas(run, T.StructType(out_fields))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tickforge.operators import bars as B
 from tickforge.operators.news import attach_news, daily_text
+from tickforge.session import materialise
 
 KEY, ORDER = B.KEY, B.ORDER
 
@@ -25,20 +26,6 @@ def check_proxies_present(bars: DataFrame, proxies: Sequence[str]) -> None:
         raise ValueError(f"proxy series without rows: {missing}")
 
 
-MAX_SERIES_ROWS = 2_000_000   # longest series handled as one task in mode="auto"
-
-
-def choose_mode(df: DataFrame, mode: str = "auto", key: str = KEY,
-                max_series_rows: int = MAX_SERIES_ROWS) -> str:
-    """``'key'`` / ``'blocks'`` as given; ``'auto'`` picks blocks when the
-    longest series exceeds ``max_series_rows`` (one partial-aggregated count
-    per key, reduced to a single number on the driver)."""
-    if mode != "auto":
-        return mode
-    longest = df.groupBy(key).count().agg(F.max("count")).collect()[0][0] or 0
-    return "blocks" if longest > max_series_rows else "key"
-
-
 def fill_both(df: DataFrame, cols: Sequence[str], key: str = KEY, order: str = ORDER) -> DataFrame:
     """Forward fill, then backward fill for leading gaps, in one projection.
 
@@ -55,10 +42,13 @@ def fill_both(df: DataFrame, cols: Sequence[str], key: str = KEY, order: str = O
     return df.select(*[filled(c) if c in cols else F.col(f"`{c}`") for c in df.columns])
 
 
-def align(bars: DataFrame, targets: Sequence[str], proxies: Sequence[str]) -> DataFrame:
-    """Targets with proxy columns, gaps filled along each target's own days."""
+def align(bars: DataFrame, targets: Sequence[str] | None, proxies: Sequence[str],
+          bfill: bool = True) -> DataFrame:
+    """Targets with proxy columns; gaps of every column but the keys are filled along
+    each target's own days, forward and (``bfill``) then backward."""
     joined = B.attach_proxies(bars, targets, proxies)
-    return fill_both(joined, B.proxy_columns(proxies))
+    cols = [c for c in joined.columns if c not in (KEY, ORDER)]
+    return fill_both(joined, cols) if bfill else B.ffill(joined, cols)
 
 
 def derive(df: DataFrame, lookback: int = 5, cols: Sequence[str] = ("vw", "n"),
@@ -88,11 +78,16 @@ def derive(df: DataFrame, lookback: int = 5, cols: Sequence[str] = ("vw", "n"),
     return h.select(*[F.col(f"`{c}`") for c in base + first + rest])
 
 
-def build_silver(bars: DataFrame, news: DataFrame | None, targets: Sequence[str],
+def build_silver(bars: DataFrame, news: DataFrame | None, targets: Sequence[str] | None,
                  proxies: Sequence[str], lookback: int = 5,
-                 check_proxies: bool = False, mode: str = "key",
-                 block_rows: int = 4096) -> DataFrame:
-    """Silver table for every target ticker at once.
+                 check_proxies: bool = True, mode: str = "key",
+                 block_rows: int = 4096, bfill: bool = True) -> DataFrame:
+    """Silver table for every target ticker at once (``targets`` None: every ticker that
+    is not a proxy).
+
+    The bars are materialised once, since targets, proxies and the check read them.  Nulls in
+    any column are filled along each ticker's days, forward and then backward; ``bfill=False``
+    leaves out the backward fill, which looks ahead.  A proxy without rows raises.
 
     bars: (ticker, t, o, h, l, c, v, vw, n) with ``t`` a day timestamp.
     news: bronze news rows (search_ticker, published_utc, title,
@@ -101,22 +96,23 @@ def build_silver(bars: DataFrame, news: DataFrame | None, targets: Sequence[str]
     fills take block carries and the lead / lag / rolling windows run per
     (ticker, block) with a halo (``operators.blocks``).
     """
+    bars = materialise(bars)
     if check_proxies:
         check_proxies_present(bars, proxies)
-    mode = choose_mode(bars.filter(F.col(KEY).isin(list(targets))), mode)
     rn = None
     if mode == "key":
-        df = align(bars, targets, proxies)
+        df = align(bars, targets, proxies, bfill)
     else:
         from tickforge.operators import blocks as BK
         from tickforge.operators.recurrence import _numbered
         joined = B.attach_proxies(bars, targets, proxies)
         df, rn = _numbered(joined, KEY, ORDER, "blocks")
-        pc = B.proxy_columns(proxies)
+        pc = [c for c in joined.columns if c not in (KEY, ORDER)]
         df = BK.fill_blocks(df, pc, KEY, rn, block_rows, "forward")
-        df = BK.fill_blocks(df, pc, KEY, rn, block_rows, "backward")
+        if bfill:
+            df = BK.fill_blocks(df, pc, KEY, rn, block_rows, "backward")
     if news is not None:
-        nd = daily_text(news.filter(F.col("search_ticker").isin(list(targets))))
+        nd = daily_text(B.target_rows(news, targets, proxies, "search_ticker"))
         df = attach_news(df, nd)
     else:
         df = df.withColumn("aggregated_text", F.lit(" "))
@@ -143,7 +139,6 @@ def indicators(series: DataFrame, mode: str = "key", block_rows: int = 4096,
     from tickforge.operators import frames as FR
     from tickforge.operators import recurrence as R
     narrow = series.select(key, order, "o", "h", "l", "c", "v")
-    mode = choose_mode(narrow, mode, key)
     if mode == "key":
         df = FR.add_frame_indicators(narrow, key, order)
         df = R.add_technical_recurrences(df, key, order, mode=mode)
@@ -174,11 +169,12 @@ def warmup_fill(df: DataFrame, cols, mode: str = "bfill", key: str = KEY, order:
     return B.bfill(df, cols, key, order)
 
 
-def _fit_text_model(text: DataFrame, size: int, min_count: int, seed: int, partitions: int):
+def _fit_text_model(text: DataFrame, size: int, min_count: int, seed: int, partitions: int | None):
     """Word2Vec fitted on tokenized, stop-word-free daily texts; None when
     the texts hold no word at all (every embedding is then zero)."""
     from tickforge.operators import text as X
-    toks = X.remove_stopwords(X.tokenize(text, "aggregated_text", "_tokens"), "_tokens", "_filtered")
+    toks = X.hash_tokens(X.remove_stopwords(X.tokenize(text, "aggregated_text", "_tokens"), "_tokens", "_filtered"),
+                         "_filtered")
     if not toks.filter(F.size("_filtered") > 0).limit(1).take(1):
         return None
     return X.fit_word2vec(toks, "_filtered", size, min_count, seed, partitions)
@@ -186,7 +182,7 @@ def _fit_text_model(text: DataFrame, size: int, min_count: int, seed: int, parti
 
 def build_gold(silver: DataFrame, warmup: str = "bfill", embed: bool = True, mode: str = "key",
                block_rows: int = 4096, embedding_size: int = 100, min_count: int = 0,
-               seed: int = 42, w2v_partitions: int = 8, scope: str = "global") -> DataFrame:
+               seed: int = 42, w2v_partitions: int | None = None, scope: str = "global") -> DataFrame:
     """Gold table: silver + 22 derived columns (warm-up filled) + the daily
     text embedding; ``aggregated_text`` dropped, ``target`` last.
 
@@ -194,11 +190,9 @@ def build_gold(silver: DataFrame, warmup: str = "bfill", embed: bool = True, mod
     recurrence is seeded at the first silver row of each ticker (Q22).
     ``scope='global'`` fits one Word2Vec over every ticker (one distributed
     fit); ``'per_ticker'`` fits one per ticker, as the reference.
-    ``w2v_partitions``: Word2Vec training partitions (the reference's
-    default is 1, a single training task; 8 trains about 3x faster here).
+    ``w2v_partitions``: Word2Vec training tasks (default: the cluster's parallelism).
     """
     from tickforge.operators import text as X
-    mode = choose_mode(silver, mode)
     if mode == "key":
         ind = warmup_fill(indicators(silver, mode, block_rows), GOLD_DERIVED, warmup)
     else:
@@ -228,21 +222,27 @@ def build_gold(silver: DataFrame, warmup: str = "bfill", embed: bool = True, mod
     return B.target_last(df)
 
 
-def run_layers(bars: DataFrame, news: DataFrame | None, out_dir: str, targets: Sequence[str],
+def run_layers(bars: DataFrame, news: DataFrame | None, out_dir: str, targets: Sequence[str] | None,
                proxies: Sequence[str], **gold_args) -> dict[str, str]:
-    """bronze -> silver -> gold as written tables.
+    """bronze (bars, news) -> silver -> gold as written tables (S4, S7); returns their paths.
 
     Silver is written once, partitioned by ticker and sorted by t, and gold is
     built from that table (gold branches over silver several times, so it is
     materialised instead of recomputed).  Rewriting a subset of tickers only
-    replaces their partitions.  ``mode`` defaults to ``'auto'``: series
-    longer than ``MAX_SERIES_ROWS`` switch to the block-parallel windows.
+    replaces their partitions.  ``mode='blocks'`` uses the block-parallel windows throughout.
     """
     from tickforge.sources.tables import read_table, write_table
     spark = bars.sparkSession
-    silver_path, gold_path = f"{out_dir.rstrip('/')}/silver", f"{out_dir.rstrip('/')}/gold"
-    mode = gold_args.pop("mode", "auto")
-    write_table(build_silver(bars, news, targets, proxies, mode=mode), silver_path, KEY, ORDER)
-    silver = read_table(spark, silver_path, targets)
-    write_table(build_gold(silver, mode=mode, **gold_args), gold_path, KEY, ORDER)
-    return {"silver": silver_path, "gold": gold_path}
+    paths = {x: f"{out_dir.rstrip('/')}/{x}" for x in ("bars", "news", "silver", "gold")}
+    mode = gold_args.pop("mode", "key")
+    write_table(bars, paths["bars"], KEY, ORDER)
+    bars = read_table(spark, paths["bars"])
+    if news is None:
+        paths.pop("news")
+    else:
+        write_table(news, paths["news"], "search_ticker", "published_utc")
+        news = read_table(spark, paths["news"], key="search_ticker")
+    write_table(build_silver(bars, news, targets, proxies, mode=mode), paths["silver"], KEY, ORDER)
+    silver = read_table(spark, paths["silver"], targets)
+    write_table(build_gold(silver, mode=mode, **gold_args), paths["gold"], KEY, ORDER)
+    return paths

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickforge.operators import learn as L
 from tickforge.operators import metrics as M
 from tickforge.plans import pipeline as PL
+from tickforge.operators.forecast import HOLIDAYS, carry_forward, holiday_table, next_business_days
+from tickforge.operators.prep import last_row
 from tickforge.plans.catalog import register, round_doubles
 from tickforge.plans.q_frames import W14, W20
+from tickforge.plans.q_prep import HOL_SQL
 from tickforge.plans.q_recur import RSICAT_SQL, recur_cte
 from tickforge.plans.q_silver import SILVER_COLS, SILVER_DBL, SILVER_SQL, SILVER_WHERE
 from tickforge.plans.sqlparts import BARS_DAILY, BARS_HOURLY, q, rounded
-from tickforge.session import scratch_path
+from tickforge.session import materialise, scratch_path
 from tickforge.sources import fixtures as FX
 
 P = "PARTITION BY ticker ORDER BY t"
@@ -107,7 +109,7 @@ def gold_features(spark, sf_dir):
     """The gold table without the text embedding: silver, the 22 derived
     columns computed on the silver rows (every recurrence seeded at a
     ticker's first silver row, Q22) and the warm-up fill; SQL-checked."""
-    silver = _silver(spark, sf_dir).checkpoint(eager=True)
+    silver = materialise(_silver(spark, sf_dir))
     return round_doubles(PL.build_gold(silver, embed=False))
 
 
@@ -115,32 +117,38 @@ def gold_features(spark, sf_dir):
 def gold(spark, sf_dir):
     """Whole gold layer: silver materialised once (checkpoint in the shared
     folder), indicators, warm-up fill, Word2Vec text embedding; rows-only."""
-    silver = _silver(spark, sf_dir).checkpoint(eager=True)
+    silver = materialise(_silver(spark, sf_dir))
     return PL.build_gold(silver)
 
 
+EMBEDDING = 100
+
+
 def _features(spark, sf_dir):
-    """Silver + indicators (no text embedding) with a chronological split
-    column: the last 20% of each ticker's rows are held out."""
-    silver = _silver(spark, sf_dir).checkpoint(eager=True)
-    g = PL.build_gold(silver, embed=False)
-    w = Window.partitionBy("ticker").orderBy("t")
-    g = g.select("*", F.percent_rank().over(w).alias("_pr"))
-    return g.withColumn("split", F.when(F.col("_pr") < 0.8, "train").otherwise("test")).drop("_pr")
+    """The whole gold table, embedding expanded, with the last 20% of each ticker's rows held out."""
+    g = PL.build_gold(materialise(_silver(spark, sf_dir)), embedding_size=EMBEDDING)
+    return materialise(L.hold_out(L.expand_embedding(g, EMBEDDING)))
+
+
+def _fitted(f, booster, params):
+    """Model on the rows that are not held out; the last 20% of those steer early stopping."""
+    train = L.hold_out(f.filter(~F.col("held")).drop("held"), name="late")
+    return L.fit(train, L.feature_columns(f), params, booster, valid="late" if booster == "gbtree" else None)
 
 
 def _scores(spark, sf_dir, booster, params):
-    f = _features(spark, sf_dir).checkpoint(eager=True)
-    feats = L.feature_columns(f, exclude=["split"])
-    model = L.fit(f.filter(F.col("split") == "train"), feats, params, booster)
-    return L.score(model, f.filter(F.col("split") == "test"))
+    f = _features(spark, sf_dir)
+    return L.score(_fitted(f, booster, params), f.filter("held"))
+
+
+TREES = {"rounds": 10, "max_depth": 4, "eta": 0.3}
 
 
 @register("boosted_tree_scores")
 def boosted_tree_scores(spark, sf_dir):
-    """Gradient-boosted trees over all tickers, scored on the
-    held-out last 20% of each ticker; rows-only."""
-    return _scores(spark, sf_dir, "gbtree", {"rounds": 10, "max_depth": 4, "eta": 0.3})
+    """Gradient-boosted trees over all tickers and all gold columns, with early stopping,
+    scored on the held-out last 20% of each ticker; rows-only (``heldout_rows`` checks the rows)."""
+    return _scores(spark, sf_dir, "gbtree", TREES)
 
 
 @register("linear_scores")
@@ -153,27 +161,62 @@ def linear_scores(spark, sf_dir):
 def heldout_metrics(spark, sf_dir):
     """A2 on held-out boosted-tree predictions (Q15: not in-sample); rows-only."""
     pred = boosted_tree_scores(spark, sf_dir)
-    return M.regression_metrics(pred.filter(F.col("y").isNotNull()))
+    return M.regression_metrics(materialise(pred.filter(F.col("y").isNotNull())))
+
+
+@register("heldout_rows", rounded(
+    f"WITH {SILVER_SQL}, sv AS (SELECT * FROM silver WHERE {SILVER_WHERE}), "
+    f"pr AS (SELECT ticker, t, target AS y, percent_rank() OVER ({P}) AS pr FROM sv) "
+    "SELECT ticker, t, y FROM pr WHERE pr >= 0.8", ["y"]))
+def heldout_rows(spark, sf_dir):
+    """H5: the (ticker, t, y) that the models are scored on."""
+    return round_doubles(L.hold_out(_silver(spark, sf_dir)).filter("held").select(
+        "ticker", "t", F.col("target").alias("y")))
+
+
+#: Rows of a fold and trials of the registered search.
+FOLD, TRIALS = 250, 2
 
 
 @register("param_search")
 def param_search(spark, sf_dir):
-    """Seeded random search (3 trials) on the first 2 rolling folds;
-    the trials table; rows-only."""
-    f = _features(spark, sf_dir).filter(F.col("split") == "train").drop("split").checkpoint(eager=True)
-    feats = L.feature_columns(f)
-    table, _best = L.search_params(f, feats, trials=3, max_folds=2, seed=7)
-    return table
+    """Seeded random search over all rolling folds of ``FOLD`` rows; the trials table; rows-only."""
+    f = _features(spark, sf_dir).filter(~F.col("held")).drop("held")
+    return L.search_params(f, L.feature_columns(f), trials=TRIALS, window=FOLD, seed=7, rounds=5)[0]
+
+
+@register("refit_metrics")
+def refit_metrics(spark, sf_dir):
+    """H3, A2: the linear search's best parameters fitted anew on all training rows; held-out metrics; rows-only."""
+    f = _features(spark, sf_dir)
+    train, feats = f.filter(~F.col("held")).drop("held"), L.feature_columns(f)
+    _, best = L.search_params(train, feats, trials=TRIALS, window=FOLD, seed=7, boosters=("gblinear",))
+    model = L.refit(train, feats, best or {"booster": "gblinear", "lambda": "1.0"})
+    return M.regression_metrics(materialise(L.score(model, f.filter("held"))))
 
 
 @register("forecast")
 def forecast(spark, sf_dir):
     """Fit, save, load, then predict the next 2 exchange days of
-    every ticker in one pass; rows-only."""
-    f = _features(spark, sf_dir).drop("split").checkpoint(eager=True)
-    feats = L.feature_columns(f)
-    model = L.fit(f, feats, {"rounds": 10, "max_depth": 4, "eta": 0.3}, "gbtree")
+    every ticker step by step; rows-only (``forecast_days`` checks the days)."""
+    f = _features(spark, sf_dir).drop("held")
+    model = L.fit(f, L.feature_columns(f), TREES, "gbtree")
     path = scratch_path(spark, f"model-{uuid.uuid4().hex[:12]}")
     L.save_model(model, path)
-    from tickforge.operators.forecast import holiday_table
-    return L.forecast(L.load_model(path), f, 2, holiday_table(spark))
+    return L.forecast(L.load_model(path), f, 2, holiday_table(spark, HOLIDAYS))
+
+
+@register("forecast_days", f"""WITH {SILVER_SQL}, sv AS (SELECT * FROM silver WHERE {SILVER_WHERE}),
+lastd AS (SELECT ticker, CAST(max(t) AS DATE) AS d0 FROM sv GROUP BY ticker),
+cand AS (SELECT ticker, CAST(d0 + INTERVAL (k) DAY AS DATE) AS d FROM lastd, range(1, 60) r(k)),
+bd AS (SELECT ticker, CAST(d AS TIMESTAMP) AS t,
+              CAST(row_number() OVER (PARTITION BY ticker ORDER BY d) AS INTEGER) AS step
+       FROM cand WHERE isodow(d) <= 5 AND d NOT IN {HOL_SQL})
+SELECT ticker, t, step, CAST(isodow(t) AS DOUBLE) AS dayofweek, CAST(month(t) AS DOUBLE) AS month,
+       CAST(quarter(t) AS DOUBLE) AS quarter FROM bd WHERE step <= 2""")
+def forecast_days(spark, sf_dir):
+    """The forecast rows' days and calendar features."""
+    last = last_row(_silver(spark, sf_dir).select("ticker", "t")
+                    .withColumns({c: F.lit(0.0) for c in ("dayofweek", "month", "quarter")}))
+    days = next_business_days(last.select("ticker", "t"), 2, holiday_table(spark, HOLIDAYS))
+    return carry_forward(last, days).select("ticker", "t", "step", "dayofweek", "month", "quarter")

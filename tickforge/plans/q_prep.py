@@ -11,6 +11,7 @@ from tickforge.operators import prep as PR
 from tickforge.operators.bars import series_window
 from tickforge.plans.catalog import register, round_doubles
 from tickforge.plans.sqlparts import BARS_DAILY, rounded
+from tickforge.session import materialise
 from tickforge.sources import fixtures as FX
 
 FEATS = ["o", "h", "l", "c", "v", "vw", "n", "target"]
@@ -34,7 +35,7 @@ sc AS (SELECT f.ticker, f.t, {", ".join(
 
 
 def _scaled(spark, sf_dir):
-    f = features(spark, sf_dir)
+    f = materialise(features(spark, sf_dir))
     stats = PR.minmax_fit(f, FEATS)
     return PR.minmax_scale(f, FEATS, stats), stats
 
@@ -45,6 +46,19 @@ def scaled(spark, sf_dir):
     return round_doubles(_scaled(spark, sf_dir)[0])
 
 
+@register("scaled_train_fit", rounded(f"""WITH {FEAT_SQL},
+nn AS (SELECT *, row_number() {W} AS rn, count(*) OVER (PARTITION BY ticker) AS nr FROM f),
+tr AS (SELECT ticker, {", ".join(f"min({c}) AS {c}__min, max({c}) AS {c}__max" for c in FEATS)}
+       FROM nn WHERE rn <= floor(nr * 0.8) GROUP BY ticker)
+SELECT f.ticker, f.t, {", ".join(
+    f"CASE WHEN tr.{c}__max = tr.{c}__min THEN 0.0 ELSE (f.{c} - tr.{c}__min) / (tr.{c}__max - tr.{c}__min) END AS {c}"
+    for c in FEATS)} FROM f JOIN tr ON f.ticker = tr.ticker""", FEATS))
+def scaled_train_fit(spark, sf_dir):
+    """W9 without leakage: the scaler is fitted on the first 80% of each ticker's rows."""
+    f = materialise(features(spark, sf_dir))
+    return round_doubles(PR.minmax_scale(f, FEATS, PR.minmax_fit(f, FEATS, fit_on="train")))
+
+
 @register("unscaled", rounded(f"""WITH {FEAT_SQL}
 SELECT sc.ticker, sc.t, {", ".join(f"sc.{c} * (st.{c}__max - st.{c}__min) + st.{c}__min AS {c}" for c in FEATS)}
 FROM sc JOIN st ON sc.ticker = st.ticker""", FEATS))
@@ -136,7 +150,7 @@ def predictions(spark, sf_dir):
     w = series_window()
     p = b.select("ticker", "t", F.lead(F.col("c") - F.col("o")).over(w).alias("y"))
     p = p.select("*", F.avg("y").over(w.rowsBetween(-5, -1)).alias("yhat"))
-    return p.filter(F.col("y").isNotNull() & F.col("yhat").isNotNull())
+    return materialise(p.filter(F.col("y").isNotNull() & F.col("yhat").isNotNull()))
 
 
 PRED_SQL = f"""{BARS_DAILY},
@@ -210,7 +224,7 @@ def residual_band(spark, sf_dir):
 HOL_SQL = "(" + ", ".join(f"DATE '{d}'" for d in FC.HOLIDAYS) + ")"
 BDAYS_TAIL = f"""
 lastd AS (SELECT ticker, CAST(max(t) AS DATE) AS d0 FROM bars GROUP BY ticker),
-cand AS (SELECT ticker, CAST(d0 + INTERVAL (k) DAY AS DATE) AS d FROM lastd, range(1, 11) r(k)),
+cand AS (SELECT ticker, CAST(d0 + INTERVAL (k) DAY AS DATE) AS d FROM lastd, range(1, 90) r(k)),
 bd AS (SELECT ticker, CAST(d AS TIMESTAMP) AS t,
               CAST(row_number() OVER (PARTITION BY ticker ORDER BY d) AS INTEGER) AS step
        FROM cand WHERE isodow(d) <= 5 AND d NOT IN {HOL_SQL}
@@ -222,7 +236,7 @@ BDAYS_SQL = f"{BARS_DAILY},{BDAYS_TAIL}"
 def business_days(spark, sf_dir):
     """Next 5 exchange days after each ticker's last bar."""
     last = FX.daily_bars(spark, sf_dir).groupBy("ticker").agg(F.max("t").alias("t"))
-    return FC.next_business_days(last, 5, FC.holiday_table(spark))
+    return FC.next_business_days(last, 5, FC.holiday_table(spark, FC.HOLIDAYS))
 
 
 @register("history_plus_forecast", rounded(f"""WITH {PRED_SQL}, {BDAYS_TAIL},
@@ -236,7 +250,7 @@ def history_plus_forecast(spark, sf_dir):
     carried forward), other columns null."""
     preds = predictions(spark, sf_dir)
     last = FX.daily_bars(spark, sf_dir).groupBy("ticker").agg(F.max("t").alias("t"))
-    days = FC.next_business_days(last, 5, FC.holiday_table(spark))
+    days = FC.next_business_days(last, 5, FC.holiday_table(spark, FC.HOLIDAYS))
     lastp = PR.last_row(preds).select("ticker", "yhat")
     fc = days.join(lastp, "ticker", "inner")
     return round_doubles(FC.append_forecast(preds, fc))

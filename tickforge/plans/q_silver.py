@@ -8,8 +8,9 @@ from tickforge.operators import bars as B
 from tickforge.operators.news import attach_news, daily_text
 from tickforge.plans import pipeline as PL
 from tickforge.plans.catalog import register, round_doubles
-from tickforge.plans.sqlparts import (BARS_DAILY, NEWS_DAILY, TARGETS_SQL, proxy_cols,
+from tickforge.plans.sqlparts import (BARS_DAILY, NEWS_DAILY, PROXIES_SQL, proxy_cols,
                                       proxy_pivot_sql, q, rounded)
+from tickforge.session import materialise
 from tickforge.sources import fixtures as FX
 
 BAR_DBL = ["o", "h", "l", "c", "v", "vw"]
@@ -21,7 +22,7 @@ JOINED = f"""{BARS_DAILY},
 px AS ({proxy_pivot_sql()}),
 joined AS (
   SELECT b.ticker, b.t, b.o, b.h, b.l, b.c, b.v, b.vw, b.n, {", ".join("px." + q(c) for c in PCOLS)}
-  FROM bars b LEFT JOIN px ON b.t = px.t WHERE b.ticker IN {TARGETS_SQL})"""
+  FROM bars b LEFT JOIN px ON b.t = px.t WHERE b.ticker NOT IN {PROXIES_SQL})"""
 
 WB = "OVER (PARTITION BY ticker ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 WF = "OVER (PARTITION BY ticker ORDER BY t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
@@ -34,7 +35,7 @@ def _select(cols, fn):
 @register("proxies_joined", rounded(f"WITH {JOINED} SELECT * FROM joined", BAR_DBL + PDBL))
 def proxies_joined(spark, sf_dir):
     """11 proxy series pivoted once and left-joined on t."""
-    bars = FX.daily_bars(spark, sf_dir)
+    bars = materialise(FX.daily_bars(spark, sf_dir))
     return round_doubles(B.attach_proxies(bars, FX.TARGETS, FX.PROXIES))
 
 
@@ -44,7 +45,7 @@ def proxies_joined(spark, sf_dir):
     + " FROM joined", BAR_DBL + PDBL))
 def ffill(spark, sf_dir):
     """Forward fill of the proxy columns along each target series."""
-    bars = FX.daily_bars(spark, sf_dir)
+    bars = materialise(FX.daily_bars(spark, sf_dir))
     return round_doubles(B.ffill(B.attach_proxies(bars, FX.TARGETS, FX.PROXIES), PCOLS))
 
 
@@ -54,7 +55,7 @@ def ffill(spark, sf_dir):
     + " FROM joined", BAR_DBL + PDBL))
 def bfill(spark, sf_dir):
     """Backward fill (next non-null from the current row on)."""
-    bars = FX.daily_bars(spark, sf_dir)
+    bars = materialise(FX.daily_bars(spark, sf_dir))
     return round_doubles(B.bfill(B.attach_proxies(bars, FX.TARGETS, FX.PROXIES), PCOLS))
 
 
@@ -82,8 +83,8 @@ SILVER_COLS = BASE + PCOLS + ["aggregated_text", "next_c", "target_class", "c_cl
 
 SILVER_SQL = f"""{JOINED}, {NEWS_DAILY},
 filled AS (
-  SELECT {', '.join(BASE)}, """ + _select(
-    PCOLS, lambda c: f"coalesce(last_value({q(c)} IGNORE NULLS) {WB}, first_value({q(c)} IGNORE NULLS) {WF}) AS {q(c)}") + f"""
+  SELECT ticker, t, """ + _select(
+    BASE[2:] + PCOLS, lambda c: f"coalesce(last_value({q(c)} IGNORE NULLS) {WB}, first_value({q(c)} IGNORE NULLS) {WF}) AS {q(c)}") + f"""
   FROM joined),
 withnews AS (
   SELECT f.*, coalesce(nd.aggregated_text, ' ') AS aggregated_text
@@ -121,3 +122,37 @@ def silver_long_series(spark, sf_dir):
     bars = FX.daily_bars(spark, sf_dir)
     return round_doubles(PL.build_silver(bars, FX.news_articles(spark, sf_dir), FX.TARGETS, FX.PROXIES,
                                          mode="blocks", block_rows=300))
+
+
+# bars with holes in their own columns: c, vw and n null on every 7th day of a month
+GAPS_SQL = SILVER_SQL.replace("bars AS (", "bars0 AS (", 1).replace("px AS (", """bars AS (
+  SELECT ticker, t, o, h, l, CASE WHEN day(t) % 7 = 0 THEN NULL ELSE c END AS c, v,
+         CASE WHEN day(t) % 7 = 0 THEN NULL ELSE vw END AS vw, CASE WHEN day(t) % 7 = 0 THEN NULL ELSE n END AS n
+  FROM bars0),
+px AS (""", 1)
+
+
+@register("silver_own_gaps", rounded(
+    f"WITH {GAPS_SQL} SELECT {', '.join(q(c) for c in SILVER_COLS)} FROM silver WHERE {SILVER_WHERE}",
+    SILVER_DBL))
+def silver_own_gaps(spark, sf_dir):
+    """Silver over bars with nulls in the tickers' own columns: every column is filled, so no day is lost."""
+    bars = FX.daily_bars(spark, sf_dir)
+    hole = F.day("t") % 7 == 0
+    bars = bars.withColumns({c: F.when(~hole, F.col(c)) for c in ("c", "vw", "n")})
+    return round_doubles(PL.build_silver(bars, FX.news_articles(spark, sf_dir), FX.TARGETS, FX.PROXIES))
+
+
+NOLOOK_SQL = f"""{JOINED}, {NEWS_DAILY},
+filled AS (SELECT ticker, t, """ + _select(BASE[2:] + PCOLS, lambda c: f"last_value({q(c)} IGNORE NULLS) {WB} AS {q(c)}") + f"""
+  FROM joined),
+withnews AS (""" + SILVER_SQL.split("withnews AS (", 1)[1]
+
+
+@register("silver_no_lookahead", rounded(
+    f"WITH {NOLOOK_SQL} SELECT {', '.join(q(c) for c in SILVER_COLS)} FROM silver WHERE {SILVER_WHERE}",
+    SILVER_DBL))
+def silver_no_lookahead(spark, sf_dir):
+    """Silver without the backward fill: rows before a proxy's first bar have no value and are dropped."""
+    return round_doubles(PL.build_silver(FX.daily_bars(spark, sf_dir), FX.news_articles(spark, sf_dir),
+                                         FX.TARGETS, FX.PROXIES, bfill=False))

@@ -3,7 +3,7 @@ written as SQL CTEs over the pre-registered tables)."""
 
 from __future__ import annotations
 
-from tickforge.sources.fixtures import PROXIES, TARGETS
+from tickforge.sources.fixtures import PROXIES
 
 
 def q(name: str) -> str:
@@ -25,7 +25,6 @@ def in_list(values) -> str:
     return "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")"
 
 
-TARGETS_SQL = in_list(TARGETS)
 PROXIES_SQL = in_list(PROXIES)
 
 BARS_DAILY = """

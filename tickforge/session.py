@@ -95,7 +95,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     d = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
     if not d:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster "
                              "(checkpoints and intermediate tables are written there)")
         d = tempfile.mkdtemp(prefix="tickforge-ckpt-")   # local mode only (tests)
@@ -103,6 +103,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+def materialise(df):
+    """Fix a table in the shared checkpoint folder, so that several uses read it instead of
+    computing it again (and lost executors cost no recomputation of its inputs)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     base = checkpoint_dir(spark)

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from tickforge.operators.bars import resample_bars
 
-# Fixed values of the fixture mapping: target and proxy tickers.
-TARGETS = [f"Brand#{i}" for i in range(1, 7)]
+# Fixed values of the fixture mapping: the proxy tickers.  Targets: None, every ticker
+# that is not a proxy.
+TARGETS = None
 PROXIES = [f"Brand#{i}" for i in range(15, 26)]
 
 # Total order for open / close of a bar built from lineitem rows.

@@ -20,16 +20,9 @@ BAR_PAGE = T.StructType([
     T.StructField("results", T.ArrayType(BAR_RESULT)),
 ])
 
-NEWS_RESULT = T.StructType([
-    T.StructField("id", T.LongType()), T.StructField("published_utc", T.StringType()),
-    T.StructField("title", T.StringType()), T.StructField("description", T.StringType()),
-    T.StructField("keywords", T.ArrayType(T.StringType())),
-])
-
-NEWS_PAGE = T.StructType([
-    T.StructField("ticker", T.StringType()),
-    T.StructField("results", T.ArrayType(NEWS_RESULT)),
-])
+# Fields of a news result that later steps use; a page may hold any others.
+NEWS_FIELDS = {"published_utc": "string", "title": "string", "description": "string",
+               "keywords": "array<string>", "id": "string"}
 
 # bronze bar schema: epoch-ms t, doubles (the reference's float32 only loses precision)
 BRONZE_BARS = T.StructType([T.StructField("ticker", T.StringType())] + list(BAR_RESULT.fields))
@@ -65,18 +58,33 @@ def flatten_bar_pages(pages: DataFrame, ticker: str | None = None) -> DataFrame:
         F.coalesce(r["n"].cast("long"), F.lit(0)).alias("n"))
 
 
-def read_news_pages(spark: SparkSession, path: str, ticker: str | None = None) -> DataFrame:
-    """News pages -> bronze news rows with the ``search_ticker`` stamp."""
-    pages = spark.read.schema(NEWS_PAGE).json(path)
-    tk = F.coalesce(F.col("ticker"), F.lit(ticker))
-    rows = pages.select(tk.alias("search_ticker"), F.explode("results").alias("r"))
-    return rows.select("search_ticker", *[F.col("r")[c].alias(c) for c in
-                                          ("published_utc", "title", "description", "keywords", "id")])
-
+def read_news_pages(spark: SparkSession, path: str, ticker: str | None = None,
+                    schema: T.StructType | None = None) -> DataFrame:
+    """News pages -> bronze news rows with the ``search_ticker`` stamp.
 
-def write_pages(df: DataFrame, path: str, key: str, page: F.Column, fields: list[str]) -> None:
-    """Group rows into pages ``{ticker, results: [...]}`` (page = a bounded
-    group such as a calendar year) and write them as JSON lines."""
-    res = F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in fields])))
-    (df.groupBy(F.col(key).alias("ticker"), page.alias("_page")).agg(res.alias("results"))
-       .drop("_page").write.mode("overwrite").json(path))
+    Every field of the vendor's results stays, as the reference keeps them; the schema is
+    inferred unless given.  Ids are strings.  ``NEWS_FIELDS`` are there even where no page has them.
+    """
+    read = spark.read if schema is None else spark.read.schema(schema)
+    pages = read.json(path)
+    tk = F.coalesce(F.col("ticker") if "ticker" in pages.columns else F.lit(None).cast("string"), F.lit(ticker))
+    if "results" not in pages.columns:
+        pages = pages.withColumn("results", F.array().cast("array<struct<id:string>>"))
+    rows = pages.select(tk.cast("string").alias("search_ticker"), F.explode("results").alias("r"))
+    have = rows.schema["r"].dataType.fieldNames()
+    known = [(F.col("r").getField(c).cast(t) if c in have else F.lit(None).cast(t)).alias(c)
+             for c, t in NEWS_FIELDS.items()]
+    rest = [F.col("r").getField(c).alias(c) for c in have if c not in NEWS_FIELDS and c != "search_ticker"]
+    return rows.select("search_ticker", *known, *rest)
+
+
+def write_pages(df: DataFrame, path: str, key: str, page: F.Column, fields: list[str],
+                page_rows: int = 1000) -> None:
+    """Group rows into pages ``{ticker, results: [...]}`` of about ``page_rows`` rows of one (key, page) and
+    write them as JSON lines."""
+    rows = df.select(F.col(key).alias("ticker"), page.alias("_page"), F.struct(*[F.col(c) for c in fields]).alias("r"))
+    parts = rows.groupBy("ticker", "_page").agg(F.ceil(F.count(F.lit(1)) / page_rows).alias("_parts"))
+    (rows.join(parts, ["ticker", "_page"])
+     .groupBy("ticker", "_page", F.pmod(F.xxhash64("r"), F.col("_parts")).alias("_part"))
+     .agg(F.array_sort(F.collect_list("r")).alias("results"))
+     .select("ticker", "results").write.mode("overwrite").json(path))

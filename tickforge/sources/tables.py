@@ -7,19 +7,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | Sequence[str] | None = "ticker",
                 order: str | None = "t", fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Write partitioned by key; only the partitions present in ``df`` are
-    replaced (dynamic overwrite).  Rows are clustered by partition key and
-    sorted by ``order`` inside each file, so a later scan of one key reads
-    few, ordered files."""
+    replaced (dynamic overwrite).  Rows are dealt by ranges of (key, ``order``) and sorted
+    inside each file, so a later scan of one key reads few, ordered files, and a key with
+    many rows is written by many tasks."""
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     out = df
     if parts:
-        out = out.repartition(*[F.col(p) for p in parts])
-        out = out.sortWithinPartitions(*parts, *([order] if order else []))
+        by = [*parts, *([order] if order else [])]
+        out = out.repartitionByRange(*[F.col(p) for p in by]).sortWithinPartitions(*by)
     elif order:
         out = out.sortWithinPartitions(order)
     w = (out.write.mode(mode).format(fmt)
@@ -30,12 +31,17 @@ def write_table(df: DataFrame, path: str, partition_by: str | Sequence[str] | No
 
 
 def read_table(spark: SparkSession, path: str, tickers: Sequence[str] | None = None,
-               key: str = "ticker", fmt: str = "parquet", merge_schema: bool = True) -> DataFrame:
+               key: str = "ticker", fmt: str = "parquet", merge_schema: bool = False) -> DataFrame:
     """Scan a table, optionally restricted to some keys.  On a partitioned
     table the key predicate prunes directories (``PartitionFilters``);
     otherwise it is pushed to the Parquet reader (``PushedFilters``).
-    ``merge_schema`` reconciles files written with added columns (S8)."""
-    df = spark.read.format(fmt).option("mergeSchema", str(merge_schema).lower()).load(path)
+    ``merge_schema`` reconciles files written with added columns (S8); it reads every file's
+    footer.  The key is a string as it was written: Spark would guess a number from the folder
+    names (``005930`` as 5930)."""
+    read = spark.read.format(fmt).option("mergeSchema", str(merge_schema).lower())
+    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == key else f.dataType)
+                           for f in read.load(path).schema.fields])
+    df = spark.read.format(fmt).schema(schema).load(path)
     if tickers is not None:
         df = df.filter(F.col(key).isin(list(tickers)))
     return df
