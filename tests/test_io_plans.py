@@ -134,3 +134,34 @@ def test_entry_schema_is_stable(spark):
     import __spark_entry__ as E
     a, b = E.entry(spark).schema, E.entry(spark).schema
     assert a == b and len(a.fields) == 105
+
+
+def test_numeric_tickers_keep_their_text(spark):
+    out = tempfile.mkdtemp(prefix="num-")
+    df = spark.createDataFrame([("005930", 1, 1.0), ("000660", 1, 2.0), ("AAPL", 1, 3.0)], "ticker string, t long, c double")
+    write_table(df, out, "ticker", "t")
+    assert {r["ticker"] for r in read_table(spark, out).collect()} == {"005930", "000660", "AAPL"}
+    assert read_table(spark, out, ["005930"]).count() == 1
+
+
+def test_hot_ticker_is_written_by_many_tasks(spark):
+    out = tempfile.mkdtemp(prefix="hot-")
+    df = spark.range(200_000).select(F.lit("HOT").alias("ticker"), F.col("id").alias("t"), F.rand(1).alias("c"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_table(df, out, "ticker", "t")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len([f for f in os.listdir(os.path.join(out, "ticker=HOT")) if f.endswith(".parquet")]) > 1
+    assert read_table(spark, out).count() == 200_000
+
+
+def test_news_pages_keep_string_ids_and_other_fields(spark):
+    import json
+    from tickforge.sources.pages import read_news_pages
+    out = tempfile.mkdtemp(prefix="news-")
+    with open(os.path.join(out, "p.json"), "w") as f:
+        f.write(json.dumps({"ticker": "X", "results": [{"id": "a1-b2", "published_utc": "2020-01-02T00:00:00Z", "title": "t",
+                                                        "author": "someone", "amp_url": "http://x"}]}) + "\n")
+    r = read_news_pages(spark, out).first()
+    assert (r["id"], r["author"], r["amp_url"], r["keywords"], r["search_ticker"]) == ("a1-b2", "someone", "http://x", None, "X")

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -255,3 +256,32 @@ def test_blocks_mode_gold_equals_key_mode(spark):
     assert sorted(k.columns) == sorted(b.columns)
     _same({(r["ticker"], r["t"]): r for r in k.collect()},
           {(r["ticker"], r["t"]): r for r in b.collect()}, PL.GOLD_DERIVED + ["target"])
+
+
+@pytest.mark.parametrize("fanout", [2, 1024])
+def test_null_stays_until_the_next_reset_in_both_modes(spark, fanout):
+    """A null input, thousands of steps whose coefficients' product underflows to 0, then a reset."""
+    n = 6000
+    a = [0.0] + [0.5] * (n - 1)
+    b = [1.0] * n
+    b[100], a[5000], b[5000] = None, 0.0, 7.0
+    df = spark.createDataFrame([("A", i, a[i], b[i]) for i in range(n)], "ticker string, t long, a double, b double")
+    key = {r["t"]: r["y"] for r in R.affine_scan(df, {"y": ("a", "b")}).collect()}
+    blocks = {r["t"]: r["y"] for r in R.affine_scan(df, {"y": ("a", "b")}, mode="blocks", block_rows=64, rn="t",
+                                                    fanout=fanout).collect()}
+    assert all(key[i] is None for i in range(100, 5000)) and key[99] is not None and key[5000] == 7.0
+    assert all((blocks[i] is None) == (key[i] is None) for i in range(n))
+    assert all(blocks[i] == pytest.approx(key[i], rel=1e-12) for i in range(n) if key[i] is not None)
+
+
+def test_scan_kernel_equals_a_loop():
+    rng = np.random.default_rng(7)
+    for n in (0, 1, 2, 5, 64, 257):
+        a, b = rng.uniform(-1, 1, (3, n)), rng.normal(size=(3, n))
+        a[rng.random((3, n)) < 0.05] = 0.0
+        b[rng.random((3, n)) < 0.02] = np.nan
+        got = R.scan(a, b, np.array([1.0, 0.0, np.nan]))
+        for k, y in enumerate((1.0, 0.0, np.nan)):
+            for i in range(n):
+                y = b[k, i] if a[k, i] == 0.0 else a[k, i] * y + b[k, i]
+                assert (np.isnan(y) and np.isnan(got[k, i])) or got[k, i] == pytest.approx(y, rel=1e-12, abs=1e-15)
