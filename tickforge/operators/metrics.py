@@ -13,7 +13,8 @@ from tickforge.functions import safe_div
 from tickforge.operators.quantiles import exact_quantiles
 
 KEY = "ticker"
-EPS = 1e-7  # epsilon of the reference's R^2 denominator in the combined metric
+# Fixed values of the combined metric: epsilon of the R^2 denominator; weights of MAE and R^2.
+EPS, MAE_WEIGHT, R2_WEIGHT = 1e-7, 0.5, 1.5
 
 
 def _with_means(df: DataFrame, y: str, yhat: str, by: str) -> DataFrame:
@@ -64,8 +65,8 @@ def combined_metric(df: DataFrame, y: str = "y", yhat: str = "yhat", by: str = K
              F.avg(_direction_hit(y, yhat)).alias("_da"), (F.max(y) - F.min(y)).alias("_rng")]
     g = x.groupBy(by).agg(*parts)
     r2 = F.lit(1.0) - F.col("_sse") / (F.col("_sst") + F.lit(EPS))
-    comb = (safe_div(F.col("_rmse"), F.col("_rng")) + F.lit(0.5) * safe_div(F.col("_mae"), F.col("_rng"))
-            - F.lit(1.5) * r2 - F.col("_da"))
+    comb = (safe_div(F.col("_rmse"), F.col("_rng")) + F.lit(MAE_WEIGHT) * safe_div(F.col("_mae"), F.col("_rng"))
+            - F.lit(R2_WEIGHT) * r2 - F.col("_da"))
     return g.select(by, comb.alias("combined_metric"))
 
 

@@ -125,6 +125,7 @@ def build_silver(bars: DataFrame, news: DataFrame | None, targets: Sequence[str]
 
 # --------------------------------------------------------------------- gold
 
+# Names and order of the derived gold columns.
 GOLD_DERIVED = ["williams_r", "stoch_k", "roc", "cci", "adx", "atr", "20D-EMA", "50D-EMA",
                 "100D-EMA", "bollinger_mavg", "bollinger_hband", "bollinger_lband", "vwap",
                 "pvwap", "rsi", "rsicat", "dayofweek", "month", "quarter", "MACDs_12_26_9",
