@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickforge.operators.bars import KEY, ORDER, series_window
+from tickforge.session import materialise
 
 Spec = Mapping[str, tuple]  # out name -> (a column, b column)
 
@@ -193,6 +194,7 @@ def _scan_by_key(wide, names, key, order, cols, schema):
 
 def _scan_blocks(wide, names, key, rn, m, cols, schema, fanout: int = 1024):
     k = len(names)
+    wide = materialise(wide)          # read twice, for the maps and for the replay
     blocked = wide.withColumn("_blk", F.floor(F.col(rn) / F.lit(m)).cast("long"))
     kt = wide.schema[key].dataType
     abr = ["A", "B", "R"]
