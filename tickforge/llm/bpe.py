@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tickforge.llm.common import col, documents
 
 #: Entries of each of a worker's two word tables; its arc table has twice as many.
-CACHE = 300_000
+CACHE = 150_000
 #: Fixed value: the pattern that splits text into words in byte-level vocabularies.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 NEVER = 1 << 60
@@ -182,6 +182,10 @@ class Automaton:
         return b"".join(struct.pack("<I", self.special[p]) if p in self.special else self._ids(p)
                         for p in self.at_special.split(text) if p)
 
+    def forget(self) -> None:
+        """Empty the word tables (a worker that waits for other work should hold little)."""
+        self.known, self.older = {}, {}
+
     def decode(self, ids: bytes) -> str:
         labels = self.labels
         return b"".join([labels[i] for i in memoryview(ids).cast("I")]).decode("utf-8", "replace")
@@ -252,6 +256,7 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(enc, pa.string()), pa.array(dec, pa.string())],
                 names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        a.forget()
 
     kind = src.schema["id"].dataType.simpleString()
     out = src.mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

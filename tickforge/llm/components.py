@@ -42,6 +42,17 @@ def components(links: DataFrame) -> DataFrame:
     return labels.select(F.col("a").alias("node"), F.col("p").alias("root"))
 
 
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, root) after more ``links`` (a, b): only the roots that the links touch move."""
+    a, b = (labels.toDF(k, "r" + k) for k in "ab")
+    over = written(links.join(a, "a", "left").join(b, "b", "left")
+                   .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
+    moved = components(over).toDF("root", "to")
+    return written(labels.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+                   .unionByName(moved.select(F.col("root").alias("node"), F.col("to").alias("root")))
+                   .distinct())
+
+
 def _ordered(edges: DataFrame) -> DataFrame:
     return written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                         .distinct())

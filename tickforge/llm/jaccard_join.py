@@ -18,8 +18,9 @@ members with Jaccard at least J the symmetric difference has at most
    run).  Pairs pass the Hamming bound of the sketches, then the exact test on the shingle sets.
    Links are contracted to components.  Where a key still holds classes of different
    components, stars around other classes follow while they find links (at most ``STARS``).  What is
-   then left in different components is compared whole: all pairs across components are compared in blocks of classes by the
-   Hamming bound (only pairs that pass leave a block), and verified in the same way.
+   then left in different components is compared whole: all pairs across components that share a key, listed for
+   keys with few classes and else compared in blocks of classes by the Hamming bound (only pairs that pass leave a
+   block), and verified in the same way.
    So no link that joins two components is lost.
 
 Documents without words are linked with nothing; null text counts as empty.  Repeated rows
@@ -38,18 +39,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickforge.llm.common import col, documents, keep_decided, written
-from tickforge.llm.components import components
+from tickforge.llm.components import components, joined
 from tickforge.llm.words import mix, shingles, word_hashes
 
 #: Bits of a parity sketch for each shingle, and at least.
-BITS_EACH, BITS_LEAST = 2, 256
+BITS_EACH, BITS_LEAST = 1, 2048
 HEAVY, COUNTERS = 256, 4096
 #: Bits of the table that tells which rows may be candidates (false positives only cost time).
 FILTER_BITS = 1 << 22
+#: Per cent of hash ranges added to the t + 1.
+SPARE = 8
 #: Further stars at most, before components are compared whole.
 STARS = 3
-#: Classes in a block of the comparison across components.
-CHUNK = 256
+#: Most classes of a key whose pairs are listed; keys with more are compared in blocks of about
+#: CHUNK classes, by sketches folded to FOLD bytes.
+LISTED, CHUNK, FOLD = 32, 256, 256
 
 
 class Bounds:
@@ -68,15 +72,18 @@ class Bounds:
             self.edges.append(self.edges[-1] * self.den // self.num + 1)
         return int(np.searchsorted(self.edges, n, side="right")) - 1
 
-    def ranges(self, band: int) -> np.ndarray:
-        """Lower edges of a band's t + 1 hash ranges."""
+    def ranges(self, band: int) -> tuple[np.ndarray, int]:
+        """(lower edges of a band's hash ranges, how many of them are equal at least in linked sets).
+
+        Some more ranges than t + 1, so that an equal one remains besides the empty ones."""
         while len(self.edges) < band + 2:
             self.edges.append(self.edges[-1] * self.den // self.num + 1)
         top = self.edges[band + 1] - 1
-        m = self.most(top, top) + 1
+        t = self.most(top, top)
+        m = 1 if t == 0 else t + 1 + -(-(t + 1) * SPARE // 100)
         if m not in self.cuts:
             self.cuts[m] = np.array([-((-j << 64) // m) for j in range(m)], dtype=np.uint64)
-        return self.cuts[m]
+        return self.cuts[m], m - t
 
     def linked(self, a: int, b: int, common: int) -> bool:
         return self.den * common >= self.num * (a + b - common)
@@ -144,15 +151,19 @@ def _keys(docs: DataFrame, k: int, bounds: Bounds, hot) -> DataFrame:
                 np.bitwise_xor.accumulate(mix(s), out=acc[1:])
                 band = bounds.band(len(s))
                 for at in (band, band + 1):
-                    cuts = bounds.ranges(at)
+                    cuts, equal = bounds.ranges(at)
                     m = len(cuts)
                     if m < 2:          # no difference allowed: only equal sets, which are one class
                         continue
                     lo = np.searchsorted(s, cuts)
                     hi = np.append(lo[1:], len(s))
                     where = np.arange(m, dtype=np.uint64) + np.uint64((at + 1) << 40)
-                    keys.append(mix((acc[hi] ^ acc[lo]) + mix(where)))
-                    cs.append(np.full(m, c, np.int64))
+                    key = mix((acc[hi] ^ acc[lo]) + mix(where))
+                    empty = hi == lo
+                    if empty.sum() < equal:      # then some equal range has members: empty ones need not meet
+                        key = key[~empty]
+                    keys.append(key)
+                    cs.append(np.full(len(key), c, np.int64))
             if keys:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)),
                                                   pa.array(np.concatenate(cs))], names=["key", "c"])
@@ -192,16 +203,17 @@ def _meetings(keys: DataFrame) -> DataFrame:
 
 def _near(pairs: DataFrame, classes: DataFrame, bounds: Bounds) -> DataFrame:
     """Pairs (a, b) of classes whose sizes and sketches allow a link."""
-    x = classes.select(F.col("c1").alias("a"), F.col("n").alias("an"), F.col("sketch").alias("asketch"))
-    y = classes.select(F.col("c1").alias("b"), F.col("n").alias("bn"), F.col("sketch").alias("bsketch"))
     num, den = bounds.num, bounds.den
+    an, bn = (classes.select(F.col("c1").alias(k), F.col("n").alias(k + "n")) for k in "ab")
+    pairs = (pairs.join(an, "a").join(bn, "b")          # sizes first: sketches of long texts are long
+             .filter(den * F.least("an", "bn") >= num * F.greatest("an", "bn")))
+    x, y = (classes.select(F.col("c1").alias(k), F.col("sketch").alias(k + "sketch")) for k in "ab")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
             if t.num_rows:
                 far = np.array([distances(x, [y])[0] for x, y in zip(t.column(4).to_pylist(), t.column(5).to_pylist())])
-                an, bn = t.column(2).to_numpy(), t.column(3).to_numpy()
-                ok = (far <= bounds.most(an, bn)) & (den * np.minimum(an, bn) >= num * np.maximum(an, bn))
+                ok = far <= bounds.most(t.column(2).to_numpy(), t.column(3).to_numpy())
                 yield t.select(["a", "b"]).filter(pa.array(ok))
 
     return (pairs.join(x, "a").join(y, "b").select("a", "b", "an", "bn", "asketch", "bsketch")
@@ -275,14 +287,23 @@ def _labelled(met: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _across(met: DataFrame, labels: DataFrame, classes: DataFrame, bounds: Bounds) -> DataFrame:
-    """Pairs of classes that share a key, lie in different components and pass the Hamming bound."""
+    """Pairs of classes that share a key and lie in different components.
+
+    A key's sketches are never gathered: sets have keys in proportion to their size, so that would grow with its
+    square.  Pairs of keys with few classes are listed (at most ``LISTED`` / 2 for each class); keys with more are
+    compared in blocks, where only pairs within the Hamming bound of small folded sketches leave."""
     labelled = _labelled(met, labels)
     mixed = (labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("g"))
-             .filter("lo <> hi").select("key", F.ceil(F.col("g") / CHUNK).cast("int").alias("chunks")))
-    rows = (labelled.join(mixed, "key")
-            .join(classes.select(F.col("c1").alias("c"), "n", "sketch"), "c")
-            .withColumn("chunk", F.pmod(F.xxhash64("c", "key"), F.col("chunks")).cast("int")))
-    block = rows.groupBy("key", "chunk", "chunks").agg(          # about CHUNK members each
+             .filter("lo <> hi").select("key", "g"))
+    rows = written(labelled.join(mixed, "key"))
+    few = rows.filter(F.col("g") <= LISTED).select("key", "c", "root")
+    other = few.toDF("key", "d", "other")
+    listed = (few.join(other, "key").filter("c > d AND root <> other")
+              .select(F.col("c").alias("a"), F.col("d").alias("b")).distinct())
+    crowd = (rows.filter(F.col("g") > LISTED).withColumn("chunks", F.ceil(F.col("g") / CHUNK).cast("int"))
+             .join(_folded(classes), "c")
+             .withColumn("chunk", F.pmod(F.xxhash64("c", "key"), F.col("chunks")).cast("int")))
+    block = crowd.groupBy("key", "chunk", "chunks").agg(          # about CHUNK members each
         F.collect_list(F.struct("c", "root", "n", "sketch")).alias("m"))
     paired = (block.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
               .groupBy("key", F.least("chunk", "with").alias("x"), F.greatest("chunk", "with").alias("y"))
@@ -302,11 +323,21 @@ def _across(met: DataFrame, labels: DataFrame, classes: DataFrame, bounds: Bound
                           & (den * np.minimum(ln[i], rn) >= num * np.maximum(ln[i], rn)))
                     b.append(np.minimum(rc[ok], lc[i]))
                     a.append(np.maximum(rc[ok], lc[i]))
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a), pa.int64()),
-                                                  pa.array(np.concatenate(b), pa.int64())], names=["a", "b"])
+            if a:       # keys of one group of near copies give the same pairs
+                once = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1).astype(np.int64), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(once[:, 0]), pa.array(once[:, 1])], names=["a", "b"])
+
+    return listed.unionByName(paired.select("l", "r").mapInArrow(run, "a long, b long")).distinct()
+
+
+def _folded(classes: DataFrame) -> DataFrame:
+    """(c, n, sketch): sketches folded to at most ``FOLD`` bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            small = [folded(x, min(len(x), FOLD)).tobytes() for x in t.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([t.column(0), t.column(1), pa.array(small, pa.binary())], names=["c", "n", "sketch"])
 
-    return paired.select("l", "r").mapInArrow(run, "a long, b long").distinct()
+    return classes.select("c1", "n", "sketch").mapInArrow(run, "c long, n long, sketch binary")
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3,
@@ -338,11 +369,12 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         new = written(_verified(written(_near(more, classes, bounds)), texts, classes, k, bounds))
         if new.isEmpty():
             break
-        tested, links = tested.unionByName(more), links.unionByName(new)
-        labels = components(links)
-    more = written(_across(met, labels, classes, bounds).join(tested, ["a", "b"], "left_anti"))
+        tested = tested.unionByName(more)
+        labels = joined(labels, new)
+    more = _across(met, labels, classes, bounds).join(tested, ["a", "b"], "left_anti")
+    more = written(_near(written(more), classes, bounds))
     if not more.isEmpty():
-        labels = components(links.unionByName(_verified(more, texts, classes, k, bounds)))
+        labels = joined(labels, _verified(more, texts, classes, k, bounds))
 
     smallest = (rows.filter("n > 0").groupBy("c1").agg(F.min("id").alias("id"))
                 .join(labels.select(F.col("node").alias("c1"), "root"), "c1", "left")

@@ -33,7 +33,7 @@ from tickforge.llm.common import col, documents, free_name
 
 DIMS, ORDERS, SCALE = 1 << 16, (1, 2, 3), 10.0
 #: Rows for each language that the fit may see (on average, hash sample), and most languages.
-SAMPLE, SHARDS, MAX_LANGUAGES = 2000, 4, 1000
+SAMPLE, SHARDS, MAX_LANGUAGES = 1200, 4, 1000
 UNKNOWN = "und"
 BLOCK = 1 << 18
 
