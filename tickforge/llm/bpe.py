@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tickforge.llm.common import col, documents
 
 #: Entries of each of a worker's two word tables; its arc table has twice as many.
-CACHE = 150_000
+CACHE = 300_000
 #: Fixed value: the pattern that splits text into words in byte-level vocabularies.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 NEVER = 1 << 60
