@@ -2,6 +2,8 @@
 
 import hashlib
 import math
+import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -316,6 +318,51 @@ def test_unit_dedup_cuts_by_original_offsets(spark):
     assert got == {1: data[0][1], 2: "Another é start!\n\n  \tTail stays.", 3: None}
 
 
+def _covered(rows, n, least):
+    """Plain Python: places (row, character) of words in later occurrences of n words in a row, and of whole lines."""
+    words = [[(m.group().lower(), m.start(), m.end()) for m in re.finditer(r"\S+", t or "")] for _, t in rows]
+    seen, out = set(), set()
+    for k, w in enumerate(words):
+        lines = re.finditer(r"[^\n]+", rows[k][1] or "")
+        for key, s, e in [(tuple(x[0] for x in w[i:i + n]), w[i][1], w[i + n - 1][2]) for i in range(len(w) - n + 1)] + [
+                (("line", *m.group().lower().split()), m.start(), m.end()) for m in lines if len(m.group().split()) >= least]:
+            if key in seen:
+                out |= {(k, c) for c in range(s, e) if not rows[k][1][c].isspace()}
+            seen.add(key)
+    return out
+
+
+def test_passages_do_not_need_sentence_ends(spark):
+    rnd = random.Random(5)
+    prose = lambda n: " ".join(f"w{rnd.randrange(10 ** 6)}" for _ in range(n))
+    mid, shout, line, para = prose(60), "WORD!! " * 3 + "STOP. " + prose(20) + " no. yes. no.", "one short line of six words", "a b\nc d e f"
+    data = [(1, f"{prose(9)} {mid} {prose(9)}\n{line}"), (2, f"{prose(30)}, {mid.upper()}\n {prose(30)}"), (3, f"{prose(7)}\n{line}\n{prose(8)}"),
+            (4, f"{prose(5)} {shout} {prose(5)}"), (5, f"{prose(11)} {shout} {prose(3)}"), (6, f"{prose(7)}\n\n{para}"),
+            (7, f"{para}\n\n{prose(6)}"), (8, "x y z " * 40), (9, f"{prose(5)} x y z x y z x y z x y z x y z {prose(5)}"), (10, None),
+            (11, f"\u0130stanbul {prose(4)} {' '.join(mid.split()[5:25])} \U0001f600 {prose(4)}")]
+    df = prepared(spark).createDataFrame(data, "doc_id long, text string")
+    got = unit_dedup.repeated_passages(df).collect()
+    text = dict(data)
+    spans = sorted((r.doc_id, r.start, r.end) for r in got)
+    assert all(a[0] != b[0] or a[2] <= b[1] for a, b in zip(spans, spans[1:]))           # none overlap
+    for r in got:
+        cut = text[r.doc_id][r.start:r.end].lower().split()
+        assert len(cut) == r.n_words and text[r.keep_id][r.keep_start:].lower().split()[:len(cut)] == cut
+    places = {(r.doc_id - 1, c) for r in got for c in range(r.start, r.end) if not text[r.doc_id][c].isspace()}
+    want = _covered(data, 15, 5) | {(6, c) for c in range(len(para)) if not para[c].isspace()}
+    assert places == want
+    assert mid.upper() in [text[2][r.start:r.end] for r in got if r.doc_id == 2]
+    left = {r.doc_id: r.text for r in unit_dedup.remove_repeats(df.unionByName(df), unit="passage").collect() if r.text and r.text.strip()}
+    assert left[1] == text[1] and mid.upper() not in left[2] and line not in left[3]
+
+
+def test_passages_cover_every_repeated_run(docs, rows):
+    want = _covered([r[:2] for r in rows], unit_dedup.MIN_RUN, unit_dedup.MIN_WORDS)
+    at = {r[0]: k for k, r in enumerate(rows)}
+    got = {(at[r.doc_id], c) for r in unit_dedup.repeated_passages(docs).collect() for c in range(r.start, r.end)}
+    assert want and want <= got
+
+
 def test_units_of_all_kinds():
     t = "one two. three four\n\nfive six\nseven"
     cut = lambda u: [t[s:e] for s, e, *_ in unit_dedup.units(t, u, 1)]

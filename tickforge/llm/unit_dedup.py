@@ -9,8 +9,18 @@ stays, by (id, start), and the others are to be removed, where they stand in a r
 of at least ``min_run`` words (a lone short line that many texts share is left alone; 0 removes it too).
 Offsets are code points of the original text.
 
-The query takes sentences: shared passages stand inside lines, between other sentences, where whole-line
-digests cannot see them.
+Passages (``repeated_passages``, the query) do not depend on where sentences end.  Removed are the later occurrences of
+
+* every run of ``min_run`` words in a row, wherever it starts: all such runs of a text count, so a longer
+  shared passage goes from its first to its last word;
+* every whole line or paragraph of at least ``min_words`` words, however short its run;
+* shorter repeated sentences of at least ``min_words`` words, where they make up a run of ``min_run`` words together
+  with what goes beside them, at most a short unit apart.
+
+Spans that follow each other with the same place of the kept text are one row; rows of a text do not overlap.
+Runs of words are named by the smallest hash of their inner runs of a third of the words.  Neighbours mostly share
+their name and are one row, a stretch.  Equal runs have equal names, so only names that occur again matter.  If all
+stretches of a name are equal, they are settled whole; if they differ, every run in them is settled by itself.
 
 Scale: the units are written once, as narrow rows.  Digests that occur very often are named by a frequent-items
 sketch, settled with map-side combining and at most ``HEAVY`` rows broadcast; all others are shuffled once
@@ -29,10 +39,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import col, documents, free_name, written
+from tickforge.llm.common import col, documents, free_name, row_hash, written
+from tickforge.llm.words import mix
 
 #: Words of the shortest unit; words of the shortest run of repeated units that goes.
 MIN_WORDS, MIN_RUN = 5, 15
@@ -43,6 +54,13 @@ UNITS = {
     "paragraph": re.compile(r"(?:[^\n]|\n(?![^\S\n]*\n))+"),
 }
 LAST = (1 << 63) - 1
+#: Kinds of rows: short units, runs of words, stretches of runs with one name, and those that may repeat in themselves.
+SENTENCE, LINE, PARAGRAPH, RUN, STRETCH, TWICE = range(6)
+_STOPS = np.array([ord(c) for c in ".!?。！？"], np.uint32)
+_SPACE = np.array([chr(c).isspace() for c in range(1 << 16)])
+_CHAR = np.random.default_rng(20240229).integers(1, 1 << 63, 1 << 16, dtype=np.uint64)
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)           # odd, so they have inverses modulo 2**64
+_POWERS: list[np.ndarray] = []
 
 
 def units(text: str, unit: str, min_words: int) -> Iterator[tuple[int, int, int, int, bytes]]:
@@ -89,16 +107,8 @@ def _unit_rows(docs: DataFrame, unit: str, min_words: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, rid long, start int, end int, word int, words int, d1 long, d2 long")
 
 
-def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "sentence",
-                   min_words: int = MIN_WORDS, min_run: int = MIN_RUN) -> DataFrame:
-    """One row per unit to be removed: (id, start, end, n_words, run_words, keep_id, keep_start, group_size,
-    row_hash); row_hash tells rows with the same id apart.  ``min_run`` 0 removes every repeated unit."""
-    rid = F.xxhash64(F.coalesce(col(text_col), F.lit("")))
-    rows = written(_unit_rows(docs.select(col(id_col).cast("long").alias("id"), rid.alias("rid"),
-                                          col(text_col).alias("text")), unit, min_words), "units")
-    rows = rows.withColumn("ord", F.monotonically_increasing_id())
-    rank = F.struct(F.coalesce("id", F.lit(LAST)).alias("i"), F.col("id").isNull().alias("n"), F.col("rid").alias("r"),
-                    F.col("start").alias("start"), F.col("ord").alias("ord"), F.col("id").alias("id"))
+def _later(rows: DataFrame, rank: Column) -> DataFrame:
+    """The rows whose digest occurs again, with ``best`` (the least ``rank`` of the digest) and ``group_size``."""
     named = (rows.agg(F.expr(f"approx_top_k(d1, {HEAVY}, {COUNTERS})").alias("t"))
              .select(F.explode("t").alias("t")).select(F.col("t.item").alias("d1")))
     frequent = rows.join(F.broadcast(named), "d1", "left_semi")
@@ -109,7 +119,20 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     w = Window.partitionBy("d1", "d2")
     windowed = (others.withColumn("group_size", F.count(F.lit(1)).over(w)).filter("group_size > 1")
                 .withColumn("best", F.first(rank).over(w.orderBy(rank))))
-    again = (settled.unionByName(windowed.select(settled.columns)).filter(F.col("best.ord") != F.col("ord"))
+    return settled.unionByName(windowed.select(settled.columns))
+
+
+def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "sentence",
+                   min_words: int = MIN_WORDS, min_run: int = MIN_RUN) -> DataFrame:
+    """One row per unit to be removed: (id, start, end, n_words, run_words, keep_id, keep_start, group_size,
+    row_hash); row_hash tells rows with the same id apart.  ``min_run`` 0 removes every repeated unit."""
+    rid = F.xxhash64(F.coalesce(col(text_col), F.lit("")))
+    rows = written(_unit_rows(docs.select(col(id_col).cast("long").alias("id"), rid.alias("rid"),
+                                          col(text_col).alias("text")), unit, min_words), "units")
+    rows = rows.withColumn("ord", F.monotonically_increasing_id())
+    rank = F.struct(F.coalesce("id", F.lit(LAST)).alias("i"), F.col("id").isNull().alias("n"), F.col("rid").alias("r"),
+                    F.col("start").alias("start"), F.col("ord").alias("ord"), F.col("id").alias("id"))
+    again = (_later(rows, rank).filter(F.col("best.ord") != F.col("ord"))
              .withColumn("after", F.col("word") + F.col("words")))
     # runs of repeated units that follow each other in a text, at most a short unit apart
     text = Window.partitionBy("id", "rid").orderBy("word", "ord")
@@ -122,13 +145,237 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     F.col("rid").alias("row_hash")))
 
 
+class Words:
+    """The words of a text as ``lower().split()`` gives them, with offsets of the text itself, and hashes of word runs."""
+
+    def __init__(self, text: str):
+        low = text.lower()
+        if len(low) != len(text):              # a letter whose lower case is longer stays as it is
+            low = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
+        self.codes = codes = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), np.uint32)
+        if not _POWERS or len(_POWERS[0]) < len(codes) + 1:
+            _POWERS[:] = []
+            for b in [y for x in _BASES for y in (x, pow(x, -1, 1 << 64))]:
+                p = np.full(max(1 << 16, 2 * len(codes)), b, np.uint64)
+                p[0] = 1
+                _POWERS.append(np.multiply.accumulate(p))
+        far = codes > 0xFFFF
+        some = bool(far.any())
+        near = np.where(far, 0, codes) if some else codes
+        self.inside = ~_SPACE[near] | far
+        x = _CHAR[near]
+        if some:
+            x[far] = mix(codes[far].astype(np.uint64))
+        self.total = self._sums(x, 0)
+        edge = np.flatnonzero(np.diff(np.concatenate(([False], self.inside, [False])).view(np.int8)))
+        self.starts, self.ends = edge[::2], edge[1::2]
+        self.h = self.hashes(self.starts, self.ends)
+
+    @staticmethod
+    def _sums(x: np.ndarray, k: int) -> np.ndarray:
+        total = np.zeros(len(x) + 1, np.uint64)
+        np.cumsum(x * _POWERS[2 * k][:len(x)], out=total[1:])
+        return total
+
+    @staticmethod
+    def _between(total: np.ndarray, a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
+        return mix((total[b] - total[a]) * _POWERS[2 * k + 1][a] + (b - a).astype(np.uint64))
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of pieces of the text."""
+        return self._between(self.total, starts, ends, 0)
+
+    def digests(self, h: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
+        """Two hashes of each run of words [a, b), from the words' hashes."""
+        return [self._between(self._sums(h, k), a, b, k).view(np.int64) for k in range(2)]
+
+    def short_units(self, least: int, below: int) -> Iterator[tuple]:
+        """(kind, starts, ends, first words, words, d1, d2) of sentences, lines and paragraphs of at least ``least``
+        and fewer than ``below`` words."""
+        line = self.codes == 10
+        stop = np.isin(self.codes, _STOPS)
+        cut = stop | line
+        heads = np.flatnonzero(~cut & np.concatenate(([True], cut[:-1])))      # of sentences
+        breaks = np.flatnonzero(line)
+        tails = np.append(heads[1:], len(line))
+        if len(breaks):
+            at = np.searchsorted(breaks, heads)
+            tails = np.minimum(tails, np.where(at < len(breaks), breaks[np.minimum(at, len(breaks) - 1)], len(line)))
+        # a sentence may begin inside a word
+        inner = heads[self.inside[heads] & (heads > 0) & self.inside[np.maximum(heads, 1) - 1]]
+        starts = np.sort(np.concatenate((self.starts, inner)))
+        ends = np.sort(np.concatenate((self.ends, inner)))
+        yield from self._units(SENTENCE, starts, ends, self.hashes(starts, ends) if len(inner) else self.h, heads, tails, least, below)
+        heads, tails = np.append(0, breaks + 1), np.append(breaks, len(line))
+        yield from self._units(LINE, self.starts, self.ends, self.h, heads, tails, least, below)
+        # paragraphs: lines with words in a row, two at least
+        full = np.searchsorted(self.starts, tails) > np.searchsorted(self.starts, heads)
+        edge = np.flatnonzero(np.diff(np.concatenate(([False], full, [False])).view(np.int8)))
+        a, b = edge[::2], edge[1::2]
+        a, b = a[b - a > 1], b[b - a > 1]
+        yield from self._units(PARAGRAPH, self.starts, self.ends, self.h, heads[a], tails[b - 1], least, below)
+
+    def _units(self, kind, starts, ends, h, heads, tails, least, below) -> Iterator[tuple]:
+        a, b = np.searchsorted(starts, heads), np.searchsorted(starts, tails)
+        ok = (b - a >= max(1, least)) & (b - a < below)
+        a, b = a[ok], b[ok]
+        if len(a):
+            d1, d2 = self.digests(h, a, b)
+            word = np.searchsorted(self.starts, starts[a])
+            yield kind, starts[a], ends[b - 1], word, np.searchsorted(self.starts, ends[b - 1]) - word, d1 + kind, d2
+
+
+def _rolled(h: np.ndarray, n: int) -> np.ndarray:
+    """Hash of every n words in a row."""
+    m = max(0, len(h) - n + 1)
+    out = np.zeros(m, np.uint64)
+    for j in range(n):
+        out = out * np.uint64(_BASES[0]) + h[j:j + m]
+    return mix(out)
+
+
+def stretches(h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(name, first run, runs, whether a run may occur twice in it) of the stretches of runs of n words with one name."""
+    inner = max(1, n // 3)
+    wide, m = n - inner + 1, len(h) - n + 1
+    if m <= 0:
+        return np.empty(0, np.uint64), *[np.empty(0, np.int64)] * 3
+    s = _rolled(h, inner)
+    least = s[:m].copy()
+    for j in range(1, wide):
+        np.minimum(least, s[j:j + m], out=least)
+    first = np.concatenate(([0], np.flatnonzero(least[1:] != least[:-1]) + 1))
+    many = np.diff(np.append(first, m))
+    again = np.zeros(len(s) + 1, np.int64)
+    for p in range(1, min(wide, len(s))):
+        again[1:len(s) - p + 1] |= s[p:] == s[:-p]
+    np.cumsum(again, out=again)
+    return least[first], first, many, (many > wide) | (again[first + many + wide - 1] > again[first])
+
+
+_ROW = "kind int, doc long, start int, end int, word int, words int, d1 long, d2 long"
+
+
+def _batch(doc: pa.Array, found: list) -> pa.RecordBatch:
+    """Rows of ``_ROW`` from arrays (place in ``doc``, kind, start, ..., d2)."""
+    n = [len(f[2]) for f in found]
+    part = lambda k, t: pa.array(np.concatenate(
+        [np.broadcast_to(np.asarray(f[k]), c).astype(t, copy=False) for f, c in zip(found, n)] or [np.empty(0, t)]))
+    return pa.RecordBatch.from_arrays([part(1, np.int32), doc.take(part(0, np.int64)), *[part(k, np.int32) for k in range(2, 6)],
+                                       *[part(k, np.int64) for k in (6, 7)]], names=[x.split()[0] for x in _ROW.split(", ")])
+
+
+def _piece_rows(base: DataFrame, min_words: int, n: int) -> DataFrame:
+    """Short units, and the stretches of runs of n words (d1: name, d2: hash of all its words)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = []
+            for i, t in enumerate(b.column(1).to_pylist()):
+                x = Words(t)
+                found += [(i, *u) for u in x.short_units(min_words, n)]
+                name, first, many, twice = stretches(x.h, n)
+                if len(name):
+                    after = first + many + n - 1
+                    found.append((i, np.where(twice, TWICE, STRETCH), x.starts[first], x.ends[after - 1], first, after - first,
+                                  name.view(np.int64), x.digests(x.h, first, after)[0]))
+            yield _batch(b.column(0), found)
+
+    return base.select("doc", "text").mapInArrow(run, _ROW)
+
+
+def _run_rows(base: DataFrame, found: DataFrame, n: int) -> DataFrame:
+    """Every run of n words in the stretches ``found`` (doc, word, words)."""
+    wanted = found.groupBy("doc").agg(F.collect_list("word").alias("word"), F.collect_list("words").alias("words"))   # a text's own
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for i, (t, first, words) in enumerate(zip(*[b.column(k).to_pylist() for k in (1, 2, 3)])):
+                x, many = Words(t), np.array(words, np.int64) - (n - 1)
+                w = np.repeat(np.array(first, np.int64) - (np.cumsum(many) - many), many) + np.arange(many.sum())
+                out.append((i, RUN, x.starts[w], x.ends[w + n - 1], w, n, *x.digests(x.h, w, w + n)))
+            yield _batch(b.column(0), out)
+
+    return base.join(wanted, "doc").select("doc", "text", "word", "words").mapInArrow(run, _ROW)
+
+
+def _passages(docs: DataFrame, id_col: str, text_col: str, min_words: int, min_run: int) -> tuple[DataFrame, DataFrame]:
+    """(texts with their numbers ``doc``, which rise with id and text hash; spans to be removed)."""
+    n = max(2, min_run)
+    texts = docs.select(col(id_col).cast("long").alias("id"), F.xxhash64(col(text_col)).alias("rid"),
+                        col(text_col).alias("text")).filter("text <> ''")
+    base = written(texts.orderBy(F.coalesce("id", F.lit(LAST)), F.col("id").isNull(), "rid")
+                   .withColumn("doc", F.monotonically_increasing_id()), "texts")
+    pieces = written(_piece_rows(base, min_words, n), "pieces")
+    named = pieces.filter(F.col("kind") >= STRETCH)
+    often = (named.groupBy("d1").agg(F.count(F.lit(1)).alias("c"), F.min("d2").alias("lo"), F.max("d2").alias("hi"),
+                                     F.max("kind").alias("k")).filter((F.col("c") > 1) | (F.col("k") == TWICE))
+             .select("d1", ((F.col("lo") != F.col("hi")) | (F.col("k") == TWICE)).alias("mixed")))
+    found = written(named.join(often, "d1"), "stretches")
+    runs = written(_run_rows(base, found.filter("mixed"), n), "runs")
+    rows = (pieces.filter(F.col("kind") < RUN).unionByName(runs)
+            .unionByName(found.filter("NOT mixed").withColumn("kind", F.lit(RUN)).select(*pieces.columns)))
+    again = (_later(rows, F.struct("doc", "start", "word"))
+             .filter((F.col("best.doc") != F.col("doc")) | (F.col("best.start") != F.col("start")))
+             .select("kind", "doc", "start", "end", "word", (F.col("word") + F.col("words")).alias("after"), "best", "group_size"))
+    again = written(again, "again")
+
+    # runs that follow each other here and in the kept text are one span
+    text = Window.partitionBy("doc").orderBy("word", "start")
+    off = F.col("best.word") - F.col("word")
+    step = again.filter(F.col("kind") == RUN).withColumn("run", F.sum(F.coalesce(
+        ((F.col("word") > F.lag("after").over(text)) | (F.col("best.doc") != F.lag("best.doc").over(text))
+         | (off != F.lag(off).over(text))).cast("int"), F.lit(1))).over(text))
+    joined = step.groupBy("doc", "run").agg(
+        F.first("kind").alias("kind"), F.min("start").alias("start"), F.max("end").alias("end"), F.min("word").alias("word"),
+        F.max("after").alias("after"), F.min_by("best", "word").alias("best"), F.max("group_size").alias("group_size"))
+    spans = joined.drop("run").unionByName(again.filter(F.col("kind") < RUN))
+    # short sentences go in runs only
+    behind = F.max("after").over(text.rowsBetween(Window.unboundedPreceding, -1))
+    spans = spans.withColumn("run", F.sum(F.coalesce((F.col("word") - behind > min_words).cast("int"), F.lit(1))).over(text))
+    run = Window.partitionBy("doc", "run")
+    spans = (spans.withColumn("all", F.max("after").over(run) - F.min("word").over(run))
+             .filter((F.col("kind") != SENTENCE) | (F.col("all") >= min_run)).drop("run", "all"))
+    # spans inside another go; of two that overlap the first ends where the second begins
+    w = Window.partitionBy("doc").orderBy("start", F.col("end").desc(), F.col("kind").desc())
+    before = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    spans = spans.withColumn("_before", before).filter("_before IS NULL OR end > _before")
+    spans = (spans.withColumn("end", F.least("end", F.lead("start").over(w))).withColumn(
+        "after", F.least("after", F.lead("word").over(w))).withColumn("n_words", F.col("after") - F.col("word")))
+    follows = F.coalesce((F.col("word") > F.lag("after").over(w)).cast("int"), F.lit(1))
+    spans = (spans.withColumn("island", F.sum(follows).over(w))
+             .withColumn("run_words", F.sum("n_words").over(Window.partitionBy("doc", "island")).cast("int")))
+    ids = base.select("doc", "id", "rid")
+    kept = base.select(F.col("doc").alias("keep_doc"), F.col("id").alias("keep_id"))
+    return base, spans.join(ids, "doc").join(kept, F.col("best.doc") == F.col("keep_doc"))
+
+
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
+                      min_run: int = MIN_RUN) -> DataFrame:
+    """One row per span to be removed, with the columns of ``repeated_units``; ``keep_start`` is where the kept text of the
+    span begins, ``group_size`` the occurrences of its most frequent part."""
+    _, spans = _passages(docs, id_col, text_col, min_words, min_run)
+    return spans.select(F.col("id").alias(id_col), "start", "end", "n_words", "run_words", "keep_id",
+                        F.col("best.start").alias("keep_start"), "group_size", F.col("rid").alias("row_hash"))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "sentence",
                    min_words: int = MIN_WORDS, min_run: int = MIN_RUN) -> DataFrame:
-    """``docs`` with the repeated units cut out of the text; all columns and rows stay."""
-    k1, k2, spans = "_unit_id", "_unit_hash", free_name(docs, "_unit_spans")
-    cut = (repeated_units(docs, id_col, text_col, unit, min_words, min_run)
-           .groupBy(col(id_col).alias(k1), F.col("row_hash").alias(k2))
-           .agg(F.collect_set(F.struct("start", "end")).alias(spans)))          # at most a text's own units
+    """``docs`` with the repeated units (``unit="passage"``: passages) cut out of the text; all columns and rows stay."""
+    k1, k2, k3, spans = (free_name(docs, x) for x in ("_unit_id", "_unit_hash", "_unit_copy", "_unit_spans"))
+    h, n = free_name(docs, "_own_hash"), free_name(docs, "_own_copy")
+    left = docs.withColumn(h, F.xxhash64(F.coalesce(col(text_col), F.lit(""))))
+    if unit == "passage":      # repeated rows: the first one keeps what the others lose
+        base, found = _passages(docs, id_col, text_col, min_words, min_run)
+        copies = base.select("doc", F.row_number().over(Window.partitionBy("id", "rid").orderBy("doc")).alias("copy"))
+        found = found.join(copies, "doc").select(F.col("id").alias(k1), F.col("rid").alias(k2), F.col("copy").alias(k3), "start", "end")
+        left = left.withColumn(n, F.row_number().over(
+            Window.partitionBy(col(id_col).cast("long"), col(h)).orderBy(row_hash(docs))))
+    else:
+        found = repeated_units(docs, id_col, text_col, unit, min_words, min_run).select(
+            col(id_col).alias(k1), F.col("row_hash").alias(k2), F.lit(1).alias(k3), "start", "end")
+        left = left.withColumn(n, F.lit(1))
+    cut = found.groupBy(k1, k2, k3).agg(F.collect_set(F.struct("start", "end")).alias(spans))          # at most a text's own units
 
     @F.pandas_udf("string")
     def without(text: pd.Series, where: pd.Series) -> pd.Series:
@@ -142,13 +389,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             return "".join([*out, t[at:]])
         return pd.Series([one(t, s) for t, s in zip(text, where)], dtype=object)
 
-    joined = docs.join(cut, docs[id_col].cast("long").eqNullSafe(cut[k1])
-                       & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == cut[k2]), "left")
+    joined = left.join(cut, left[id_col].cast("long").eqNullSafe(cut[k1]) & (left[h] == cut[k2]) & (left[n] == cut[k3]), "left")
     return joined.select(*[(without(col(c), col(spans)).alias(c) if c == text_col else col(c)) for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_units(documents(spark, sf_dir)).select(
+    return repeated_passages(documents(spark, sf_dir)).select(
         "doc_id", "start", "end", "n_words", "run_words", F.col("keep_id").alias("keep_doc_id"), "keep_start", "group_size")
 
 
