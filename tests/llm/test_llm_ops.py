@@ -491,6 +491,15 @@ def test_quality_learns_and_shrinks(spark):
     assert np.mean(good) > 0.95 and np.mean(bad) < 0.35
 
 
+def test_quality_reads_whole_texts():
+    """The class of capitals has one formula at every length, and sees every character."""
+    capitals = lambda t: quality._stats(t)[0]
+    prose = "Abc def ghi " * 500                       # 1 capital of 9 letters, in 12 characters
+    assert {capitals(prose[:n]) for n in (1500, 3990, 3999, 4000, 4005, 6000)} == {quality.DIMS + 3}
+    between = "".join("a" if i % 4 == 0 else "B" for i in range(8000))         # stands between the points of a stride of 4
+    assert capitals(between) == capitals(between[:3000]) == quality.DIMS + 5
+
+
 def test_quality_site_prior_moves_uncertain_documents(spark):
     """A document without evidence follows its site; a sparse site follows the world."""
     words = {0: "spam junk offer", 1: "fine prose here"}

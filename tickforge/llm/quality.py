@@ -47,8 +47,7 @@ def _stats(text: str) -> list[int]:
     n = max(1, len(text))
     words = text.split()
     letters = max(1, sum(map(len, words)))
-    upper = sum(map(str.isupper, text)) / letters if n < 4000 else sum(map(str.isupper, text[:: n // 2000])) / (
-        max(1, len(text[:: n // 2000])))
+    upper = sum(map(str.isupper, text)) / letters
     marks = sum(text.count(c) for c in "!?#*|&=<>{}") / n
     digits = sum(text.count(c) for c in "0123456789") / n
     distinct = len(set(words)) / max(1, len(words))
