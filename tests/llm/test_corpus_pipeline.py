@@ -90,3 +90,25 @@ def test_repeated_rows_go_through(spark):
     a = {r.doc_id for r in stages["exact_copies"](spark, docs, SF0001).collect()}
     b = [r.doc_id for r in stages["exact_copies"](spark, twice, SF0001).collect()]
     assert len(b) == len(set(b)) and set(b) == a
+
+
+def test_near_copies_with_null_and_repeated_ids(spark):
+    """Rows are not merged by their id: only by their words."""
+    rnd = np.random.default_rng(9)
+    prose = lambda n: " ".join(f"w{x}" for x in rnd.integers(0, 10 ** 6, n))
+    a, b, c, d, e = (prose(60) for _ in range(5))
+    data = [(None, a), (None, b), (None, a + " more"), (5, c), (5, d), (4, c + " more"), (6, e), (6, e), (None, " \n"), (None, None),
+            (7, ""), (7, "")]
+    schema = documents(spark, SF0001).schema
+    docs = spark.createDataFrame([(i, t, "en", "src0", None) for i, t in data], schema)
+    catalog.prepare(spark)
+    stages = dict(P.STAGES)
+    got = Counter((r.doc_id, r.text) for r in stages["near_copies"](spark, docs, SF0001).collect())
+    of_a = [k for k in got if k[1] in (a, a + " more")]
+    assert len(of_a) == 1 and of_a[0][0] is None
+    assert got == Counter([of_a[0], (None, b), (4, c + " more"), (5, d), (6, e), (None, " \n"), (None, None), (7, ""), (7, "")])
+    through = docs
+    for name in ("language", "exact_copies", "near_copies"):
+        through = written(stages[name](spark, through, SF0001), name)
+    assert Counter((r.doc_id, r.text) for r in through.collect())[(5, d)] == 1
+    assert {r.text for r in through.collect()} >= {b, d, e}

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import col, documents, keep_decided, written
+from tickforge.llm.common import WHITE_SPACE_CLASS, col, documents, keep_decided, written
 from tickforge.llm.components import components, joined
 from tickforge.llm.words import mix, shingles, word_hashes
 
@@ -116,7 +116,7 @@ def distances(one: bytes, others: list[bytes]) -> np.ndarray:
 
 
 def _features(docs: DataFrame, k: int) -> DataFrame:
-    """(id, idh, n, c1, c2, sketch) of rows (id, idh, text); c1, c2: digest of the set."""
+    """(id, idh, th, n, c1, c2, sketch) of rows (id, idh, text, th); c1, c2: digest of the set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, c1, c2, sketches = [], [], [], []
@@ -128,11 +128,11 @@ def _features(docs: DataFrame, k: int) -> DataFrame:
                 c2.append(d[1])
                 sketches.append(sketch(s))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(c1, pa.int64()), pa.array(c2, pa.int64()),
-                 pa.array(sketches, pa.binary())], names=["id", "idh", "n", "c1", "c2", "sketch"])
+                [b.column(0), b.column(1), b.column(3), pa.array(n, pa.int64()), pa.array(c1, pa.int64()), pa.array(c2, pa.int64()),
+                 pa.array(sketches, pa.binary())], names=["id", "idh", "th", "n", "c1", "c2", "sketch"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, idh long, n long, c1 long, c2 long, sketch binary")
+    return docs.mapInArrow(run, f"id {kind}, idh long, th long, n long, c1 long, c2 long, sketch binary")
 
 
 def _keys(docs: DataFrame, k: int, bounds: Bounds, hot) -> DataFrame:
@@ -340,14 +340,12 @@ def _folded(classes: DataFrame) -> DataFrame:
     return classes.select("c1", "n", "sketch").mapInArrow(run, "c long, n long, sketch binary")
 
 
-def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3,
-                    num: int = 90, den: int = 100) -> DataFrame:
-    """(id, n_shingles, component_id) of every row: sets of k-word shingles, links at
-    Jaccard >= num / den."""
+def _linked(docs: DataFrame, id_col: str, text_col: str, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """(rows of ``_features``, (node, root) of the classes that are linked with another)."""
     bounds = Bounds(num, den)
     spark = docs.sparkSession
     texts = docs.select(col(id_col).alias("id"), F.xxhash64(col(id_col)).alias("idh"),
-                        col(text_col).alias("text"))
+                        col(text_col).alias("text"), F.xxhash64(F.coalesce(col(text_col), F.lit(""))).alias("th"))
     rows = written(_features(texts, k), "sketches")
     hot = (rows.filter("n > 0").agg(F.expr(f"approx_top_k(c1, {HEAVY}, {COUNTERS})").alias("t"))
            .select(F.explode("t").alias("t")).select(F.col("t.item").alias("c1")))
@@ -375,7 +373,14 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = written(_near(written(more), classes, bounds))
     if not more.isEmpty():
         labels = joined(labels, _verified(more, texts, classes, k, bounds))
+    return rows, labels
+
 
+def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3,
+                    num: int = 90, den: int = 100) -> DataFrame:
+    """(id, n_shingles, component_id) of every row: sets of k-word shingles, links at
+    Jaccard >= num / den."""
+    rows, labels = _linked(docs, id_col, text_col, k, num, den)
     smallest = (rows.filter("n > 0").groupBy("c1").agg(F.min("id").alias("id"))
                 .join(labels.select(F.col("node").alias("c1"), "root"), "c1", "left")
                 .withColumn("root", F.coalesce("root", "c1")))
@@ -388,12 +393,17 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                      num: int = 80, den: int = 100) -> DataFrame:
-    """``docs`` with one row of each component, the one with the smallest id; rows without words
-    stay.  Ids name rows: of rows with the same id one stays."""
-    found = near_components(docs, id_col, text_col, k, num, den)
-    kept = (found.filter((F.col("n_shingles") == 0) | col(id_col).eqNullSafe(F.col("component_id")))
-            .select(col(id_col).alias("id")).distinct())
-    return keep_decided(docs, kept, {"id": col(id_col)})
+    """``docs`` with one row of each component, the one with the smallest id (null last) and text hash; rows
+    without words stay.  Rows are named by id and text: only rows equal in both are copies whatever their words."""
+    rows, labels = _linked(docs, id_col, text_col, k, num, den)
+    name = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("th").alias("text"))
+    kept = (rows.filter("n > 0").groupBy("c1").agg(F.min(name).alias("best"))
+            .join(labels.select(F.col("node").alias("c1"), "root"), "c1", "left")
+            .groupBy(F.coalesce("root", "c1").alias("root")).agg(F.min("best").alias("best"))
+            .select("best.id", "best.text"))
+    words = F.coalesce(col(text_col).rlike(WHITE_SPACE_CLASS.replace("[", "[^")), F.lit(False))
+    with_words = keep_decided(docs.filter(words), kept, {"id": col(id_col), "text": F.xxhash64(F.coalesce(col(text_col), F.lit("")))})
+    return docs.filter(~words).unionByName(with_words)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
