@@ -424,6 +424,16 @@ def test_mixing_targets_and_sample(docs, rows):
         {r.doc_id: r.copies for r in got if r.copies})
 
 
+def test_mixing_repeats_rows_with_clashing_names(docs):
+    names = ["c", "_mix_text", "_mix_source", "_mix_rn", "_mix_of", "_mix_copy", "_copies"]
+    few = docs.limit(60).withColumns({x: F.lit(f"own {x}") for x in names})
+    got = mixing.repeat_rows(few)
+    assert got.columns == few.columns
+    rows = got.collect()
+    assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in mixing.repeat_rows(docs.limit(60)).collect())
+    assert rows and all(r[x] == f"own {x}" for r in rows for x in names)
+
+
 def test_mixing_target_cap():
     t = mixing.targets({"a": 10, "b": 100, None: 1000, "d": 0}, {"a": 3, "b": 2, None: 1, "d": 2})
     assert t["a"] == 30 and t["b"] == 300 and t[None] == pytest.approx(780) and t["d"] == 0

@@ -10,6 +10,8 @@ whole copies, and one more with chance f = r - floor(r).  For that copy document
 are ranked by Pareto order sampling, (u / (1 - u)) / (f / (1 - f)) with u a uniform
 number hashed from the document, and are taken in that order until the words still
 wanted are reached (a sample of fixed size, in words), each only if it fits whole.
+As f is one number for a source and sources are drawn apart, these ranks order a source's documents as u does: the draw
+is a sequential sample by u, in which all documents of a source are alike.
 Last, the one untaken document that brings the source nearest to its target is
 added, if that helps.
 
@@ -135,24 +137,24 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def repeat_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 **options) -> DataFrame:
     """The mixture itself: each row of ``docs`` as often as the mix takes it."""
-    n, key, key2 = (free_name(docs, x) for x in ("_copies", "_mix_id", "_mix_key"))
+    n, key, key2, src, own, rn, of, copy, c = (free_name(docs, x) for x in (
+        "_copies", "_mix_id", "_mix_key", "_mix_source", "_mix_text", "_mix_rn", "_mix_of", "_mix_copy", "_mix_c"))
     m = mix(docs, id_col, text_col, source_col, **options)
     # rows that agree in id, source and text are interchangeable: their copies are summed
     # and dealt evenly in row-hash order
-    per = (m.filter("copies > 0").groupBy(id_col, source_col, "row_key").agg(F.sum("copies").alias("c"))
-           .select(col(id_col).alias(key), col(source_col).alias("_mix_source"), F.col("row_key").alias(key2), "c"))
+    per = (m.filter("copies > 0").groupBy(col(id_col).alias(key), col(source_col).alias(src), F.col("row_key").alias(key2))
+           .agg(F.sum("copies").alias(c)))
     from tickforge.llm.common import row_hash
-    left = docs.withColumn("_mix_text", F.xxhash64(F.coalesce(col(text_col), F.lit(""))))
-    j = left.join(per, left[id_col].eqNullSafe(per[key]) & (left["_mix_text"] == per[key2])
-                  & left[source_col].cast("string").eqNullSafe(per["_mix_source"]))
-    same = Window.partitionBy(key, key2, "_mix_source")
-    j = (j.withColumn("_mix_rn", F.row_number().over(same.orderBy(row_hash(docs))))
-         .withColumn("_mix_of", F.count(F.lit(1)).over(same))
-         .withColumn(n, F.floor(F.col("c") / F.col("_mix_of"))
-                     + (F.col("_mix_rn") <= F.col("c") % F.col("_mix_of")).cast("int"))
+    left = docs.withColumn(own, F.xxhash64(F.coalesce(col(text_col), F.lit(""))))
+    j = left.join(per, left[id_col].eqNullSafe(per[key]) & (left[own] == per[key2])
+                  & left[source_col].cast("string").eqNullSafe(per[src]))
+    same = Window.partitionBy(key, key2, src)
+    j = (j.withColumn(rn, F.row_number().over(same.orderBy(row_hash(docs))))
+         .withColumn(of, F.count(F.lit(1)).over(same))
+         .withColumn(n, F.floor(F.col(c) / F.col(of)) + (F.col(rn) <= F.col(c) % F.col(of)).cast("int"))
          .filter(col(n) > 0))
-    return (j.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), col(n).cast("int"))))
-            .select(*[col(c) for c in docs.columns]))
+    return (j.withColumn(copy, F.explode(F.sequence(F.lit(1), col(n).cast("int"))))
+            .select(*[col(x) for x in docs.columns]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
