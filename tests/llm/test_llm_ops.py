@@ -535,3 +535,7 @@ def test_native_operators_run_no_python(docs):
     for df in (exact_dedup.exact_dedup(docs), syncmers.edited_likeness(docs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_language_sample_is_not_cut():
+    assert lang_id.SAMPLE == 2000
