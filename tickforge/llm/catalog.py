@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickforge.llm import (bpe, context_tree, divergence, exact_dedup, jaccard_join, lang_id, mixing, quality, sharding,
-                           syncmers, unit_dedup)
+from tickforge.llm import (alignment, bpe, context_tree, cross_polytope, divergence, exact_dedup, jaccard_join, lang_id, mixing, quality,
+                           sharding, syncmers, unit_dedup)
 from tickforge.session import configure
 
 MODULES = {
@@ -21,6 +21,8 @@ MODULES = {
     "op8_exact_dedup": exact_dedup,
     "op9_bpe_automaton": bpe,
     "op10_sampled_splitters": sharding,
+    "op11_alignment_audit": alignment,
+    "op12_cross_polytope": cross_polytope,
     "op13_source_divergence": divergence,
 }
 

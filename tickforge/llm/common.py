@@ -44,6 +44,11 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def apart(df: DataFrame) -> DataFrame:
+    """``df`` with columns of its own identity, so that it can be co-grouped with a table it shares a source with."""
+    return df.select(*[col(c).alias(c) for c in df.columns])
+
+
 def row_hash(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
     """64-bit hash of a row over all columns that can be hashed."""
     use = [f.name for f in df.schema.fields
