@@ -165,3 +165,56 @@ def test_news_pages_keep_string_ids_and_other_fields(spark):
                                                         "author": "someone", "amp_url": "http://x"}]}) + "\n")
     r = read_news_pages(spark, out).first()
     assert (r["id"], r["author"], r["amp_url"], r["keywords"], r["search_ticker"]) == ("a1-b2", "someone", "http://x", None, "X")
+
+
+def test_news_drift_reads_back(spark):
+    """A vendor field that changes its type from batch to batch stays readable, in one pass without inference."""
+    base = tempfile.mkdtemp(prefix="drift-")
+    table = os.path.join(base, "news")
+    batches = [{"id": 1, "published_utc": "2020-01-02T10:00:00Z", "title": "a", "keywords": ["x"], "score": 1},
+               {"id": "two", "published_utc": "2020-01-03T10:00:00Z", "title": {"odd": 1}, "keywords": None, "score": {"v": 1}},
+               {"id": 3, "published_utc": None, "sco'res": [1, "b"], "score": "high", "title": "c"}]
+    for k, r in enumerate(batches):
+        d = os.path.join(base, f"land{k}")
+        os.makedirs(d)
+        with open(os.path.join(d, "p.json"), "w") as f:
+            f.write(json.dumps({"ticker": f"T{k}", "results": [r]}) + "\n")
+        write_table(read_news_pages(spark, d, table=table), table, "search_ticker", "published_utc")
+    got = {r["search_ticker"]: r for r in read_table(spark, table, key="search_ticker", merge_schema=True).collect()}
+    assert [got[f"T{k}"]["id"] for k in range(3)] == ["1", "two", "3"]
+    assert [got[f"T{k}"]["score"] for k in range(3)] == [1, None, None]
+    assert got["T0"]["keywords"] == ["x"] and "score" not in got["T0"]["extra"]
+    assert got["T1"]["extra"]["score"] == '{"v":1}' and got["T2"]["extra"]["score"] == "high"
+    assert got["T2"]["extra"]["sco'res"] == '[1,"b"]'
+
+
+def test_schema_grows_and_never_narrows(spark):
+    import pytest
+    from tickforge.sources.schemas import SchemaConflict, stored_schema
+    d = os.path.join(tempfile.mkdtemp(prefix="evolve-"), "t")
+    write_table(spark.createDataFrame([("A", 1, 1.5, (1,))], "ticker string, n int, x float, s struct<a:int>"), d, "ticker", None)
+    write_table(spark.createDataFrame([("005", 1 << 40, 2.5, (2, "z"), "new")], "ticker string, n long, x double, s struct<a:long,b:string>, y string"),
+                d, "ticker", None)
+    write_table(spark.createDataFrame([("C", 7)], "ticker string, n int"), d, "ticker", None)      # narrower: cast up
+    got = {r["ticker"]: r for r in read_table(spark, d).collect()}
+    assert got["A"]["n"] == 1 and got["005"]["n"] == 1 << 40 and got["C"]["n"] == 7 and got["C"]["y"] is None
+    assert got["A"]["x"] == 1.5 and got["A"]["s"]["a"] == 1 and got["A"]["s"]["b"] is None and got["005"]["s"]["b"] == "z"
+    assert stored_schema(spark, d)[0] == 2
+    with pytest.raises(SchemaConflict, match="n: bigint and string"):
+        write_table(spark.createDataFrame([("A", "x")], "ticker string, n string"), d, "ticker", None)
+    assert read_table(spark, d).count() == 3
+
+
+def test_writing_runs_the_plan_once(spark):
+    """The rows behind a written table are computed once, though their ranges are sampled."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    df = spark.range(1000).selectExpr("concat('T', id % 7) AS ticker", "id AS t").mapInPandas(count, "ticker string, t long")
+    d = os.path.join(tempfile.mkdtemp(prefix="once-"), "t")
+    write_table(df, d, "ticker", "t")
+    assert seen.value == 1000 and read_table(spark, d).count() == 1000

@@ -224,7 +224,7 @@ def build_gold(silver: DataFrame, warmup: str = "bfill", embed: bool = True, mod
 
 
 def run_layers(bars: DataFrame, news: DataFrame | None, out_dir: str, targets: Sequence[str] | None,
-               proxies: Sequence[str], **gold_args) -> dict[str, str]:
+               proxies: Sequence[str], fmt: str = "parquet", **gold_args) -> dict[str, str]:
     """bronze (bars, news) -> silver -> gold as written tables (S4, S7); returns their paths.
 
     Silver is written once, partitioned by ticker and sorted by t, and gold is
@@ -236,14 +236,14 @@ def run_layers(bars: DataFrame, news: DataFrame | None, out_dir: str, targets: S
     spark = bars.sparkSession
     paths = {x: f"{out_dir.rstrip('/')}/{x}" for x in ("bars", "news", "silver", "gold")}
     mode = gold_args.pop("mode", "key")
-    write_table(bars, paths["bars"], KEY, ORDER)
-    bars = read_table(spark, paths["bars"])
+    write_table(bars, paths["bars"], KEY, ORDER, fmt)
+    bars = read_table(spark, paths["bars"], fmt=fmt)
     if news is None:
         paths.pop("news")
     else:
-        write_table(news, paths["news"], "search_ticker", "published_utc")
-        news = read_table(spark, paths["news"], key="search_ticker")
-    write_table(build_silver(bars, news, targets, proxies, mode=mode), paths["silver"], KEY, ORDER)
-    silver = read_table(spark, paths["silver"], targets)
-    write_table(build_gold(silver, mode=mode, **gold_args), paths["gold"], KEY, ORDER)
+        write_table(news, paths["news"], "search_ticker", "published_utc", fmt)
+        news = read_table(spark, paths["news"], key="search_ticker", fmt=fmt)
+    write_table(build_silver(bars, news, targets, proxies, mode=mode), paths["silver"], KEY, ORDER, fmt)
+    silver = read_table(spark, paths["silver"], targets, fmt=fmt)
+    write_table(build_gold(silver, mode=mode, **gold_args), paths["gold"], KEY, ORDER, fmt)
     return paths

@@ -70,3 +70,17 @@ def news_from_pages(spark, sf_dir):
     df = read_news_pages(spark, path).withColumn("id", F.col("id").cast("long"))
     return df.select("search_ticker", "published_utc", "title", "description",
                      F.array_join("keywords", ",").alias("keywords"), "id")
+
+
+@register("evolved_table", rounded(f"""WITH {BARS_DAILY}
+SELECT ticker, t, c, v, n, CASE WHEN year(t) >= 1997 THEN vw END AS vw,
+       CASE WHEN year(t) >= 1997 THEN n * 1.5 ELSE NULL END AS weight FROM bars""", ["c", "v", "vw", "weight"]))
+def evolved_table(spark, sf_dir):
+    """A table whose later write adds two columns and widens one (n: int, then long), read back whole."""
+    path = _scratch(spark, "evolved")
+    bars = FX.daily_bars(spark, sf_dir).withColumn("y", F.year("t"))
+    early = bars.filter("y < 1997").select("ticker", "y", "t", "c", "v", F.col("n").cast("int").alias("n"))
+    late = bars.filter("y >= 1997").select("ticker", "y", "t", "vw", "n", "c", "v", (F.col("n") * 1.5).alias("weight"))
+    write_table(early, path, ["ticker", "y"], "t")
+    write_table(late, path, ["ticker", "y"], "t")
+    return round_doubles(read_table(spark, path).select("ticker", "t", "c", "v", "n", "vw", "weight"))

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickforge.sources.schemas import stored_schema
+
 BAR_RESULT = T.StructType([
     T.StructField("t", T.LongType()), T.StructField("o", T.DoubleType()),
     T.StructField("h", T.DoubleType()), T.StructField("l", T.DoubleType()),
@@ -20,7 +22,7 @@ BAR_PAGE = T.StructType([
     T.StructField("results", T.ArrayType(BAR_RESULT)),
 ])
 
-# Fields of a news result that later steps use; a page may hold any others.
+# Fields of a news result that later steps use; a page may hold any others (``extra``).
 NEWS_FIELDS = {"published_utc": "string", "title": "string", "description": "string",
                "keywords": "array<string>", "id": "string"}
 
@@ -59,14 +61,40 @@ def flatten_bar_pages(pages: DataFrame, ticker: str | None = None) -> DataFrame:
 
 
 def read_news_pages(spark: SparkSession, path: str, ticker: str | None = None,
-                    schema: T.StructType | None = None) -> DataFrame:
+                    fields: dict[str, str] | None = None, table: str | None = None) -> DataFrame:
     """News pages -> bronze news rows with the ``search_ticker`` stamp.
 
-    Every field of the vendor's results stays, as the reference keeps them; the schema is
-    inferred unless given.  Ids are strings.  ``NEWS_FIELDS`` are there even where no page has them.
+    ``NEWS_FIELDS`` are there even where no page has them; ids are strings.  What else is a column is said by ``fields``
+    (name: type), or by the stored schema of the bronze ``table`` that the rows are for.  Then the pages are read
+    once, nothing is inferred, and one batch's columns never differ from another's: a value that does not fit its type is
+    null there, and it and every unknown field stay as JSON text in ``extra`` (map<string,string>).
+    Without either (a first landing), every field of the vendor's results is a column of the type inferred.
     """
-    read = spark.read if schema is None else spark.read.schema(schema)
-    pages = read.json(path)
+    if fields is None and table is not None:
+        had = stored_schema(spark, table)
+        if had is not None:
+            fields = {f.name: f.dataType.simpleString() for f in had[1].fields
+                      if f.name not in NEWS_FIELDS and f.name not in ("search_ticker", "extra")}
+    if fields is None:
+        return _inferred_news(spark, path, ticker)
+    pages = spark.read.schema("ticker string, results array<variant>").json(path)
+    tk = F.coalesce(F.col("ticker"), F.lit(ticker))
+    rows = pages.select(tk.alias("search_ticker"), F.explode("results").alias("r"))
+    rows = rows.withColumn("m", F.from_json(F.to_json("r"), "map<string,string>"))
+    want = NEWS_FIELDS | fields
+    rows = rows.select("search_ticker", "m", *[
+        F.try_variant_get("r", "$['" + c.replace("'", "\\'") + "']", t).alias(c) for c, t in want.items()])
+    missed = F.array_compact(F.array(*[F.when(F.col(f"`{c}`").isNull(), F.lit(c)) for c in want]))
+    extra = F.map_filter("m", lambda k, v: v.isNotNull() & (~k.isin(list(want)) | F.array_contains(missed, k)))
+    return rows.select("search_ticker", *[F.col(f"`{c}`") for c in want], F.coalesce(extra, _nothing()).alias("extra"))
+
+
+def _nothing() -> F.Column:
+    return F.create_map().cast("map<string,string>")
+
+
+def _inferred_news(spark: SparkSession, path: str, ticker: str | None) -> DataFrame:
+    pages = spark.read.json(path)
     tk = F.coalesce(F.col("ticker") if "ticker" in pages.columns else F.lit(None).cast("string"), F.lit(ticker))
     if "results" not in pages.columns:
         pages = pages.withColumn("results", F.array().cast("array<struct<id:string>>"))
@@ -74,8 +102,8 @@ def read_news_pages(spark: SparkSession, path: str, ticker: str | None = None,
     have = rows.schema["r"].dataType.fieldNames()
     known = [(F.col("r").getField(c).cast(t) if c in have else F.lit(None).cast(t)).alias(c)
              for c, t in NEWS_FIELDS.items()]
-    rest = [F.col("r").getField(c).alias(c) for c in have if c not in NEWS_FIELDS and c != "search_ticker"]
-    return rows.select("search_ticker", *known, *rest)
+    rest = [F.col("r").getField(c).alias(c) for c in have if c not in NEWS_FIELDS and c not in ("search_ticker", "extra")]
+    return rows.select("search_ticker", *known, *rest, _nothing().alias("extra"))
 
 
 def write_pages(df: DataFrame, path: str, key: str, page: F.Column, fields: list[str],
