@@ -44,7 +44,7 @@ UNITS, LISTED, BUCKET = 400_000, 8_000_000, 4_000_000
 #: Fixed value: the mark that stands for a space in sentencepiece vocabularies.
 SPACE_MARK = "▁"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_WIDE = re.compile(r"\s\s")
+_LOOSE = re.compile(r"\s | \s")
 
 MEASURES = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 
@@ -111,7 +111,7 @@ class Tokenizers:
     def units(self, text: str) -> list[str]:
         if not self.cuts:
             return [text]
-        if _WIDE.search(text) or text[0].isspace() or text[-1].isspace():
+        if _LOOSE.search(text) or text[0].isspace() or text[-1].isspace():
             return _CUT.split(text)
         return text.split(" ")                                 # every space is between two words
 
