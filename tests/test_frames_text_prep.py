@@ -174,3 +174,28 @@ def test_metrics_sort_median_equals_percentile(spark):
     a = {r["ticker"]: r["m"] for r in df.groupBy("ticker").agg(F.percentile(F.abs(F.col("y") - F.col("yhat")), 0.5).alias("m")).collect()}
     b = {r["ticker"]: r["medae"] for r in M.regression_metrics(df).collect()}
     assert a == b
+
+
+def test_rule_calendar_knows_holidays_and_counts_open_days(spark):
+    import datetime as d
+    import pytest
+    from tickforge.operators import exchange as EX
+    from tickforge.operators.forecast import HOLIDAYS
+    by_rule = {r["d"].isoformat() for r in EX.holidays(spark, 2001, 2002).collect()}
+    assert by_rule == {h for h in HOLIDAYS if not "2001-09-11" <= h <= "2001-09-14"}
+    known = {2021: "2021-04-02", 2024: "2024-03-29", 2038: "2038-04-23", 1954: "1954-04-16"}
+    for y, good_friday in known.items():
+        assert good_friday in {r["d"].isoformat() for r in EX.holidays(spark, y, y).collect()}
+    assert "2021-12-31" not in {r["d"].isoformat() for r in EX.holidays(spark, 2021, 2022).collect()}    # a Saturday's New Year
+    days = EX.calendar(spark, 2000, 2003, ["2001-09-11", "2001-09-12", "2001-09-13", "2001-09-14"])
+    rows = days.orderBy("d").collect()
+    n = 0
+    for r in rows:
+        n += r["open"]
+        assert r["ordinal"] == n
+    assert len(rows) == 1461 and sum(r["open"] for r in rows if r["d"].year == 2001) == 248
+    last = spark.createDataFrame([("A", d.datetime(2001, 9, 10)), ("B", d.datetime(2001, 9, 15))], "ticker string, t timestamp_ntz")
+    got = {(r["ticker"], r["step"]): r["t"].date().isoformat() for r in EX.next_open_days(last, 2, days).collect()}
+    assert got == {("A", 1): "2001-09-17", ("A", 2): "2001-09-18", ("B", 1): "2001-09-17", ("B", 2): "2001-09-18"}
+    with pytest.raises(Exception, match="more years"):
+        EX.next_open_days(last, 900, days).collect()

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tickforge.operators import exchange as EX
 from tickforge.operators import forecast as FC
 from tickforge.operators import metrics as M
 from tickforge.operators import prep as PR
@@ -254,3 +255,39 @@ def history_plus_forecast(spark, sf_dir):
     lastp = PR.last_row(preds).select("ticker", "yhat")
     fc = days.join(lastp, "ticker", "inner")
     return round_doubles(FC.append_forecast(preds, fc))
+
+
+#: Years that the calendar query moves the order days by, so that they span more than 20.
+SHIFTS = (0, 8, 16)
+
+
+@register("open_days", """WITH RECURSIVE seen AS (
+  SELECT DISTINCT CAST(CAST(o_orderdate AS DATE) + to_years(s.k) AS DATE) AS day
+  FROM orders, (VALUES (0), (8), (16)) s(k)),
+y AS (SELECT range AS y FROM range(1990, 2022)),
+g AS (SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM y),
+g2 AS (SELECT *, (19 * a + b - b // 4 - (b - (b + 8) // 25 + 1) // 3 + 15) % 30 AS h FROM g),
+g3 AS (SELECT *, (32 + 2 * (b % 4) + 2 * (c // 4) - h - c % 4) % 7 AS l FROM g2),
+east AS (SELECT y, h + l - 7 * ((a + 11 * h + 22 * l) // 451) + 114 AS e FROM g3),
+fixed AS (
+  SELECT make_date(y, m, d) AS d, sat FROM y, (VALUES (1, 1, false), (7, 4, true), (12, 25, true)) f(m, d, sat)),
+hol AS (
+  SELECT CASE isodow(d) WHEN 7 THEN d + 1 WHEN 6 THEN (CASE WHEN sat THEN d - 1 END) ELSE d END AS d FROM fixed
+  UNION ALL SELECT make_date(y, e // 31, e % 31 + 1) - 2 FROM east
+  UNION ALL SELECT d FROM (
+    SELECT CAST(r.d AS DATE) AS d, month(r.d) AS m, isodow(r.d) AS w, (day(r.d) - 1) // 7 + 1 AS nth,
+           day(last_day(r.d)) - day(r.d) < 7 AS final, year(r.d) AS y
+    FROM range(DATE '1990-01-01', DATE '2022-01-01', INTERVAL 1 DAY) r(d))
+  WHERE (m = 1 AND w = 1 AND nth = 3 AND y >= 1998) OR (m = 2 AND w = 1 AND nth = 3) OR (m = 5 AND w = 1 AND final)
+     OR (m = 9 AND w = 1 AND nth = 1) OR (m = 11 AND w = 4 AND nth = 4)),
+bd AS (
+  SELECT day, CAST(c.d AS DATE) AS d, row_number() OVER (PARTITION BY day ORDER BY c.d) AS step
+  FROM seen, (SELECT range AS k FROM range(1, 15)) k, LATERAL (SELECT CAST(day + CAST(k.k AS INTEGER) AS DATE) AS d) c
+  WHERE isodow(c.d) <= 5 AND c.d NOT IN (SELECT d FROM hol WHERE d IS NOT NULL))
+SELECT day, CAST(d AS TIMESTAMP) AS t, CAST(step AS INTEGER) AS step FROM bd WHERE step <= 3""")
+def open_days(spark, sf_dir):
+    """The next 3 open days by the rule calendar after every order day, moved so that they span more than 20 years."""
+    orders = FX.table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("d"))
+    days = orders.select(F.explode(F.array(*[F.add_months("d", 12 * k) for k in SHIFTS])).alias("day")).distinct()
+    last = days.withColumn("t", F.col("day"))
+    return EX.next_open_days(last, 3, EX.calendar(spark, 1990, 2021), key="day")
