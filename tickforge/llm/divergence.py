@@ -6,7 +6,7 @@ terms, a term's smoothed share is p = 1 + floor(scale * (count + smooth) / (N +
 
 1. Each task counts occurrences and documents per (lang, source, term) in bounded tables and emits them when they are
    full, so a hot source or term leaves a task as one row per table and not per occurrence.
-2. Sums by (lang, term) give the kept terms.  They are dealt into blocks of about ``BLOCK`` terms by hash; a term's id
+2. The tasks' counts are added by (lang, source, term), and these by (lang, term), which gives the kept terms.  They are dealt into blocks of about ``BLOCK`` terms by hash; a term's id
    is its place in its block.
 3. Each group's counts of a block are one array sorted by term id (at most about ``BLOCK`` entries).
 4. Pair tasks: the arrays of two tiles of ``TILE`` sources are co-grouped for each block; every unordered pair of
@@ -32,10 +32,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import col, documents, written
+from tickforge.llm.common import apart, col, documents, written
 
 #: Entries of a task's count tables before they are emitted; terms of a block; sources of a tile; bytes counted at a time.
-ENTRIES, BLOCK, TILE, PIECE = 400_000, 1 << 16, 16, 1 << 20
+ENTRIES, BLOCK, TILE, PIECE = 700_000, 1 << 16, 16, 1 << 20
 MIN_DOCS, SMOOTH, TOP = 30, 5, 50
 #: Fixed value: shares are in parts of 10^9, multiplied in three steps of 10^3.
 STEPS, STEP = 3, 1000
@@ -163,8 +163,7 @@ def _pair_values(arrays: DataFrame, smooth: int) -> DataFrame:
     tile = F.floor((F.col("place") - 1) / TILE).cast("int")
     tiled = arrays.withColumn("tile", tile)
     left = tiled.withColumn("i", F.col("tile")).withColumn("j", F.explode(F.sequence("tile", F.col("tiles") - 1)))
-    again = tiled.select(*[F.col(c).alias(c) for c in tiled.columns])       # columns of its own: both sides are one table
-    right = again.withColumn("j", F.col("tile")).withColumn("i", F.explode(F.sequence(F.lit(0), "tile")))
+    right = apart(tiled).withColumn("j", F.col("tile")).withColumn("i", F.explode(F.sequence(F.lit(0), "tile")))
     out = pa.schema([("lang", pa.string()), ("x", pa.string()), ("y", pa.string()), ("value", pa.int64())])
 
     def sources(t: pa.Table) -> list[tuple]:
@@ -194,7 +193,8 @@ def divergence(docs: DataFrame, lang_col: str = "lang", source_col: str = "sourc
                min_docs: int = MIN_DOCS, smooth: int = SMOOTH, top: int = TOP) -> DataFrame:
     """(lang, source, part, item, value, rank): part ``pair`` has every other source of the language, part
     ``term`` the ``top`` terms that the group uses more than its language."""
-    counts = written(term_counts(docs, lang_col, source_col, text_col), "terms")
+    counts = written(term_counts(docs, lang_col, source_col, text_col).groupBy("lang", "source", "term")
+                     .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "terms")
     kept = (counts.filter("length(term) > 0").groupBy("lang", "term")
             .agg(F.sum("n").alias("all_n"), F.sum("docs").alias("docs")).filter(F.col("docs") >= min_docs)
             .drop("docs"))
@@ -206,13 +206,11 @@ def divergence(docs: DataFrame, lang_col: str = "lang", source_col: str = "sourc
     of_lang = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"), F.sum("all_n").alias("lang_total"))
     of_block = kept.groupBy("lang", "block").agg(F.count(F.lit(1)).alias("kept"))
 
-    group_terms = written(counts.join(kept, ["lang", "term"])
-                          .groupBy("lang", "source", "term", "block", "id", "all_n").agg(F.sum("n").alias("n")),
-                          "group_terms")
+    group_terms = written(counts.drop("docs").join(kept, ["lang", "term"]), "group_terms")
     totals = group_terms.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     w = Window.partitionBy("lang")
     groups = written(
-        counts.filter("length(term) = 0").select("lang", "source").distinct()
+        counts.filter("length(term) = 0").select("lang", "source")
         .join(totals, ["lang", "source"], "left").join(of_lang, "lang", "left").na.fill(0, ["total", "terms", "lang_total"])
         .withColumn("place", F.row_number().over(w.orderBy("source")))
         .withColumn("tiles", F.ceil(F.count(F.lit(1)).over(w) / TILE).cast("int")), "groups")
