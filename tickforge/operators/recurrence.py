@@ -411,13 +411,15 @@ def true_range(high="h", low="l", prev_close="_pc") -> Column:
 
 TECH_OUT = ["adx", "atr", "20D-EMA", "50D-EMA", "100D-EMA", "rsi",
             "MACDs_12_26_9", "MACDh_12_26_9", "DMP_16"]
+#: Running values of the recurrences at their default windows.
+INTERNALS = [*(f"_ema{w}" for w in (12, 20, 26, 50, 100)), "_up", "_dn", "_atr", "_tr_w", "_pdm_w", "_mdm_w", "_adx", "_sig"]
 
 
 def add_technical_recurrences(df: DataFrame, key: str = KEY, order: str = ORDER,
                               mode: str = "key", block_rows: int = 4096,
                               ema_windows: Sequence[int] = (20, 50, 100),
                               rsi_window: int = 14, atr_window: int = 14, adx_window: int = 14,
-                              macd=(12, 26, 9), rn: str | None = None) -> DataFrame:
+                              macd=(12, 26, 9), rn: str | None = None, internals: bool = False) -> DataFrame:
     """EMAs, RSI, ATR, ADX with +DI (``DMP_16``), MACD signal and histogram
     (T5-T9, T15, T20-T22).  Needs columns h, l, c; in blocks mode ``rn`` may
     name an existing dense row number (else rows are numbered here).
@@ -426,7 +428,8 @@ def add_technical_recurrences(df: DataFrame, key: str = KEY, order: str = ORDER,
     seeds) are window expressions.  Key mode then runs both scan rounds
     (the second depends on the first: MACD signal, ADX) in one pandas pass
     per ticker, so the plan has a single exchange on the key.  Blocks mode
-    runs each round as a block-parallel scan.
+    runs each round as a block-parallel scan.  ``internals`` keeps the row number (``_rn``) and the running values behind the
+    columns (``INTERNALS``), which ``operators.state`` continues.
     """
     fast, slow, sig = macd
     n, na = atr_window, adx_window
@@ -451,7 +454,7 @@ def add_technical_recurrences(df: DataFrame, key: str = KEY, order: str = ORDER,
     specs["_atr"] = _seeded_spec("_tr", 1.0 / n, n - 1, "_tr_seed", rn)
     for c in ("_tr", "_pdm", "_mdm"):
         specs[f"{c}_w"] = _seeded_spec(c, 1.0 / na, na, f"{c}_s1", rn)
-    if mode == "key":
+    if mode == "key" and not internals:
         return _tech_by_key(df, df0.columns, specs, key, order, rn, ema_windows, rsi_window, na, macd)
 
     df = affine_scan(df, specs, key, order, mode, block_rows, rn)
@@ -475,7 +478,8 @@ def add_technical_recurrences(df: DataFrame, key: str = KEY, order: str = ORDER,
     out["MACDh_12_26_9"] = F.when(sig_ok, F.col("_macd") - F.col("_sig"))
     out["DMP_16"] = F.col("_pdi")
     keep = [c for c in df0.columns if c not in out]
-    return df.select(*[F.col(f"`{c}`") for c in keep], *[v.alias(k) for k, v in out.items()])
+    more = [F.col(rn).alias("_rn")] * (rn not in keep) + [F.col(c) for c in INTERNALS] if internals else []
+    return df.select(*[F.col(f"`{c}`") for c in keep], *[v.alias(k) for k, v in out.items()], *more)
 
 
 def _tech_by_key(df, cols, specs, key, order, rn, ema_windows, rsi_window, na, macd):

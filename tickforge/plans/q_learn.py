@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickforge.operators import learn as L
 from tickforge.operators import metrics as M
+from tickforge.operators import state as ST
 from tickforge.plans import pipeline as PL
 from tickforge.operators.forecast import HOLIDAYS, carry_forward, holiday_table, next_business_days
 from tickforge.operators.prep import last_row
@@ -220,3 +222,27 @@ def forecast_days(spark, sf_dir):
                     .withColumns({c: F.lit(0.0) for c in ("dayofweek", "month", "quarter")}))
     days = next_business_days(last.select("ticker", "t"), 2, holiday_table(spark, HOLIDAYS))
     return carry_forward(last, days).select("ticker", "t", "step", "dayofweek", "month", "quarter")
+
+
+STEPPED = [c for c in ST.DERIVED if c != "c_class"]
+_LAGGED = ", ".join(
+    f"lag({x}, {i}) OVER ({P}) AS {x}_lag_{i}" for x in ST.LAGGED for i in range(1, 6)) + ", " + ", ".join(
+    f"avg({x}) OVER ({P} ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS {x}_rolling_mean, "
+    f"stddev_samp({x}) OVER ({P} ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS {x}_rolling_std" for x in ST.LAGGED)
+
+
+@register("appended_days", rounded(
+    f"WITH RECURSIVE {IND_SQL}, lg AS (SELECT ticker, t, {_LAGGED} FROM bars), "
+    "al AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY t DESC) AS back, "
+    "count(*) OVER (PARTITION BY ticker) AS n_rows FROM ind JOIN lg USING (ticker, t)) SELECT ticker, t, "
+    + ", ".join(q(c) for c in STEPPED) + " FROM al WHERE back <= 2 AND n_rows >= 36",
+    [c for c in STEPPED if not c.startswith("n_lag")]))
+def appended_days(spark, sf_dir):
+    """The derived columns of each ticker's last two days, from the state before them and the two bars
+    alone; equal to those of the whole series (tickers of 36 rows and more, whose recurrences have settled)."""
+    bars = materialise(FX.daily_bars(spark, sf_dir))
+    w = Window.partitionBy("ticker")
+    bars = bars.withColumn("back", F.row_number().over(w.orderBy(F.desc("t")))).withColumn("rows", F.count(F.lit(1)).over(w))
+    state = materialise(ST.series_state(bars.filter("back > 2 AND rows >= 36").drop("back", "rows")))
+    made, _ = ST.fold(state, bars.filter("back <= 2"), 2)
+    return round_doubles(made.select("ticker", "t", *[F.col(f"`{c}`") for c in STEPPED]))
