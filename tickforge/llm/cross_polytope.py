@@ -11,10 +11,12 @@
 4. Multiprobe: a query visits the ``probes`` buckets of each table with the least summed loss (best minus own projection,
    squared).  ``probes`` is measured, not guessed: the exact neighbours of at most ``SAMPLE`` queries (smallest hashes) are
    found by one pass over all classes, and ``probes`` is the least number that finds a share ``recall`` of them.
-5. Buckets are dealt into groups of about ``GROUP`` classes by hash.  A group that is larger (a hot bucket) is cut into blocks of
+5. First each query meets its own bucket of each table; the score of the last of its best ``k + 1`` there is a floor: what is
+   below it cannot rank, so the probes after it pass on few rows, however many groups they visit.
+6. Buckets are dealt into groups of about ``GROUP`` classes by hash.  A group that is larger (a hot bucket) is cut into blocks of
    classes and blocks of queries that all meet: nothing is dropped.  A co-grouped block multiplies the queries of each bucket
    with its classes and keeps each query's best ``k + 1`` by exact scores.
-6. The best of all tables are merged.  Queries that met fewer than ``k + 1`` rows in all (tiny tables) are searched again against all
+7. The best of all tables are merged.  Queries that met fewer than ``k + 1`` rows in all (tiny tables) are searched again against all
    classes in blocks, so they get every candidate.
 
 A score is the inner product of the original vectors in double precision (shorter vectors count as filled up with zeros).
@@ -111,7 +113,7 @@ class Hashing:
         return got
 
     def probes(self, lifted: np.ndarray, table: int, n: int) -> np.ndarray:
-        """The ``n`` buckets of least loss for each query (the best prefixes make the best wholes)."""
+        """The ``n`` buckets of least loss for each query, the best one first (the best prefixes make the best wholes)."""
         code = loss = None
         for part in self.losses(lifted, table):
             if loss is None:
@@ -123,6 +125,9 @@ class Hashing:
             if n < loss.shape[1]:
                 best = np.argpartition(loss, n - 1, axis=1)[:, :n]
                 loss, code = np.take_along_axis(loss, best, 1), np.take_along_axis(code, best, 1)
+        code = code.copy()
+        row, own = np.arange(len(code)), loss.argmin(1)
+        code[row, own], code[:, 0] = code[:, 0].copy(), code[row, own]
         return code
 
     def rank(self, query: np.ndarray, near: np.ndarray, table: int) -> np.ndarray:
@@ -224,8 +229,8 @@ def measured_probes(h: Hashing, sample: list[bytes], near: dict[int, list[bytes]
 
 
 def _met(left: DataFrame, right: DataFrame, on: list[str], h: Hashing, k: int) -> DataFrame:
-    """(qid, cid, first_id, score): each query's best ``k`` classes of each co-grouped block.  left: classes (cid,
-    first_id, vec, bucket); right: queries (qid, vec, buckets)."""
+    """(qid, cid, first_id, score): each query's best ``k`` classes of each co-grouped block that score at least its
+    ``floor``.  left: classes (cid, first_id, vec, bucket); right: queries (qid, vec, buckets, floor)."""
     empty = pa.table({"qid": pa.array([], pa.int64()), "cid": pa.array([], pa.int64()),
                       "first_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
 
@@ -234,6 +239,7 @@ def _met(left: DataFrame, right: DataFrame, on: list[str], h: Hashing, k: int) -
             return empty
         x, q = (matrix(t["vec"].to_pylist(), h.dim, h.kind) for t in (ct, qt))
         cid, first, qid = (t[c].to_numpy() for t, c in ((ct, "cid"), (ct, "first_id"), (qt, "qid")))
+        floor = qt["floor"].to_numpy()
         order = np.argsort(ct["bucket"].to_numpy(), kind="stable")
         bucket = ct["bucket"].to_numpy()[order]
         lists = qt["buckets"].combine_chunks()
@@ -247,7 +253,8 @@ def _met(left: DataFrame, right: DataFrame, on: list[str], h: Hashing, k: int) -
             who = asker[np.searchsorted(asked, code):np.searchsorted(asked, code, "right")]
             if len(who):
                 a, b, s = best_rows(q[who], x[rows], first[rows], k)
-                found.append((who[a], rows[b], s))
+                ok = s >= floor[who[a]]
+                found.append((who[a[ok]], rows[b[ok]], s[ok]))
         if not found:
             return empty
         a, b, s = first_rows(*(np.concatenate(c) for c in zip(*found)), first, k)
@@ -320,9 +327,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec
     in_group = lambda c: F.pmod(F.xxhash64(c), F.lit(groups)).cast("int")
     held = (classes.select("cid", "first_id", "vec")
             .mapInArrow(index, "cid long, first_id long, vec binary, t int, bucket long").withColumn("g", in_group("bucket")))
-    asks = (classes.filter("asked").select(F.col("cid").alias("qid"), "vec")
-            .mapInArrow(probe, "qid long, vec binary, t int, buckets array<long>")
-            .select("qid", "t", F.explode("buckets").alias("bucket"), "vec").withColumn("g", in_group("bucket"))
+    probed = (classes.filter("asked").select(F.col("cid").alias("qid"), "vec")
+              .mapInArrow(probe, "qid long, vec binary, t int, buckets array<long>"))
+    asks = (probed.select("qid", "t", F.explode("buckets").alias("bucket"), "vec").withColumn("g", in_group("bucket"))
             .groupBy("qid", "t", "g").agg(F.collect_list("bucket").alias("buckets"), F.first("vec").alias("vec")))
     # how many blocks of classes and of queries each group needs
     many = (held.groupBy("t", "g").agg(F.count(F.lit(1)).alias("c"))
@@ -330,9 +337,17 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec
             .select("t", "g", F.ceil(F.col("c") / BLOCK).cast("int").alias("cb"), F.ceil(F.col("q") / BLOCK).cast("int").alias("qb")))
     many = written(many, "groups")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    left = held.join(many, ["t", "g"]).withColumn("ci", _salt("cid", F.col("cb"))).withColumn("qi", every("qb"))
-    right = asks.join(many, ["t", "g"]).withColumn("qi", _salt("qid", F.col("qb"))).withColumn("ci", every("cb"))
-    found = written(_best(_met(left, right, ["t", "g", "ci", "qi"], h, k + 1), k + 1), "found")
+    on = ["t", "g", "ci", "qi"]
+    left = held.join(many, ["t", "g"]).withColumn("ci", _salt("cid", F.col("cb"))).withColumn("qi", every("qb")).drop("cb", "qb")
+    right = lambda a: (a.join(many, ["t", "g"]).withColumn("qi", _salt("qid", F.col("qb"))).withColumn("ci", every("cb"))
+                       .select(*on, "qid", "vec", "buckets", "floor"))
+    lowest = F.lit(float("-inf"))
+    own = (probed.withColumn("g", in_group(F.col("buckets")[0])).withColumn("buckets", F.slice("buckets", 1, 1))
+           .withColumn("floor", lowest))
+    floor = (_best(_met(left, right(own), on, h, k + 1), k + 1).groupBy("qid")
+             .agg(F.when(F.count(F.lit(1)) > k, F.min("score")).alias("floor")))
+    asks = asks.join(floor, "qid", "left").withColumn("floor", F.coalesce("floor", lowest))
+    found = written(_best(_met(left, right(asks), on, h, k + 1), k + 1), "found")
     ids = classes.select("cid", "ids")
     rows_met = found.join(ids, "cid").groupBy("qid").agg(F.sum(F.size("ids")).alias("met"))
     short = written(classes.filter("asked").select(F.col("cid").alias("qid"), "vec").join(rows_met, "qid", "left")
@@ -342,7 +357,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec
         left = (classes.select("cid", "first_id", "vec", F.lit(0).cast("long").alias("bucket"))
                 .withColumn("ci", _salt("cid", F.lit(blocks))))
         right = (short.withColumn("buckets", F.array(F.lit(0).cast("long")))
-                 .withColumn("ci", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
+                 .withColumn("floor", lowest).withColumn("ci", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
         again = _best(_met(left, right, ["ci"], h, k + 1), k + 1)
         found = found.join(short.select("qid"), "qid", "left_anti").unionByName(again)
 
@@ -351,9 +366,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec
                    "c -> transform(c.ids, i -> struct(-c.score as s, i as i, c.cid as c))))")
     lists = (found.join(ids, "cid").groupBy("qid").agg(F.slice(F.array_sort(entry), 1, k + 1).alias("l"))
              .join(classes.select(F.col("cid").alias("qid"), "vec"), "qid").select("vec", "qid", "l"))
-    own = F.expr("array_position(transform(l, e -> e.i = id and e.c = qid), true)")
-    others = F.expr(f"slice(filter(l, (e, p) -> p + 1 <> own), 1, {k})")
-    return (queries.join(lists, "vec").withColumn("own", own)
+    at = F.expr("array_position(transform(l, e -> e.i = id and e.c = qid), true)")
+    others = F.expr(f"slice(filter(l, (e, p) -> p + 1 <> own), 1, {k})")       # without the row itself
+    return (queries.join(lists, "vec").withColumn("own", at)
             .select(F.col("id").alias("query_id"), F.posexplode(others).alias("p", "e"))
             .select("query_id", (F.col("p") + 1).cast("int").alias("rank"), F.col("e.i").alias("vec_id"),
                     (-F.col("e.s") + F.lit(0.0)).alias("score")))
