@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from tickforge.operators import learn as L
 from tickforge.operators import metrics as M
+from tickforge.operators import search as S
 from tickforge.operators import state as ST
 from tickforge.plans import pipeline as PL
 from tickforge.operators.forecast import HOLIDAYS, carry_forward, holiday_table, next_business_days
-from tickforge.operators.prep import last_row
+from tickforge.operators.prep import last_row, rolling_folds
 from tickforge.plans.catalog import register, round_doubles
 from tickforge.plans.q_frames import W14, W20
 from tickforge.plans.q_prep import HOL_SQL
@@ -129,7 +130,7 @@ EMBEDDING = 100
 def _features(spark, sf_dir):
     """The whole gold table, embedding expanded, with the last 20% of each ticker's rows held out."""
     g = PL.build_gold(materialise(_silver(spark, sf_dir)), embedding_size=EMBEDDING)
-    return materialise(L.hold_out(L.expand_embedding(g, EMBEDDING)))
+    return materialise(L.hold_out(L.expand_embedding(L.add_ticker_effect(g), EMBEDDING)))
 
 
 def _fitted(f, booster, params):
@@ -246,3 +247,37 @@ def appended_days(spark, sf_dir):
     state = materialise(ST.series_state(bars.filter("back > 2 AND rows >= 36").drop("back", "rows")))
     made, _ = ST.fold(state, bars.filter("back <= 2"), 2)
     return round_doubles(made.select("ticker", "t", *[F.col(f"`{c}`") for c in STEPPED]))
+
+
+@register("ticker_effects", rounded(
+    f"WITH {SILVER_SQL}, sv AS (SELECT * FROM silver WHERE {SILVER_WHERE}) SELECT ticker, t, "
+    f"coalesce(sum(target) OVER ({P} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) / "
+    f"(count(target) OVER ({P} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 20.0) AS ticker_effect FROM sv",
+    ["ticker_effect"]))
+def ticker_effects(spark, sf_dir):
+    """H1, H2: the ticker as the shrunken mean of its earlier labels."""
+    return round_doubles(L.add_ticker_effect(_silver(spark, sf_dir)).select("ticker", "t", "ticker_effect"))
+
+
+@register("fold_sums", f"""WITH {SILVER_SQL}, sv AS (SELECT * FROM silver WHERE {SILVER_WHERE}),
+held AS (SELECT *, percent_rank() OVER ({P}) AS pr FROM sv),
+r AS (SELECT *, row_number() OVER ({P}) - 1 AS rn, count(*) OVER (PARTITION BY ticker) AS m FROM held WHERE pr < 0.8),
+f AS (SELECT r.*, CAST(rn // 20 AS INTEGER) AS fold, 'train' AS role FROM r WHERE (rn // 20) * 20 < m - 40
+      UNION ALL SELECT r.*, CAST(rn // 20 - 1 AS INTEGER) AS fold, 'valid' AS role FROM r
+      WHERE rn >= 20 AND (rn // 20 - 1) * 20 < m - 40)
+SELECT fold, role, count(*) AS n, round(avg(c), 4) AS mean_c, round(avg(target), 4) AS mean_target,
+       round(covar_pop(c, target), 3) AS covariance, round(var_pop(target), 3) AS variance FROM f GROUP BY fold, role""")
+def fold_sums(spark, sf_dir):
+    """The sums that all linear trials of a search are solved from, for every fold and role: rows, means and
+    centred products (here of the close and the label)."""
+    df = L.hold_out(_silver(spark, sf_dir)).filter("NOT held")
+    rows = rolling_folds(df, FOLD).select("fold", "role", F.array(F.col("c").cast("double"), F.col("target").cast("double")).alias("x"))
+    p = S.fold_sums(rows, 64)
+    # partial sums of a fold: added up by the definition (rows, means, centred products)
+    n = F.sum("n")
+    mean = [F.sum(F.col("n") * F.col("mean")[k]) / n for k in (0, 1)]
+    product = lambda i, j: (F.sum(F.col("products")[2 * i + j] + F.col("n") * F.col("mean")[i] * F.col("mean")[j]) / n
+                            - mean[i] * mean[j])
+    return p.groupBy("fold", "role").agg(
+        n.alias("n"), F.round(mean[0], 4).alias("mean_c"), F.round(mean[1], 4).alias("mean_target"),
+        F.round(product(0, 1), 3).alias("covariance"), F.round(product(1, 1), 3).alias("variance"))
