@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -13,7 +14,7 @@ SF001 = "/root/testdata/sf0.01"
 def spark():
     from tickforge.session import get_session
     s = get_session("local[*]", app="tickforge-tests", shuffle_partitions=8,
-                    extra={"spark.driver.memory": "4g"})
+                    extra={"spark.driver.memory": "4g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tests-")})
     s.sparkContext.setLogLevel("ERROR")
     yield s
 
