@@ -77,7 +77,7 @@ def pieces(texts: list) -> Iterator[tuple[np.ndarray, np.ndarray, list[int]]]:
     batch, size, at = [], 0, []
     for k, t in enumerate(texts):
         s = stream(t)
-        if batch and size + len(s) > PIECE:
+        if batch and (size + len(s) > PIECE or len(batch) > 0xFFFF):
             yield _piece(batch, at)
             batch, size, at = [], 0, []
         if len(s) > PIECE:
@@ -98,6 +98,23 @@ def _piece(batch: list[bytes], at: list[int]):
     return pair_keys(np.frombuffer(b"\n" + b"".join(batch), np.uint8), 1), starts, at
 
 
+def close(keys: np.ndarray) -> np.ndarray:
+    """Pair keys without their unused byte (48 bits), in the same order."""
+    return keys >> _U(16) << _U(8) | keys & _U(255)
+
+
+def text_sums(keys: np.ndarray, starts: np.ndarray, table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Sum of the values of each text's pairs.  ``table``: closed keys in order.  The pairs are sorted together with
+    their text's number, so each distinct pair is looked up once, and in order."""
+    sizes = np.diff(np.append(starts, len(keys)))
+    s = np.sort(close(keys) << _U(16) | np.repeat(np.arange(len(sizes), dtype=_U), sizes))
+    k = s >> _U(16)
+    first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+    v = values[np.searchsorted(table, k[first])]
+    v = np.repeat(v, np.diff(np.append(first, len(k))))
+    return np.bincount((s & _U(0xFFFF)).astype(np.int64), weights=v, minlength=len(sizes))
+
+
 def _sum_by(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and their summed counts."""
     if not len(keys):
@@ -433,8 +450,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
             look[k] = keys[o], v[o]
         total, size, n, n_known, plain = np.zeros((5, len(texts)))
         keys, v = look[PAIRS]
+        keys = close(keys)
         for k, starts, at in pieces(texts):
-            np.add.at(total, at, np.add.reduceat(v[np.searchsorted(keys, k)], starts))
+            np.add.at(total, at, text_sums(k, starts, keys, v))
             np.add.at(size, at, np.diff(np.append(starts, len(k))))
         keys, v = look[WORDS]
         end = np.log10((ends + 0.1) / per_known)
