@@ -19,15 +19,18 @@ Passages (``repeated_passages``, the query) do not depend on where sentences end
 
 Spans that follow each other with the same place of the kept text are one row; rows of a text do not overlap.
 Runs of words are named by the smallest hash of their inner runs of a third of the words.  Neighbours mostly share
-their name and are one row, a stretch.  Equal runs have equal names, so only names that occur again matter.  If all
+their name and are one entry, a stretch.  Equal runs have equal names, so only names that occur again matter.  If all
 stretches of a name are equal, they are settled whole; if they differ, every run in them is settled by itself.
 
-Scale: the units are written once, as narrow rows.  Digests that occur very often are named by a frequent-items
-sketch, settled with map-side combining and at most ``HEAVY`` rows broadcast; all others are shuffled once
+Scale of passages: whole texts are shuffled once, into chunks of about ``CHUNK_BYTES`` by hash of id and text.  A chunk asks,
+with packed arrays dealt by hash, which of its distinct names (of stretches and short units) occur again in the table, and
+whether their stretches differ; a bucket of names gets each name once from a chunk, so no name is hot in it.  Only
+entries whose name occurs again become rows.  Digests that occur very often are named by a frequent-items
+sketch, settled with map-side combining and broadcast (few by that; counted, or an error); all others are shuffled once
 and settled by a window, whose groups are small by that.
 
-Null and empty texts have no units.  Null ids rank last, by their texts' hash.  Repeated rows are
-copies: the occurrences of the first one stay.  Empty tables give no rows.
+Ids may have any type that can be ordered.  Null and empty texts have no units.  Null ids rank last, by their texts' hash.
+Repeated rows are copies: the occurrences of the first one stay (they share a chunk).  Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -53,10 +56,13 @@ UNITS = {
     "line": re.compile(r"[^\n]+"),
     "paragraph": re.compile(r"(?:[^\n]|\n(?![^\S\n]*\n))+"),
 }
-LAST = (1 << 63) - 1
-#: Kinds of rows: short units, runs of words, stretches of runs with one name, and those that may repeat in themselves.
-SENTENCE, LINE, PARAGRAPH, RUN, STRETCH, TWICE = range(6)
-_STOPS = np.array([ord(c) for c in ".!?。！？"], np.uint32)
+#: Kinds of rows: short units, runs of words, and texts.
+SENTENCE, LINE, PARAGRAPH, RUN, TEXT = range(5)
+CHUNK_BYTES, BUCKET_BYTES = 16 << 20, 32 << 20
+#: What is known of a name: it occurs again, and its stretches differ or may repeat in themselves.
+AGAIN, MIXED = 1, 2
+_STOP = np.zeros(1 << 16, bool)
+_STOP[[ord(c) for c in ".!?。！？"]] = True
 _SPACE = np.array([chr(c).isspace() for c in range(1 << 16)])
 _CHAR = np.random.default_rng(20240229).integers(1, 1 << 63, 1 << 16, dtype=np.uint64)
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)           # odd, so they have inverses modulo 2**64
@@ -104,7 +110,8 @@ def _unit_rows(docs: DataFrame, unit: str, min_words: int) -> DataFrame:
                  pa.array(d[:, 0]), pa.array(d[:, 1])],
                 names=["id", "rid", "start", "end", "word", "words", "d1", "d2"])
 
-    return docs.mapInArrow(run, "id long, rid long, start int, end int, word int, words int, d1 long, d2 long")
+    kind = docs.schema["id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"id {kind}, rid long, start int, end int, word int, words int, d1 long, d2 long")
 
 
 def _later(rows: DataFrame, rank: Column) -> DataFrame:
@@ -112,8 +119,9 @@ def _later(rows: DataFrame, rank: Column) -> DataFrame:
     named = (rows.agg(F.expr(f"approx_top_k(d1, {HEAVY}, {COUNTERS})").alias("t"))
              .select(F.explode("t").alias("t")).select(F.col("t.item").alias("d1")))
     frequent = rows.join(F.broadcast(named), "d1", "left_semi")
-    first = (frequent.groupBy("d1", "d2").agg(F.min(rank).alias("best"), F.count(F.lit(1)).alias("group_size"))
-             .limit(4 * HEAVY))       # digests that share their first half with a named one: a few at most
+    first = written(frequent.groupBy("d1", "d2").agg(F.min(rank).alias("best"), F.count(F.lit(1)).alias("group_size")), "first")
+    if (n := first.count()) > 4 * HEAVY:       # digests that share their first half with a named one: a few at most
+        raise ValueError(f"{n} frequent digests share {HEAVY} first halves; too many to broadcast")
     settled = (frequent.join(F.broadcast(first), ["d1", "d2"]))
     others = rows.join(F.broadcast(named), "d1", "left_anti")
     w = Window.partitionBy("d1", "d2")
@@ -127,11 +135,11 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per unit to be removed: (id, start, end, n_words, run_words, keep_id, keep_start, group_size,
     row_hash); row_hash tells rows with the same id apart.  ``min_run`` 0 removes every repeated unit."""
     rid = F.xxhash64(F.coalesce(col(text_col), F.lit("")))
-    rows = written(_unit_rows(docs.select(col(id_col).cast("long").alias("id"), rid.alias("rid"),
+    rows = written(_unit_rows(docs.select(col(id_col).alias("id"), rid.alias("rid"),
                                           col(text_col).alias("text")), unit, min_words), "units")
     rows = rows.withColumn("ord", F.monotonically_increasing_id())
-    rank = F.struct(F.coalesce("id", F.lit(LAST)).alias("i"), F.col("id").isNull().alias("n"), F.col("rid").alias("r"),
-                    F.col("start").alias("start"), F.col("ord").alias("ord"), F.col("id").alias("id"))
+    rank = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("id"), F.col("rid").alias("r"),
+                    F.col("start").alias("start"), F.col("ord").alias("ord"))
     again = (_later(rows, rank).filter(F.col("best.ord") != F.col("ord"))
              .withColumn("after", F.col("word") + F.col("words")))
     # runs of repeated units that follow each other in a text, at most a short unit apart
@@ -161,7 +169,7 @@ class Words:
                 _POWERS.append(np.multiply.accumulate(p))
         far = codes > 0xFFFF
         some = bool(far.any())
-        near = np.where(far, 0, codes) if some else codes
+        self.near = near = np.where(far, 0, codes) if some else codes
         self.inside = ~_SPACE[near] | far
         x = _CHAR[near]
         if some:
@@ -193,8 +201,7 @@ class Words:
         """(kind, starts, ends, first words, words, d1, d2) of sentences, lines and paragraphs of at least ``least``
         and fewer than ``below`` words."""
         line = self.codes == 10
-        stop = np.isin(self.codes, _STOPS)
-        cut = stop | line
+        cut = _STOP[self.near] | line
         heads = np.flatnonzero(~cut & np.concatenate(([True], cut[:-1])))      # of sentences
         breaks = np.flatnonzero(line)
         tails = np.append(heads[1:], len(line))
@@ -253,71 +260,147 @@ def stretches(h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return least[first], first, many, (many > wide) | (again[first + many + wide - 1] > again[first])
 
 
-_ROW = "kind int, doc long, start int, end int, word int, words int, d1 long, d2 long"
-
-
-def _batch(doc: pa.Array, found: list) -> pa.RecordBatch:
-    """Rows of ``_ROW`` from arrays (place in ``doc``, kind, start, ..., d2)."""
-    n = [len(f[2]) for f in found]
-    part = lambda k, t: pa.array(np.concatenate(
-        [np.broadcast_to(np.asarray(f[k]), c).astype(t, copy=False) for f, c in zip(found, n)] or [np.empty(0, t)]))
-    return pa.RecordBatch.from_arrays([part(1, np.int32), doc.take(part(0, np.int64)), *[part(k, np.int32) for k in range(2, 6)],
-                                       *[part(k, np.int64) for k in (6, 7)]], names=[x.split()[0] for x in _ROW.split(", ")])
-
-
-def _piece_rows(base: DataFrame, min_words: int, n: int) -> DataFrame:
-    """Short units, and the stretches of runs of n words (d1: name, d2: hash of all its words)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = []
-            for i, t in enumerate(b.column(1).to_pylist()):
-                x = Words(t)
-                found += [(i, *u) for u in x.short_units(min_words, n)]
-                name, first, many, twice = stretches(x.h, n)
-                if len(name):
-                    after = first + many + n - 1
-                    found.append((i, np.where(twice, TWICE, STRETCH), x.starts[first], x.ends[after - 1], first, after - first,
-                                  name.view(np.int64), x.digests(x.h, first, after)[0]))
-            yield _batch(b.column(0), found)
-
-    return base.select("doc", "text").mapInArrow(run, _ROW)
-
-
-def _run_rows(base: DataFrame, found: DataFrame, n: int) -> DataFrame:
-    """Every run of n words in the stretches ``found`` (doc, word, words)."""
-    wanted = found.groupBy("doc").agg(F.collect_list("word").alias("word"), F.collect_list("words").alias("words"))   # a text's own
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for i, (t, first, words) in enumerate(zip(*[b.column(k).to_pylist() for k in (1, 2, 3)])):
-                x, many = Words(t), np.array(words, np.int64) - (n - 1)
-                w = np.repeat(np.array(first, np.int64) - (np.cumsum(many) - many), many) + np.arange(many.sum())
-                out.append((i, RUN, x.starts[w], x.ends[w + n - 1], w, n, *x.digests(x.h, w, w + n)))
-            yield _batch(b.column(0), out)
-
-    return base.join(wanted, "doc").select("doc", "text", "word", "words").mapInArrow(run, _ROW)
+class Entries:
+    """What of a text may occur again: stretches of runs of n words, then short units; each has a name."""
+
+    def __init__(self, text: str, least: int, n: int):
+        self.x, self.n = Words(text), n
+        self.stretch, self.first, self.many, self.twice = stretches(self.x.h, n)
+        self.short = list(self.x.short_units(least, n))
+        self.names = np.concatenate([self.stretch, *(u[5].view(np.uint64) for u in self.short)])
+
+    def whole(self, of) -> np.ndarray:
+        """Digest of all the words of stretches."""
+        a = self.first[of]
+        return self.x.digests(self.x.h, a, a + self.many[of] + self.n - 1)[0]
+
+    def digests(self) -> np.ndarray:
+        """32 bits that tell the stretches (or units) of one name apart."""
+        return np.concatenate([self.whole(slice(None)), *(u[6] for u in self.short)]).view(np.uint64).astype(np.uint32)
+
+    def known(self) -> np.ndarray:
+        """``MIXED`` for a stretch that may repeat in itself."""
+        return np.concatenate([self.twice * MIXED, np.zeros(len(self.names) - len(self.twice), int)]).astype(np.uint8)
+
+    def rows(self, known: np.ndarray) -> Iterator[tuple]:
+        """(kind, start, end, word, words, d1, d2), arrays, of what occurs again."""
+        x, n, m = self.x, self.n, len(self.stretch)
+        s = known[:m]
+        of = np.flatnonzero(s == AGAIN)
+        if len(of):
+            a, b = self.first[of], self.first[of] + self.many[of] + n - 1
+            yield RUN, x.starts[a], x.ends[b - 1], a, b - a, self.stretch[of].view(np.int64), self.whole(of)
+        of = np.flatnonzero(s & MIXED)
+        if len(of):
+            many = self.many[of]
+            w = np.repeat(self.first[of] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            yield RUN, x.starts[w], x.ends[w + n - 1], w, np.full(len(w), n), *x.digests(x.h, w, w + n)
+        for u in self.short:
+            of, m = np.flatnonzero(known[m:m + len(u[1])]), m + len(u[1])
+            if len(of):
+                yield u[0], *(v[of] for v in u[1:])
+
+
+def _known(names: np.ndarray, digests: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct names in order, a digest of each, and what is known of them together."""
+    o = np.argsort(names, kind="stable")
+    names, digests, known = names[o], digests[o], known[o]
+    at = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1]))) if len(names) else np.empty(0, np.int64)
+    if not len(at):
+        return names, digests, known
+    size = np.diff(np.append(at, len(names)))
+    apart_ = np.minimum.reduceat(digests, at) != np.maximum.reduceat(digests, at)
+    return names[at], digests[at], np.bitwise_or.reduceat(known, at) | (size > 1) * np.uint8(AGAIN) | apart_ * np.uint8(MIXED)
+
+
+_ROW = "kind int, doc long, start int, end int, word int, words int, d1 long, d2 long, rid long, id "
+_KINDS = (pa.int32(), pa.int64(), *[pa.int32()] * 4, *[pa.int64()] * 3)
+
+
+def _recurring(docs: DataFrame, id_col: str, text_col: str, min_words: int, n: int) -> DataFrame:
+    """Rows of ``_ROW``: entries whose name occurs again (doc: number of a row of ``docs``), and a ``TEXT`` row for each
+    text that has some."""
+    src = docs.select(col(id_col).alias("id"), F.xxhash64(col(text_col)).alias("rid"), col(text_col).alias("text")).filter("text <> ''")
+    size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    chunks, buckets = max(4, size // CHUNK_BYTES), max(8, size // BUCKET_BYTES)
+    texts = src.withColumn("chunk", F.pmod(F.xxhash64("id", "rid"), F.lit(chunks)).cast("int"))
+    id_type = docs.schema[id_col].dataType.simpleString()
+
+    def ask(t: pa.Table) -> pa.Table:
+        chunk, parts = t.column("chunk")[0].as_py(), []
+        for text in t.column("text"):
+            e = Entries(text.as_py(), min_words, n)
+            parts.append((e.names, e.digests(), e.known()))
+        names, digests, known = _known(*(np.concatenate(c) for c in zip(*parts)))
+        bucket = mix(names) % np.uint64(buckets)
+        o = np.argsort(bucket, kind="stable")
+        names, digests, known, bucket = names[o], digests[o], known[o], bucket[o].astype(np.int64)
+        at = np.flatnonzero(np.diff(bucket, prepend=-1))
+        spans = list(zip(at, [*at[1:], len(bucket)]))
+        return pa.table([pa.array([chunk] * len(spans), pa.int32()), pa.array(bucket[at], pa.int32()),
+                         *[pa.array([v[i:j].tobytes() for i, j in spans], pa.binary()) for v in (names, digests, known)]],
+                        names=["chunk", "bucket", "names", "digests", "known"])
+
+    def answer(t: pa.Table) -> pa.Table:
+        arrays = [[np.frombuffer(b, k) for b in t.column(c).to_pylist()]
+                  for c, k in (("names", "<u8"), ("digests", "<u4"), ("known", "u1"))]
+        names, _, known = _known(*map(np.concatenate, arrays))
+        names, known = names[known > 0], known[known > 0]
+        out = []
+        for chunk, own in zip(t.column("chunk").to_pylist(), arrays[0]):
+            at = np.searchsorted(names, own)
+            hit = np.flatnonzero(np.append(names, np.uint64(0))[at] == own) if len(names) else []
+            if len(hit):
+                out.append((chunk, own[hit].tobytes(), known[at[hit]].tobytes()))
+        return pa.table([pa.array([r[i] for r in out], k) for i, k in enumerate((pa.int32(), pa.binary(), pa.binary()))],
+                        names=["chunk", "names", "known"])
+
+    id_arrow = pa.schema([f for f in _arrow_schema(src.select("id"))])
+
+    def found(t: pa.Table, r: pa.Table) -> pa.Table:
+        names, known = (np.frombuffer(b"".join(r.column(c).to_pylist()), k) for c, k in (("names", "<u8"), ("known", "u1")))
+        o = np.argsort(names)
+        names, known = np.append(names[o], np.uint64(0)), np.append(known[o], np.uint8(0))
+        rows, who = [], []
+        if len(names) > 1 and t.num_rows:
+            first = t.column("chunk")[0].as_py() << 32
+            rids = t.column("rid").to_numpy()
+            for k, text in enumerate(t.column("text")):
+                e = Entries(text.as_py(), min_words, n)
+                at = np.searchsorted(names[:-1], e.names)
+                own = np.where(names[at] == e.names, known[at], np.uint8(0))
+                if own.any():
+                    one = np.zeros(1, np.int64)
+                    for kind, *v in [(TEXT, *[one] * 6), *e.rows(own)]:
+                        m = len(v[0])
+                        rows.append((np.full(m, kind), np.full(m, first + k), *v, np.full(m, rids[k])))
+                        who.append(np.full(m, k))
+        cols = [np.concatenate(c) for c in zip(*rows)] if rows else [np.empty(0, np.int64)] * 9
+        ids = t.column("id").combine_chunks().take(pa.array(np.concatenate(who) if who else np.empty(0, np.int64)))
+        return pa.table([*(pa.array(c, k) for c, k in zip((c.astype(k.to_pandas_dtype()) for c, k in zip(cols, _KINDS)), _KINDS)),
+                         ids.cast(id_arrow.field(0).type)], names=[x.split()[0] for x in _ROW.split(", ")])
+
+    asked = texts.groupBy("chunk").applyInArrow(ask, "chunk int, bucket int, names binary, digests binary, known binary")
+    answers = asked.groupBy("bucket").applyInArrow(answer, "chunk int, names binary, known binary")
+    return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(found, _ROW + id_type)
+
+
+def _arrow_schema(df: DataFrame) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+    return to_arrow_schema(df.schema)
 
 
 def _passages(docs: DataFrame, id_col: str, text_col: str, min_words: int, min_run: int) -> tuple[DataFrame, DataFrame]:
-    """(texts with their numbers ``doc``, which rise with id and text hash; spans to be removed)."""
+    """(texts that have something that occurs again: doc, id, rid; spans to be removed)."""
     n = max(2, min_run)
-    texts = docs.select(col(id_col).cast("long").alias("id"), F.xxhash64(col(text_col)).alias("rid"),
-                        col(text_col).alias("text")).filter("text <> ''")
-    base = written(texts.orderBy(F.coalesce("id", F.lit(LAST)), F.col("id").isNull(), "rid")
-                   .withColumn("doc", F.monotonically_increasing_id()), "texts")
-    pieces = written(_piece_rows(base, min_words, n), "pieces")
-    named = pieces.filter(F.col("kind") >= STRETCH)
-    often = (named.groupBy("d1").agg(F.count(F.lit(1)).alias("c"), F.min("d2").alias("lo"), F.max("d2").alias("hi"),
-                                     F.max("kind").alias("k")).filter((F.col("c") > 1) | (F.col("k") == TWICE))
-             .select("d1", ((F.col("lo") != F.col("hi")) | (F.col("k") == TWICE)).alias("mixed")))
-    found = written(named.join(often, "d1"), "stretches")
-    runs = written(_run_rows(base, found.filter("mixed"), n), "runs")
-    rows = (pieces.filter(F.col("kind") < RUN).unionByName(runs)
-            .unionByName(found.filter("NOT mixed").withColumn("kind", F.lit(RUN)).select(*pieces.columns)))
-    again = (_later(rows, F.struct("doc", "start", "word"))
+    rows = written(_recurring(docs, id_col, text_col, min_words, n), "recurring")
+    base = rows.filter(F.col("kind") == TEXT).select("doc", "id", "rid")
+    rank = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("id"), F.col("rid").alias("rid"), F.col("doc").alias("doc"),
+                    F.col("start").alias("start"), F.col("word").alias("word"))
+    again = (_later(rows.filter(F.col("kind") != TEXT), rank)
              .filter((F.col("best.doc") != F.col("doc")) | (F.col("best.start") != F.col("start")))
-             .select("kind", "doc", "start", "end", "word", (F.col("word") + F.col("words")).alias("after"), "best", "group_size"))
+             .select("kind", "doc", "id", "rid", "start", "end", "word", (F.col("word") + F.col("words")).alias("after"),
+                     F.struct("best.doc", "best.start", "best.word", "best.id").alias("best"), "group_size"))
     again = written(again, "again")
 
     # runs that follow each other here and in the kept text are one span
@@ -327,7 +410,7 @@ def _passages(docs: DataFrame, id_col: str, text_col: str, min_words: int, min_r
         ((F.col("word") > F.lag("after").over(text)) | (F.col("best.doc") != F.lag("best.doc").over(text))
          | (off != F.lag(off).over(text))).cast("int"), F.lit(1))).over(text))
     joined = step.groupBy("doc", "run").agg(
-        F.first("kind").alias("kind"), F.min("start").alias("start"), F.max("end").alias("end"), F.min("word").alias("word"),
+        F.first("kind").alias("kind"), F.first("id").alias("id"), F.first("rid").alias("rid"), F.min("start").alias("start"), F.max("end").alias("end"), F.min("word").alias("word"),
         F.max("after").alias("after"), F.min_by("best", "word").alias("best"), F.max("group_size").alias("group_size"))
     spans = joined.drop("run").unionByName(again.filter(F.col("kind") < RUN))
     # short sentences go in runs only
@@ -345,9 +428,7 @@ def _passages(docs: DataFrame, id_col: str, text_col: str, min_words: int, min_r
     follows = F.coalesce((F.col("word") > F.lag("after").over(w)).cast("int"), F.lit(1))
     spans = (spans.withColumn("island", F.sum(follows).over(w))
              .withColumn("run_words", F.sum("n_words").over(Window.partitionBy("doc", "island")).cast("int")))
-    ids = base.select("doc", "id", "rid")
-    kept = base.select(F.col("doc").alias("keep_doc"), F.col("id").alias("keep_id"))
-    return base, spans.join(ids, "doc").join(kept, F.col("best.doc") == F.col("keep_doc"))
+    return base, spans.withColumn("keep_id", F.col("best.id"))
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
@@ -370,7 +451,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         copies = base.select("doc", F.row_number().over(Window.partitionBy("id", "rid").orderBy("doc")).alias("copy"))
         found = found.join(copies, "doc").select(F.col("id").alias(k1), F.col("rid").alias(k2), F.col("copy").alias(k3), "start", "end")
         left = left.withColumn(n, F.row_number().over(
-            Window.partitionBy(col(id_col).cast("long"), col(h)).orderBy(row_hash(docs))))
+            Window.partitionBy(col(id_col), col(h)).orderBy(row_hash(docs))))
     else:
         found = repeated_units(docs, id_col, text_col, unit, min_words, min_run).select(
             col(id_col).alias(k1), F.col("row_hash").alias(k2), F.lit(1).alias(k3), "start", "end")
@@ -389,7 +470,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             return "".join([*out, t[at:]])
         return pd.Series([one(t, s) for t, s in zip(text, where)], dtype=object)
 
-    joined = left.join(cut, left[id_col].cast("long").eqNullSafe(cut[k1]) & (left[h] == cut[k2]) & (left[n] == cut[k3]), "left")
+    joined = left.join(cut, left[id_col].eqNullSafe(cut[k1]) & (left[h] == cut[k2]) & (left[n] == cut[k3]), "left")
     return joined.select(*[(without(col(c), col(spans)).alias(c) if c == text_col else col(c)) for c in docs.columns])
 
 
