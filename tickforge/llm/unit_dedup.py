@@ -114,20 +114,22 @@ def _unit_rows(docs: DataFrame, unit: str, min_words: int) -> DataFrame:
     return docs.mapInArrow(run, f"id {kind}, rid long, start int, end int, word int, words int, d1 long, d2 long")
 
 
-def _later(rows: DataFrame, rank: Column) -> DataFrame:
-    """The rows whose digest occurs again, with ``best`` (the least ``rank`` of the digest) and ``group_size``."""
+def _later(rows: DataFrame, rank: list[Column], inside: list[str]) -> DataFrame:
+    """The rows whose digest occurs again, with ``best`` (the least ``rank`` of the digest) and ``group_size``.  The columns
+    ``inside`` the rank move as its fields only; they come back as columns."""
+    rows = rows.withColumn("own", F.struct(*rank)).drop(*inside)
     named = (rows.agg(F.expr(f"approx_top_k(d1, {HEAVY}, {COUNTERS})").alias("t"))
              .select(F.explode("t").alias("t")).select(F.col("t.item").alias("d1")))
     frequent = rows.join(F.broadcast(named), "d1", "left_semi")
-    first = written(frequent.groupBy("d1", "d2").agg(F.min(rank).alias("best"), F.count(F.lit(1)).alias("group_size")), "first")
+    first = written(frequent.groupBy("d1", "d2").agg(F.min("own").alias("best"), F.count(F.lit(1)).alias("group_size")), "first")
     if (n := first.count()) > 4 * HEAVY:       # digests that share their first half with a named one: a few at most
         raise ValueError(f"{n} frequent digests share {HEAVY} first halves; too many to broadcast")
     settled = (frequent.join(F.broadcast(first), ["d1", "d2"]))
     others = rows.join(F.broadcast(named), "d1", "left_anti")
     w = Window.partitionBy("d1", "d2")
     windowed = (others.withColumn("group_size", F.count(F.lit(1)).over(w)).filter("group_size > 1")
-                .withColumn("best", F.first(rank).over(w.orderBy(rank))))
-    return settled.unionByName(windowed.select(settled.columns))
+                .withColumn("best", F.first("own").over(w.orderBy("own"))))
+    return settled.unionByName(windowed.select(settled.columns)).select("*", *[F.col(f"own.{c}").alias(c) for c in inside])
 
 
 def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "sentence",
@@ -138,9 +140,8 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = written(_unit_rows(docs.select(col(id_col).alias("id"), rid.alias("rid"),
                                           col(text_col).alias("text")), unit, min_words), "units")
     rows = rows.withColumn("ord", F.monotonically_increasing_id())
-    rank = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("id"), F.col("rid").alias("r"),
-                    F.col("start").alias("start"), F.col("ord").alias("ord"))
-    again = (_later(rows, rank).filter(F.col("best.ord") != F.col("ord"))
+    rank = [F.col("id").isNull().alias("n"), F.col("id"), F.col("rid"), F.col("start"), F.col("ord")]
+    again = (_later(rows, rank, ["id", "rid", "start", "ord"]).filter(F.col("best.ord") != F.col("ord"))
              .withColumn("after", F.col("word") + F.col("words")))
     # runs of repeated units that follow each other in a text, at most a short unit apart
     text = Window.partitionBy("id", "rid").orderBy("word", "ord")
@@ -395,24 +396,24 @@ def _passages(docs: DataFrame, id_col: str, text_col: str, min_words: int, min_r
     n = max(2, min_run)
     rows = written(_recurring(docs, id_col, text_col, min_words, n), "recurring")
     base = rows.filter(F.col("kind") == TEXT).select("doc", "id", "rid")
-    rank = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("id"), F.col("rid").alias("rid"), F.col("doc").alias("doc"),
-                    F.col("start").alias("start"), F.col("word").alias("word"))
-    again = (_later(rows.filter(F.col("kind") != TEXT), rank)
+    rank = [F.col("id").isNull().alias("n"), *map(F.col, ("id", "rid", "doc", "start", "word"))]
+    again = (_later(rows.filter(F.col("kind") != TEXT), rank, ["id", "rid", "doc", "start", "word"])
              .filter((F.col("best.doc") != F.col("doc")) | (F.col("best.start") != F.col("start")))
              .select("kind", "doc", "id", "rid", "start", "end", "word", (F.col("word") + F.col("words")).alias("after"),
                      F.struct("best.doc", "best.start", "best.word", "best.id").alias("best"), "group_size"))
-    again = written(again, "again")
 
-    # runs that follow each other here and in the kept text are one span
-    text = Window.partitionBy("doc").orderBy("word", "start")
+    # runs that follow each other here and in the kept text are one span; a short unit is a span of its own
+    again = again.withColumn("short", F.col("kind") != RUN)
+    text = Window.partitionBy("doc").orderBy("short", "word", "start", "kind")
     off = F.col("best.word") - F.col("word")
-    step = again.filter(F.col("kind") == RUN).withColumn("run", F.sum(F.coalesce(
-        ((F.col("word") > F.lag("after").over(text)) | (F.col("best.doc") != F.lag("best.doc").over(text))
-         | (off != F.lag(off).over(text))).cast("int"), F.lit(1))).over(text))
-    joined = step.groupBy("doc", "run").agg(
-        F.first("kind").alias("kind"), F.first("id").alias("id"), F.first("rid").alias("rid"), F.min("start").alias("start"), F.max("end").alias("end"), F.min("word").alias("word"),
-        F.max("after").alias("after"), F.min_by("best", "word").alias("best"), F.max("group_size").alias("group_size"))
-    spans = joined.drop("run").unionByName(again.filter(F.col("kind") < RUN))
+    step = again.withColumn("run", F.sum(F.coalesce(
+        (F.col("short") | (F.col("word") > F.lag("after").over(text)) | (F.col("best.doc") != F.lag("best.doc").over(text))
+         | (off != F.lag(off).over(text))).cast("int"), F.lit(1))).over(text.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = step.groupBy("doc", "run").agg(
+        F.first("kind").alias("kind"), F.first("id").alias("id"), F.first("rid").alias("rid"), F.min("start").alias("start"),
+        F.max("end").alias("end"), F.min("word").alias("word"), F.max("after").alias("after"), F.min_by("best", "word").alias("best"),
+        F.max("group_size").alias("group_size")).drop("run")
+    text = Window.partitionBy("doc").orderBy("word", "start")
     # short sentences go in runs only
     behind = F.max("after").over(text.rowsBetween(Window.unboundedPreceding, -1))
     spans = spans.withColumn("run", F.sum(F.coalesce((F.col("word") - behind > min_words).cast("int"), F.lit(1))).over(text))
