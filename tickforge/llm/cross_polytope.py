@@ -6,11 +6,11 @@
 2. Largest inner products become nearest directions by one more coordinate: sqrt(R^2 - |x|^2) for a row, R the largest norm,
    and 0 for a query.  Vectors are filled up with zeros to a power of two.
 3. A hash function rotates by three rounds of random signs and a fast Hadamard transform and names the nearest signed axis.  A
-   table concatenates K of them; K is the least for which a bucket holds ``FILL`` classes on average, so buckets do not grow
-   with the table.
+   table concatenates K of them, at most as many as leave ``FILL`` classes in a bucket on average (and three).
 4. Multiprobe: a query visits the ``probes`` buckets of each table with the least summed loss (best minus own projection,
    squared).  ``probes`` is measured, not guessed: the exact neighbours of at most ``SAMPLE`` queries (smallest hashes) are
-   found by one pass over all classes, and ``probes`` is the least number that finds a share ``recall`` of them.
+   found by one pass over all classes, and ``probes`` is the least number that finds a share ``recall`` of them.  K is the one
+   for which blocks visited and classes compared cost least: clustered vectors take more hashes, random ones fewer.
 5. First each query meets its own bucket of each table; the score of the last of its best ``k + 1`` there is a floor: what is
    below it cannot rank, so the probes after it pass on few rows, however many groups they visit.
 6. Buckets are dealt into groups of about ``GROUP`` classes by hash.  A group that is larger (a hot bucket) is cut into blocks of
@@ -41,6 +41,8 @@ K, TABLES, RECALL, SAMPLE = 20, 8, 0.97, 128
 #: Classes of a bucket on average (at most), of a group, and of a block; queries of a block; cells of a product at a time.
 FILL, GROUP, BLOCK, CELLS = 4096, 8192, 16384, 1 << 22
 ROUNDS, SEED = 3, 20240611
+#: Hashes of a table at most; classes compared in the time that one more row to a block takes.
+DEEPEST, PER_ROW = 3, 4096
 
 
 def matrix(packed: list[bytes], dim: int, kind: str) -> np.ndarray:
@@ -294,15 +296,21 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec
                               F.coalesce("asked", F.lit(False)).alias("asked")), "classes")
     n = classes.count()
     width = 1 << int(total.dim).bit_length()
-    depth = 1
-    while n > FILL * (2 * width) ** depth:
-        depth += 1
-    h = Hashing(int(total.dim), float(np.sqrt(total.norm2)), tables, depth, kind)
     sample = [bytes(r.vec) for r in classes.filter("asked").select("vec", F.xxhash64("vec").alias("x"))
               .orderBy("x", "vec").limit(SAMPLE).collect()]
     if not sample:
         return rows.sparkSession.createDataFrame([], result)
-    probes = measured_probes(h, sample, _exact_sample(classes, sample, h.dim, kind, k), recall)
+    near = _exact_sample(classes, sample, int(total.dim), kind, k)
+    h, probes, least = None, 0, np.inf
+    for depth in range(1, DEEPEST + 1):
+        if depth > 1 and n <= FILL * (2 * width) ** (depth - 1):
+            break
+        one = Hashing(int(total.dim), float(np.sqrt(total.norm2)), tables, depth, kind)
+        asked_for = measured_probes(one, sample, near, recall)
+        held_each = n / one.buckets
+        cost = asked_for * (np.ceil(held_each / BLOCK) + held_each / PER_ROW)
+        if cost < least:
+            h, probes, least = one, asked_for, cost
     groups = -(-n // GROUP)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
