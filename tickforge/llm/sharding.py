@@ -9,13 +9,13 @@ neighbours and a group is cut only where a shard is full.
    quantiles are the splitters, and records larger than a sampling step are
    always drawn.
 3. Records are dealt into ranges by binary search.  Ranges that turn out to hold
-   more than ``overfull`` times their share are subdivided by a denser sample of
-   their own keys, until none is left (a key is unique, so this ends).
+   more than ``overfull`` times their share are subdivided by ever denser samples of
+   their own keys (four times as dense each time, eight times at most: 65,536 times as dense as the first).
 4. Running sizes inside each range plus the sum of the ranges before it give each
    record's exact place in the whole; its midpoint decides the shard.  Shards
    therefore differ by less than one record, whatever the sample was.
 
-Law ``bytes``.  Null text has size ``overhead``; empty tables give no rows; null
+Law ``bytes``.  Ids may have any type.  Null text has size ``overhead``; empty tables give no rows; null
 ids sort first; repeated rows are told apart by an ordinal.
 """
 
@@ -25,8 +25,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tickforge.llm.common import col, documents, written
+from tickforge.llm.common import col, documents, free_name, written
 
 SHARDS, OVERHEAD = 40, 16
 #: Ranges and mean number of sampled keys for each shard; share over which a range is subdivided.
@@ -58,6 +59,14 @@ def _ranged(rows: DataFrame, splitters: np.ndarray) -> DataFrame:
     return rows.withColumn("range", which("h", "i", "rid"))
 
 
+def _whole_number(docs: DataFrame, id_col: str):
+    """Ids as whole numbers: themselves, the hash of others, the least for null (they only break ties of the text hash)."""
+    kind = docs.schema[id_col].dataType
+    i = col(id_col).cast("long") if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) else F.when(
+        col(id_col).isNotNull(), F.xxhash64(col(id_col)))
+    return F.coalesce(i, F.lit(-(1 << 63)))
+
+
 def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text",
           overhead: int = OVERHEAD) -> DataFrame:
     """One row per row of ``docs``: (id, size, text_crc32, law, shard, slot, grown_shard)."""
@@ -67,7 +76,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_co
         (F.octet_length(text) + F.lit(overhead)).cast("long").alias("size"),
         F.crc32(text.cast("binary")).cast("long").alias("crc"),
         F.xxhash64(text).alias("h"),
-        F.coalesce(col(id_col).cast("long"), F.lit(-(1 << 63))).alias("i"),
+        _whole_number(docs, id_col).alias("i"),
         F.monotonically_increasing_id().alias("rid")))
     total = rows.agg(F.sum("size")).first()[0] or 0
     n_ranges = shards * RANGES_PER_SHARD
@@ -113,12 +122,15 @@ def spark_frame(spark: SparkSession, sums: pd.DataFrame) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", **options) -> None:
-    """Write ``docs`` as one Parquet folder for each shard (``shard=K``), rows in
-    slot order.  Rows are joined to their places by id, which must be unique."""
-    places = shard(docs, id_col=id_col, **options).select(col(id_col).alias("_id"), "shard", "slot")
-    out = docs.join(places, docs[id_col].eqNullSafe(places["_id"])).drop("_id")
-    (out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
-     .write.partitionBy("shard").parquet(path))
+    """Write ``docs`` as one Parquet folder for each shard (``shard=K``), rows in ``slot`` order; every row once, whatever its
+    id.  The rows get an ordinal in a table written first, and are joined to their places by it.  If ``docs`` has a
+    column ``shard`` or ``slot``, the new one gets underscores before its name."""
+    row, shard_col, slot = (free_name(docs, x) for x in ("row", "shard", "slot"))
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    places = shard(rows, id_col=row, **options).select(col(row).alias("_place_of"), F.col("shard").alias(shard_col), F.col("slot").alias(slot))
+    out = rows.join(places, rows[row] == places["_place_of"]).drop("_place_of", row)
+    (out.repartitionByRange(col(shard_col), col(slot)).sortWithinPartitions(col(shard_col), col(slot))
+     .write.partitionBy(shard_col).parquet(path))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
