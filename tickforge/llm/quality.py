@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickforge.llm import ftrl
-from tickforge.llm.common import col, documents, written
+from tickforge.llm.common import col, documents, free_name, written
 
 DIMS, STATS = 1 << 18, 64
 SAMPLE, HELD = 3000, 5            # one in HELD sampled rows is kept from the fit
@@ -177,13 +177,14 @@ def _strength(groups: DataFrame, n: str, s: str, center: Column, mean: float) ->
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             host: Column | None = None, path: Column | None = None) -> DataFrame:
-    """(id, quality, toxic, site_quality, keep) of every row; host and path default to ``source`` and ``lang``."""
+             host: Column | None = None, path: Column | None = None, with_hash: bool = False) -> DataFrame:
+    """(id, quality, toxic, site_quality, keep) of every row; host and path default to ``source`` and ``lang``.
+    ``with_hash`` adds ``row_hash``, which tells rows of one id (or null) with different texts, hosts or paths apart."""
     model = train(docs, labels, id_col, text_col)
     host = F.col("source") if host is None else host
     path = F.col("lang") if path is None else path
     rows = docs.select(col(id_col).alias("id"), host.cast("string").alias("host"), path.cast("string").alias("path"),
-                       col(text_col).alias("text"))
+                       col(text_col).alias("text"), _row_name(host, path, text_col).alias("row_hash"))
     rows = written(evidence(rows, model, "text").drop("text").withColumn("p", 1 / (1 + F.exp(-F.col("zq")))), "evidence")
 
     paths = written(rows.groupBy("host", "path").agg(F.count("p").alias("n"), F.coalesce(F.sum("p"), F.lit(0.0)).alias("s")),
@@ -208,14 +209,24 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
             .withColumn("quality", F.coalesce(1 / (1 + F.exp(-z)), F.lit(0.0)))
             .withColumn("toxic", F.coalesce(1 / (1 + F.exp(-F.col("zt"))), F.lit(0.0)))
             .select(F.col("id").alias(id_col), "quality", "toxic", "site_quality",
-                    ((F.col("quality") >= 0.5) & (F.col("toxic") < 0.5)).alias("keep")))
+                    ((F.col("quality") >= 0.5) & (F.col("toxic") < 0.5)).alias("keep"), *["row_hash"] * with_hash))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **sites) -> DataFrame:
-    """The rows of ``docs`` that are kept; rows are named by their id."""
-    from tickforge.llm.common import keep_decided
-    kept = classify(docs, labels, id_col, text_col, **sites).filter("keep").select(col(id_col).alias("id")).distinct()
-    return keep_decided(docs, kept, {"id": col(id_col)})
+def _row_name(host: Column, path: Column, text_col: str) -> Column:
+    return F.xxhash64(col(text_col), host.cast("string"), path.cast("string"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host: Column | None = None,
+              path: Column | None = None) -> DataFrame:
+    """The rows of ``docs`` that are kept, as often as they occur.  Rows are named by id, text, host and path, on which the
+    decision rests (the model adds a row's own evidence out of its site's), so null or repeated ids lose nothing."""
+    host = F.col("source") if host is None else host
+    path = F.col("lang") if path is None else path
+    kept = (classify(docs, labels, id_col, text_col, host, path, with_hash=True).filter("keep")
+            .select(col(id_col).alias("_k_id"), F.col("row_hash").alias("_k_row")).distinct())
+    name = free_name(docs, "_row_name")
+    left = docs.withColumn(name, _row_name(host, path, text_col))
+    return left.join(kept, left[id_col].eqNullSafe(kept["_k_id"]) & (left[name] == kept["_k_row"]), "left_semi").drop(name)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
