@@ -11,12 +11,12 @@ each alive from its own merge to the one that consumes it, so the result of all
 gadgets on an arc is known from two short spines.  Arcs (tokens squared) are
 therefore compiled when first used, and kept in a table.
 
-Encoding: text is split into words (byte-level pattern).  In a word, every prefix ends
-in one state, since the accepted sequence is unique; a table-driven walk over the byte
-trie of the vocabulary finds it from the states of the shorter prefixes, and the path
-back gives the tokens.  Words are memoised in two tables of at most ``CACHE`` entries
-per Python worker; when the newer is full it takes the place of the older (the results
-do not change).
+Encoding: text is split into words (byte-level pattern).  The accepted sequence of a word is
+unique.  A table-driven walk finds it: from a state it takes the longest token that the byte
+trie of the vocabulary finds in what is left; if the arc is gone, it tries the next shorter one, and if none is left
+it takes the last arc back and marks the place as dead, so no place is tried twice.
+Words, and the units between single spaces (where a word always begins), are memoised in tables of at most twice ``CACHE``
+entries per Python worker; when a newer table is full it takes the place of the older (the results do not change).
 Decoding emits the labels (bytes) of the arcs.
 
 Null text is the empty text: no tokens, empty decoded text.  Special tokens of the
@@ -29,8 +29,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -38,11 +39,17 @@ from pyspark.sql import functions as F
 
 from tickforge.llm.common import col, documents
 
-#: Entries of each of a worker's two word tables; its arc table has twice as many.
-CACHE = 300_000
+#: Entries of a worker's newer tables; the older ones have as many, its arc table has four times as many.
+CACHE = 150_000
+#: Longest key that is memoised.
+KEPT = 64
 #: Fixed value: the pattern that splits text into words in byte-level vocabularies.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 NEVER = 1 << 60
+#: White space beside a space: the words around it do not simply begin at spaces.
+_LOOSE = re.compile(r"\s | \s")
+#: Letters below are letters in every edition of Unicode that a tokenizer may know.
+_LATIN_END = "\u0250"
 
 
 def default_vocabulary() -> str:
@@ -58,6 +65,28 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+class _Memo(dict):
+    """Values of a function, the last ``CACHE`` to twice as many of them kept."""
+
+    def __init__(self, compute: Callable):
+        self.compute, self.older = compute, {}
+
+    def __missing__(self, key):
+        got = self.older.get(key)
+        if got is None:
+            got = self.compute(key)
+        if len(key) <= KEPT:
+            if len(self) >= CACHE:
+                self.older = dict(self)
+                self.clear()
+            self[key] = got
+        return got
+
+    def forget(self) -> None:
+        self.clear()
+        self.older = {}
+
+
 class Automaton:
     """States are tokens; ``arc(u, v)`` tells whether v may follow u."""
 
@@ -84,22 +113,25 @@ class Automaton:
                 born[z], halves[z] = r, (u, v)
         self.born, self.halves = born, halves
         self.left, self.right = {}, {}
-        # byte trie of the vocabulary: (node * 256 + byte) -> node, and the token at a node
-        self.step, self.token, n = {}, {}, 1
-        for i, label in self.labels.items():
-            if label.decode("utf-8", "replace") in special:
-                continue
-            node = 0
-            for b in label:
-                nxt = self.step.get(node << 8 | b)
-                if nxt is None:
-                    nxt = self.step[node << 8 | b] = n
-                    n += 1
-                node = nxt
-            self.token[node] = i
-        self.longest = max(map(len, self.labels.values()), default=1)
-        self.at = [self.token.get(k, -1) for k in range(n)]
-        self.arcs, self.known, self.older = {}, {}, {}
+        # byte trie of the vocabulary, byte -> (token that ends there or -1, next bytes), and each token's
+        # longest proper prefix that is a token
+        self.root: dict = {}
+        plain = {i: label for i, label in self.labels.items() if label.decode("utf-8", "replace") not in special}
+        for i, label in plain.items():
+            node = self.root
+            for b in label[:-1]:
+                node = node.setdefault(b, [-1, {}])[1]
+            node.setdefault(label[-1], [-1, {}])[0] = i
+        self.shorter, self.size = {}, {i: len(label) for i, label in plain.items()}
+        for i, label in plain.items():
+            node, last = self.root, -1
+            for b in label[:-1]:
+                t, node = node[b]
+                last = t if t >= 0 else last
+            self.shorter[i] = last
+        self.arcs = {}
+        self.of_word = _Memo(self._word)
+        self.of_unit = _Memo(self._unit)
 
     def _spine(self, t: int, side: int) -> list[tuple[int, int, int]]:
         """(segment, born, consumed) along the left (0) or right (1) edge of a token."""
@@ -131,60 +163,80 @@ class Automaton:
                         break
                 if not ok:
                     break
-            if len(self.arcs) >= 2 * CACHE:
+            if len(self.arcs) >= 4 * CACHE:
                 self.arcs.clear()
             self.arcs[key] = ok
         return ok
 
     def encode_word(self, word: bytes) -> list[int]:
-        n, step, at, arc, arcs = len(word), self.step.get, self.at, self.arc, self.arcs
-        state = [-1] * (n + 1)           # the state after each prefix
-        since = [0] * (n + 1)
-        for i in range(n):
-            u, node, j = state[i] << 20, 0, i
-            for b in word[i:i + self.longest]:
-                node = step(node << 8 | b)
-                if node is None:
-                    break
-                j += 1
-                t = at[node]
-                if t >= 0 and (i == 0 or ((ok := arcs.get(u | t)) is None and arc(u >> 20, t)) or ok):
-                    state[j], since[j] = t, i
-        out, j = [], n
-        while j:
-            if state[j] < 0:
+        n, root, arc, shorter, size = len(word), self.root, self.arcs.get, self.shorter, self.size
+        out, i, dead, t = [], 0, set(), -2
+        while i < n:
+            if t == -2:                                        # a new place: the longest token there
+                node, t = root, -1
+                for b in word[i:]:
+                    found = node.get(b)
+                    if found is None:
+                        break
+                    here, node = found
+                    if here >= 0:
+                        t = here
+            while t >= 0:
+                if i + size[t] not in dead:
+                    if not out:
+                        break
+                    ok = arc(out[-1] << 20 | t)
+                    if ok is None:
+                        ok = self.arc(out[-1], t)
+                    if ok:
+                        break
+                t = shorter[t]
+            if t >= 0:
+                out.append(t)
+                i += size[t]
+                t = -2
+            elif out:                                          # no way on from here
+                dead.add(i)
+                t = out.pop()
+                i -= size[t]
+                t = shorter[t]
+            else:
                 raise ValueError("the vocabulary has no token for a byte")
-            out.append(state[j])
-            j = since[j]
-        return out[::-1]
-
-    def _ids(self, part: str) -> bytes:
-        known, out = self.known, []
-        for w in self.words.findall(part):
-            ids = known.get(w)
-            if ids is None:
-                ids = self.older.get(w)
-                if ids is None:
-                    got = self.encode_word(w.encode())
-                    ids = struct.pack(f"<{len(got)}I", *got)
-                if len(w) <= 64:
-                    if len(known) >= CACHE:
-                        self.older = known
-                        known = self.known = {}
-                    known[w] = ids
-            out.append(ids)
-        return b"".join(out)
+        return out
+
+    def _word(self, word: str) -> bytes:
+        got = self.encode_word(word.encode())
+        return struct.pack(f"<{len(got)}I", *got)
+
+    def _unit(self, unit: str) -> bytes:
+        if unit.isalpha() and max(unit) < _LATIN_END:           # a space and letters are one word
+            return self._word(" " + unit)
+        return b"".join(map(self.of_word.__getitem__, self.words.findall(" " + unit)))
+
+    def _plain(self, part: str) -> list[bytes]:
+        if not part:
+            return []
+        if _LOOSE.search(part) or part[0].isspace() or part[-1].isspace():
+            return list(map(self.of_word.__getitem__, self.words.findall(part)))
+        head, *units = part.split(" ")                         # every space is between two words
+        return [*map(self.of_word.__getitem__, self.words.findall(head)), *map(self.of_unit.__getitem__, units)]
+
+    def parts(self, text: str) -> list[bytes]:
+        """Token ids of consecutive parts of a text, as little-endian unsigned 32-bit integers."""
+        if self.at_special is None or not any(s in text for s in self.special):
+            return self._plain(text)
+        out = []
+        for p in self.at_special.split(text):
+            out += [struct.pack("<I", self.special[p])] if p in self.special else self._plain(p)
+        return out
 
     def encode(self, text: str) -> bytes:
-        """Token ids as little-endian unsigned 32-bit integers."""
-        if self.at_special is None or not any(s in text for s in self.special):
-            return self._ids(text)
-        return b"".join(struct.pack("<I", self.special[p]) if p in self.special else self._ids(p)
-                        for p in self.at_special.split(text) if p)
+        return b"".join(self.parts(text))
 
     def forget(self) -> None:
-        """Empty the word tables (a worker that waits for other work should hold little)."""
-        self.known, self.older = {}, {}
+        """Empty the tables (a worker that waits for other work should hold little)."""
+        for memo in (self.of_word, self.of_unit):
+            memo.forget()
 
     def decode(self, ids: bytes) -> str:
         labels = self.labels
