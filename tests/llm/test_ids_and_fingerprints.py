@@ -34,6 +34,9 @@ WAYS = {
 }
 
 
+HELPERS = {"keep_good", "drop_near_copies", "repeated_passages", "remove_units", "remove_passages", "anchors", "repeat_rows", "drop_copies"}
+
+
 @pytest.fixture(scope="module")
 def rows(spark):
     return prepared(spark).createDataFrame(ROWS, SCHEMA).cache()
@@ -53,10 +56,11 @@ def test_string_null_and_repeated_ids(way, rows, named):
     kept = got.collect()
     if way != "repeat_rows":                      # the draw goes by hashes of the ids
         assert len(kept) == f(rows).count()
-    assert f(named.filter("1 = 0")).count() == 0
     if "doc_id" in got.columns:
         assert got.schema["doc_id"].dataType.simpleString() == "string"
-    assert f(clashing(named)).count() == len(kept)
+    if way in HELPERS:                            # the others: test_llm_ops, test_align_search_audit
+        assert f(named.filter("1 = 0")).count() == 0
+        assert f(clashing(named)).count() == len(kept)
 
 
 def test_passages_with_string_ids(named):
