@@ -125,3 +125,21 @@ def test_ticks_are_scanned_once(spark):
     """One materialised bar table feeds targets, proxies and the check."""
     s = PL.build_silver(FX.daily_bars(spark, SF0001), None, FX.TARGETS, FX.PROXIES)
     assert "lineitem" not in s._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_stay_out_of_the_ticker_windows(spark):
+    """Texts meet the rows by (ticker, day) above every window and are not broadcast: no task holds a ticker's whole text."""
+    bars = bars_df(spark, [(i, 10.0, 12.0, 9.0, 10.0 + i) for i in range(30)]).unionByName(
+        bars_df(spark, [(i, 1.0, 2.0, 0.5, 1.0 + i) for i in range(30)], "P"))
+    news = spark.createDataFrame([("A", "2020-01-20T15:00:00Z", "a title", "a text", ["k"], 1)],
+                                 "search_ticker string, published_utc string, title string, description string, "
+                                 "keywords array<string>, id long")
+    for mode in ("key", "blocks"):
+        s = PL.build_silver(bars, news, None, ["P"], mode=mode, block_rows=7)
+        assert {r["t"].day: r["aggregated_text"] for r in s.collect()} == {
+            d: "a text k a title" if d == 20 else " " for d in range(6, 30)}
+        plan = s._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        text = next(i for i, x in enumerate(plan) if "Join" in x and "LeftOuter" in x)
+        assert not any("Window" in x for x in plan[:text]) and any("Window" in x for x in plan[text:])
+        ran = s._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert "SortMergeJoin" in next(x for x in ran if "Join [" in x)
