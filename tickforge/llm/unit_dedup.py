@@ -22,12 +22,18 @@ Runs of words are named by the smallest hash of their inner runs of a third of t
 their name and are one entry, a stretch.  Equal runs have equal names, so only names that occur again matter.  If all
 stretches of a name are equal, they are settled whole; if they differ, every run in them is settled by itself.
 
-Scale of passages: whole texts are shuffled once, into chunks of about ``CHUNK_BYTES`` by hash of id and text.  A chunk asks,
+Scale of passages: whole texts are shuffled once, into chunks of about ``CHUNK_BYTES`` by id and text, whose texts are
+hashed many at a time.  A chunk asks,
 with packed arrays dealt by hash, which of its distinct names (of stretches and short units) occur again in the table, and
 whether their stretches differ; a bucket of names gets each name once from a chunk, so no name is hot in it.  Only
-entries whose name occurs again become rows.  Digests that occur very often are named by a frequent-items
-sketch, settled with map-side combining and broadcast (few by that; counted, or an error); all others are shuffled once
-and settled by a window, whose groups are small by that.
+entries whose name occurs again become rows.  A stretch whose runs are settled by themselves moves as one row with its runs'
+digests, by its name; only there it becomes a row for each run, and runs that follow each other are one row again
+before they go back to their text.  Names and digests of more than one row in ``HEAVY`` are named by a frequent-items sketch.  The runs
+of such names are dealt by digest; such digests are settled with map-side combining and broadcast (few by that; counted,
+or an error).  All others are shuffled once and settled by a window, whose groups are small by that.
+
+Texts are numbered so that those of one id (null: all of them) are in the order of their texts' hashes: chunks are
+cells of a grid, ranges of that hash by hashes of the id.
 
 Ids may have any type that can be ordered.  Null and empty texts have no units.  Null ids rank last, by their texts' hash.
 Repeated rows are copies: the occurrences of the first one stay (they share a chunk).  Empty tables give no rows.
@@ -36,6 +42,7 @@ Repeated rows are copies: the occurrences of the first one stay (they share a ch
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 
@@ -59,6 +66,8 @@ UNITS = {
 #: Kinds of rows: short units, runs of words, and texts.
 SENTENCE, LINE, PARAGRAPH, RUN, TEXT = range(5)
 CHUNK_BYTES, BUCKET_BYTES = 16 << 20, 32 << 20
+#: Least number of chunks; code points hashed at a time (a longer text makes its block longer).
+CHUNKS, BLOCK = 32, 1 << 17
 #: What is known of a name: it occurs again, and its stretches differ or may repeat in themselves.
 AGAIN, MIXED = 1, 2
 _STOP = np.zeros(1 << 16, bool)
@@ -114,24 +123,33 @@ def _unit_rows(docs: DataFrame, unit: str, min_words: int) -> DataFrame:
     return docs.mapInArrow(run, f"id {kind}, rid long, start int, end int, word int, words int, d1 long, d2 long")
 
 
+def _frequent(rows: DataFrame) -> DataFrame:
+    """The values of d1 that more than one row in ``HEAVY`` has (the sketch counts none too low)."""
+    return (rows.agg(F.expr(f"approx_top_k(d1, {HEAVY}, {COUNTERS})").alias("t"), F.count(F.lit(1)).alias("n"))
+            .select("n", F.explode("t").alias("t")).filter(F.col("t.count") * HEAVY > F.col("n")).select(F.col("t.item").alias("d1")))
+
+
 def _later(rows: DataFrame, rank: list[Column], inside: list[str]) -> DataFrame:
     """The rows whose digest occurs again, with ``best`` (the least ``rank`` of the digest) and ``group_size``.  The columns
     ``inside`` the rank move as its fields only; they come back as columns."""
     rows = rows.withColumn("own", F.struct(*rank)).drop(*inside)
-    named = (rows.agg(F.expr(f"approx_top_k(d1, {HEAVY}, {COUNTERS})").alias("t"))
-             .select(F.explode("t").alias("t")).select(F.col("t.item").alias("d1")))
+    named = _frequent(rows)
     frequent = rows.join(F.broadcast(named), "d1", "left_semi")
     first = written(frequent.groupBy("d1", "d2").agg(F.min("own").alias("best"), F.count(F.lit(1)).alias("group_size")), "first")
     if (n := first.count()) > 4 * HEAVY:       # digests that share their first half with a named one: a few at most
         raise ValueError(f"{n} frequent digests share {HEAVY} first halves; too many to broadcast")
     settled = (frequent.join(F.broadcast(first), ["d1", "d2"]))
-    others = rows.join(F.broadcast(named), "d1", "left_anti")
-    w = Window.partitionBy("d1", "d2")
-    windowed = (others.withColumn("group_size", F.count(F.lit(1)).over(w)).filter("group_size > 1")
-                .withColumn("best", F.first("own").over(w.orderBy("own"))))
+    windowed = _windowed(rows.join(F.broadcast(named), "d1", "left_anti"))
     return settled.unionByName(windowed.select(settled.columns)).select("*", *[F.col(f"own.{c}").alias(c) for c in inside])
 
 
+def _windowed(rows: DataFrame) -> DataFrame:
+    """The rows whose digest occurs again, with ``best`` (the least ``own`` of the digest) and ``group_size``."""
+    w = Window.partitionBy("d1", "d2")
+    return (rows.withColumn("group_size", F.count(F.lit(1)).over(w)).filter("group_size > 1")
+            .withColumn("best", F.first("own").over(w.orderBy("own"))))
+
+
 def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "sentence",
                    min_words: int = MIN_WORDS, min_run: int = MIN_RUN) -> DataFrame:
     """One row per unit to be removed: (id, start, end, n_words, run_words, keep_id, keep_start, group_size,
@@ -154,18 +172,38 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     F.col("rid").alias("row_hash")))
 
 
-class Words:
-    """The words of a text as ``lower().split()`` gives them, with offsets of the text itself, and hashes of word runs."""
+def blocks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """(number of the first, texts) of the texts to be hashed at a time."""
+    at = size = 0
+    for k, t in enumerate(texts):
+        if size and size + len(t) > BLOCK:
+            yield at, texts[at:k]
+            at, size = k, 0
+        size += len(t) + 2
+    if texts:
+        yield at, texts[at:]
+
 
-    def __init__(self, text: str):
-        low = text.lower()
-        if len(low) != len(text):              # a letter whose lower case is longer stays as it is
-            low = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
+def _lower(text: str) -> str:
+    """Lower case; a letter whose lower case is longer stays as it is."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
+
+
+class Words:
+    """The words of texts as ``lower().split()`` gives them, and hashes of word runs.  The texts stand one after another with
+    an empty line between them, so nothing goes from one to the next; places count from the first text's begin."""
+
+    def __init__(self, texts: list[str]):
+        joined = "\n\n".join(texts)
+        low = joined.lower()
+        if len(low) != len(joined):
+            low = "\n\n".join(map(_lower, texts))
         self.codes = codes = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), np.uint32)
         if not _POWERS or len(_POWERS[0]) < len(codes) + 1:
             _POWERS[:] = []
             for b in [y for x in _BASES for y in (x, pow(x, -1, 1 << 64))]:
-                p = np.full(max(1 << 16, 2 * len(codes)), b, np.uint64)
+                p = np.full(max(1 << 16, len(codes) + max(1 << 16, len(codes) // 4)), b, np.uint64)
                 p[0] = 1
                 _POWERS.append(np.multiply.accumulate(p))
         far = codes > 0xFFFF
@@ -179,6 +217,14 @@ class Words:
         edge = np.flatnonzero(np.diff(np.concatenate(([False], self.inside, [False])).view(np.int8)))
         self.starts, self.ends = edge[::2], edge[1::2]
         self.h = self.hashes(self.starts, self.ends)
+        #: where texts begin, and their first words
+        self.begin = np.cumsum([0, *(len(t) + 2 for t in texts[:-1])])
+        self.first = np.searchsorted(self.starts, self.begin)
+        self.sums = [self._sums(self.h, k) for k in range(2)]
+
+    def text(self, places: np.ndarray) -> np.ndarray:
+        """Number of the text of places."""
+        return np.searchsorted(self.begin, places, "right") - 1
 
     @staticmethod
     def _sums(x: np.ndarray, k: int) -> np.ndarray:
@@ -194,9 +240,9 @@ class Words:
         """Hashes of pieces of the text."""
         return self._between(self.total, starts, ends, 0)
 
-    def digests(self, h: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
-        """Two hashes of each run of words [a, b), from the words' hashes."""
-        return [self._between(self._sums(h, k), a, b, k).view(np.int64) for k in range(2)]
+    def digest(self, k: int, a: np.ndarray, b: np.ndarray, h: np.ndarray | None = None) -> np.ndarray:
+        """Hash of each run of words [a, b), of hashes ``h`` instead of the words' own where given; k: the first or second hash."""
+        return self._between(self.sums[k] if h is None else self._sums(h, k), a, b, k).view(np.int64)
 
     def short_units(self, least: int, below: int) -> Iterator[tuple]:
         """(kind, starts, ends, first words, words, d1, d2) of sentences, lines and paragraphs of at least ``least``
@@ -213,22 +259,22 @@ class Words:
         inner = heads[self.inside[heads] & (heads > 0) & self.inside[np.maximum(heads, 1) - 1]]
         starts = np.sort(np.concatenate((self.starts, inner)))
         ends = np.sort(np.concatenate((self.ends, inner)))
-        yield from self._units(SENTENCE, starts, ends, self.hashes(starts, ends) if len(inner) else self.h, heads, tails, least, below)
+        yield from self._units(SENTENCE, starts, ends, self.hashes(starts, ends) if len(inner) else None, heads, tails, least, below)
         heads, tails = np.append(0, breaks + 1), np.append(breaks, len(line))
-        yield from self._units(LINE, self.starts, self.ends, self.h, heads, tails, least, below)
+        yield from self._units(LINE, self.starts, self.ends, None, heads, tails, least, below)
         # paragraphs: lines with words in a row, two at least
         full = np.searchsorted(self.starts, tails) > np.searchsorted(self.starts, heads)
         edge = np.flatnonzero(np.diff(np.concatenate(([False], full, [False])).view(np.int8)))
         a, b = edge[::2], edge[1::2]
         a, b = a[b - a > 1], b[b - a > 1]
-        yield from self._units(PARAGRAPH, self.starts, self.ends, self.h, heads[a], tails[b - 1], least, below)
+        yield from self._units(PARAGRAPH, self.starts, self.ends, None, heads[a], tails[b - 1], least, below)
 
     def _units(self, kind, starts, ends, h, heads, tails, least, below) -> Iterator[tuple]:
         a, b = np.searchsorted(starts, heads), np.searchsorted(starts, tails)
         ok = (b - a >= max(1, least)) & (b - a < below)
         a, b = a[ok], b[ok]
         if len(a):
-            d1, d2 = self.digests(h, a, b)
+            d1, d2 = (self.digest(k, a, b, h) for k in range(2))
             word = np.searchsorted(self.starts, starts[a])
             yield kind, starts[a], ends[b - 1], word, np.searchsorted(self.starts, ends[b - 1]) - word, d1 + kind, d2
 
@@ -242,18 +288,25 @@ def _rolled(h: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
-def stretches(h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(name, first run, runs, whether a run may occur twice in it) of the stretches of runs of n words with one name."""
+def stretches(h: np.ndarray, of: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(name, first run, runs, whether a run may occur twice in it) of the stretches of runs of n words (2 at least) with one
+    name; ``of``: the text of each word."""
     inner = max(1, n // 3)
     wide, m = n - inner + 1, len(h) - n + 1
-    if m <= 0:
+    whole = of[n - 1:] == of[:max(0, m)]           # runs inside one text
+    if not whole.any():
         return np.empty(0, np.uint64), *[np.empty(0, np.int64)] * 3
     s = _rolled(h, inner)
     least = s[:m].copy()
     for j in range(1, wide):
         np.minimum(least, s[j:j + m], out=least)
-    first = np.concatenate(([0], np.flatnonzero(least[1:] != least[:-1]) + 1))
-    many = np.diff(np.append(first, m))
+    head = whole.copy()
+    head[1:] &= ~whole[:-1] | (least[1:] != least[:-1])
+    first, upto = np.flatnonzero(head), np.cumsum(whole)
+    many = np.diff(np.append(upto[first] - 1, upto[-1]))
+    # inner runs are equal in one text only
+    own = of[:len(s)]
+    s = np.where(of[inner - 1:] == own, s ^ mix(own.astype(np.uint64)), np.arange(len(s), dtype=np.uint64))
     again = np.zeros(len(s) + 1, np.int64)
     for p in range(1, min(wide, len(s))):
         again[1:len(s) - p + 1] |= s[p:] == s[:-p]
@@ -262,18 +315,18 @@ def stretches(h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 class Entries:
-    """What of a text may occur again: stretches of runs of n words, then short units; each has a name."""
+    """What of texts may occur again: stretches of runs of n words, then short units; each has a name."""
 
-    def __init__(self, text: str, least: int, n: int):
-        self.x, self.n = Words(text), n
-        self.stretch, self.first, self.many, self.twice = stretches(self.x.h, n)
-        self.short = list(self.x.short_units(least, n))
+    def __init__(self, texts: list[str], least: int, n: int):
+        self.x, self.n = x, n = Words(texts), n
+        self.stretch, self.first, self.many, self.twice = stretches(x.h, x.text(x.starts), n)
+        self.short = list(x.short_units(least, n))
         self.names = np.concatenate([self.stretch, *(u[5].view(np.uint64) for u in self.short)])
 
     def whole(self, of) -> np.ndarray:
         """Digest of all the words of stretches."""
         a = self.first[of]
-        return self.x.digests(self.x.h, a, a + self.many[of] + self.n - 1)[0]
+        return self.x.digest(0, a, a + self.many[of] + self.n - 1)
 
     def digests(self) -> np.ndarray:
         """32 bits that tell the stretches (or units) of one name apart."""
@@ -284,22 +337,31 @@ class Entries:
         return np.concatenate([self.twice * MIXED, np.zeros(len(self.names) - len(self.twice), int)]).astype(np.uint8)
 
     def rows(self, known: np.ndarray) -> Iterator[tuple]:
-        """(kind, start, end, word, words, d1, d2), arrays, of what occurs again."""
+        """(text, kind, start, end, word, words, d1, d2, runs, their starts, ends and digests), arrays, of what occurs again.
+        Places count from the text's begin.  Stretches that differ have the name and 0 for digest, and their runs (number)."""
         x, n, m = self.x, self.n, len(self.stretch)
+        none = (np.empty(0, np.int64),) * 3
         s = known[:m]
         of = np.flatnonzero(s == AGAIN)
         if len(of):
             a, b = self.first[of], self.first[of] + self.many[of] + n - 1
-            yield RUN, x.starts[a], x.ends[b - 1], a, b - a, self.stretch[of].view(np.int64), self.whole(of)
+            yield *self._placed(RUN, x.starts[a], x.ends[b - 1], a, b - a), self.stretch[of].view(np.int64), self.whole(of), 0 * of, *none
         of = np.flatnonzero(s & MIXED)
         if len(of):
-            many = self.many[of]
-            w = np.repeat(self.first[of] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-            yield RUN, x.starts[w], x.ends[w + n - 1], w, np.full(len(w), n), *x.digests(x.h, w, w + n)
+            a, many = self.first[of], self.many[of]
+            w = np.repeat(a - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            begin = np.repeat(x.starts[a], many)
+            yield (*self._placed(RUN, x.starts[a], x.ends[a + many + n - 2], a, 0 * of + n), self.stretch[of].view(np.int64), 0 * of,
+                   many, x.starts[w] - begin, x.ends[w + n - 1] - begin, x.digest(1, w, w + n))
         for u in self.short:
             of, m = np.flatnonzero(known[m:m + len(u[1])]), m + len(u[1])
             if len(of):
-                yield u[0], *(v[of] for v in u[1:])
+                yield *self._placed(u[0], *(v[of] for v in u[1:5])), u[5][of], u[6][of], 0 * of, *none
+
+    def _placed(self, kind: int, start, end, word, words) -> tuple:
+        of = self.x.text(start)
+        begin = self.x.begin[of]
+        return of, np.full(len(of), kind), start - begin, end - begin, word - self.x.first[of], words
 
 
 def _known(names: np.ndarray, digests: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -314,23 +376,29 @@ def _known(names: np.ndarray, digests: np.ndarray, known: np.ndarray) -> tuple[n
     return names[at], digests[at], np.bitwise_or.reduceat(known, at) | (size > 1) * np.uint8(AGAIN) | apart_ * np.uint8(MIXED)
 
 
-_ROW = "kind int, doc long, start int, end int, word int, words int, d1 long, d2 long, rid long, id "
-_KINDS = (pa.int32(), pa.int64(), *[pa.int32()] * 4, *[pa.int64()] * 3)
+_ROW = ("kind int, doc long, start int, end int, word int, words int, d1 long, d2 long, "
+        "starts array<int>, ends array<int>, runs array<long>, id ")
+_KINDS = (pa.int32(), pa.int64(), *[pa.int32()] * 4, *[pa.int64()] * 2)
 
 
 def _recurring(docs: DataFrame, id_col: str, text_col: str, min_words: int, n: int) -> DataFrame:
-    """Rows of ``_ROW``: entries whose name occurs again (doc: number of a row of ``docs``), and a ``TEXT`` row for each
-    text that has some."""
+    """Rows of ``_ROW``: entries whose name occurs again (doc: number of a row of ``docs``; where its stretches differ with the
+    starts, ends and digests of the runs), and a ``TEXT`` row (d1: hash of the text) for each text that has some."""
     src = docs.select(col(id_col).alias("id"), F.xxhash64(col(text_col)).alias("rid"), col(text_col).alias("text")).filter("text <> ''")
     size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunks, buckets = max(4, size // CHUNK_BYTES), max(8, size // BUCKET_BYTES)
-    texts = src.withColumn("chunk", F.pmod(F.xxhash64("id", "rid"), F.lit(chunks)).cast("int"))
+    chunks, buckets = max(CHUNKS, size // CHUNK_BYTES), max(8, size // BUCKET_BYTES)
+    ranges = math.isqrt(chunks)
+    slots = -(-chunks // ranges)
+    share = F.shiftright("rid", 33) + F.lit(1 << 30)           # of 2 ** 31
+    cell = lambda k: F.shiftright(share * F.lit(k), 31)
+    texts = src.withColumn("chunk", F.when(F.col("id").isNull(), cell(ranges * slots)).otherwise(
+        cell(ranges) * slots + F.pmod(F.xxhash64("id"), F.lit(slots))).cast("int"))
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def ask(t: pa.Table) -> pa.Table:
         chunk, parts = t.column("chunk")[0].as_py(), []
-        for text in t.column("text"):
-            e = Entries(text.as_py(), min_words, n)
+        for _, some in blocks(t.column("text").to_pylist()):
+            e = Entries(some, min_words, n)
             parts.append((e.names, e.digests(), e.known()))
         names, digests, known = _known(*(np.concatenate(c) for c in zip(*parts)))
         bucket = mix(names) % np.uint64(buckets)
@@ -362,23 +430,25 @@ def _recurring(docs: DataFrame, id_col: str, text_col: str, min_words: int, n: i
         names, known = (np.frombuffer(b"".join(r.column(c).to_pylist()), k) for c, k in (("names", "<u8"), ("known", "u1")))
         o = np.argsort(names)
         names, known = np.append(names[o], np.uint64(0)), np.append(known[o], np.uint8(0))
-        rows, who = [], []
-        if len(names) > 1 and t.num_rows:
-            first = t.column("chunk")[0].as_py() << 32
-            rids = t.column("rid").to_numpy()
-            for k, text in enumerate(t.column("text")):
-                e = Entries(text.as_py(), min_words, n)
-                at = np.searchsorted(names[:-1], e.names)
-                own = np.where(names[at] == e.names, known[at], np.uint8(0))
-                if own.any():
-                    one = np.zeros(1, np.int64)
-                    for kind, *v in [(TEXT, *[one] * 6), *e.rows(own)]:
-                        m = len(v[0])
-                        rows.append((np.full(m, kind), np.full(m, first + k), *v, np.full(m, rids[k])))
-                        who.append(np.full(m, k))
-        cols = [np.concatenate(c) for c in zip(*rows)] if rows else [np.empty(0, np.int64)] * 9
-        ids = t.column("id").combine_chunks().take(pa.array(np.concatenate(who) if who else np.empty(0, np.int64)))
-        return pa.table([*(pa.array(c, k) for c, k in zip((c.astype(k.to_pandas_dtype()) for c, k in zip(cols, _KINDS)), _KINDS)),
+        rows = []
+        t = t.take(pa.array(np.argsort(t.column("rid").to_numpy(), kind="stable")))
+        rids = t.column("rid").to_numpy()
+        for at, some in blocks(t.column("text").to_pylist()) if len(names) > 1 else ():
+            e = Entries(some, min_words, n)
+            found_at = np.searchsorted(names[:-1], e.names)
+            own = np.where(names[found_at] == e.names, known[found_at], np.uint8(0))
+            if own.any():
+                mine = [(at + of, *v) for of, *v in e.rows(own)]
+                who = np.unique(np.concatenate([v[0] for v in mine]))
+                zero, none = 0 * who, np.empty(0, np.int64)
+                rows += [(who, zero + TEXT, *[zero] * 4, rids[who], zero, zero, none, none, none), *mine]
+        who, kind, *cols, many, starts, ends, runs = ([np.concatenate(c) for c in zip(*rows)] if rows else [np.empty(0, np.int64)] * 12)
+        first = t.column("chunk")[0].as_py() << 32 if t.num_rows else 0
+        ids = t.column("id").combine_chunks().take(pa.array(who, pa.int64()))
+        ends_at = pa.array(np.concatenate(([0], np.cumsum(many))).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(ends_at, pa.array(v.astype(k.to_pandas_dtype()), k))
+                 for v, k in ((starts, pa.int32()), (ends, pa.int32()), (runs, pa.int64()))]
+        return pa.table([*(pa.array(c.astype(k.to_pandas_dtype()), k) for c, k in zip((kind, first + who, *cols), _KINDS)), *lists,
                          ids.cast(id_arrow.field(0).type)], names=[x.split()[0] for x in _ROW.split(", ")])
 
     asked = texts.groupBy("chunk").applyInArrow(ask, "chunk int, bucket int, names binary, digests binary, known binary")
@@ -391,28 +461,54 @@ def _arrow_schema(df: DataFrame) -> pa.Schema:
     return to_arrow_schema(df.schema)
 
 
+def _joined(rows: DataFrame, key: list[str], alone: Column, order: list[str]) -> DataFrame:
+    """Rows of a key that follow each other here and in the kept text as one; rows that are ``alone`` stay."""
+    w = Window.partitionBy(*key).orderBy(*order)
+    off = F.col("best_word") - F.col("word")
+    step = rows.withColumn("run", F.sum(F.coalesce(
+        (alone | (F.col("word") > F.lag("after").over(w)) | (F.col("best_doc") != F.lag("best_doc").over(w))
+         | (off != F.lag(off).over(w))).cast("int"), F.lit(1))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    same = ["kind", "doc", "best_doc", "best_id"]
+    return step.groupBy(*[k for k in key if k not in same], "run", *same).agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.min("word").alias("word"), F.max("after").alias("after"),
+        F.min("best_start").alias("best_start"), F.min("best_word").alias("best_word"),
+        F.max("group_size").alias("group_size")).drop("run")
+
+
 def _passages(docs: DataFrame, id_col: str, text_col: str, min_words: int, min_run: int) -> tuple[DataFrame, DataFrame]:
     """(texts that have something that occurs again: doc, id, rid; spans to be removed)."""
     n = max(2, min_run)
     rows = written(_recurring(docs, id_col, text_col, min_words, n), "recurring")
-    base = rows.filter(F.col("kind") == TEXT).select("doc", "id", "rid")
-    rank = [F.col("id").isNull().alias("n"), *map(F.col, ("id", "rid", "doc", "start", "word"))]
-    again = (_later(rows.filter(F.col("kind") != TEXT), rank, ["id", "rid", "doc", "start", "word"])
-             .filter((F.col("best.doc") != F.col("doc")) | (F.col("best.start") != F.col("start")))
-             .select("kind", "doc", "id", "rid", "start", "end", "word", (F.col("word") + F.col("words")).alias("after"),
-                     F.struct("best.doc", "best.start", "best.word", "best.id").alias("best"), "group_size"))
+    base = rows.filter(F.col("kind") == TEXT).select("doc", "id", F.col("d1").alias("rid"))
+    inside = ["id", "doc", "start", "word"]
+    rank = [F.col("id").isNull().alias("n"), *map(F.col, inside)]
+    apart = rows.filter(F.size("runs") > 0).select(*inside, "starts", "ends", "runs", "d1")
+    common = F.broadcast(_frequent(apart))
+
+    def runs(stretch: DataFrame) -> DataFrame:
+        place = lambda c: F.col("start") + F.get(c, F.col("i"))
+        return stretch.select("*", F.posexplode("runs").alias("i", "d2")).select(
+            F.lit(RUN).alias("kind"), "id", "doc", place("starts").alias("start"), place("ends").alias("end"),
+            (F.col("word") + F.col("i")).alias("word"), F.lit(n).alias("words"), "d1", "d2", F.col("word").alias("head"))
+
+    def later(settled: DataFrame, *more: str) -> DataFrame:
+        return (settled.filter((F.col("best.doc") != F.col("doc")) | (F.col("best.start") != F.col("start")))
+                .select(*more, "kind", "doc", "start", "end", "word", (F.col("word") + F.col("words")).alias("after"),
+                        *[F.col(f"best.{c}").alias(f"best_{c}") for c in inside], "group_size"))
+
+    # runs of names that occur very often are dealt by their digest, all others by name
+    hot = runs(apart.join(common, "d1", "left_semi"))
+    hot = hot.select("kind", *inside, "end", "words", F.col("d2").alias("d1"), F.col("d1").alias("d2"))
+    whole = rows.filter((F.col("kind") != TEXT) & (F.size("runs") == 0)).select(hot.columns)
+    again = later(_later(whole.unionByName(hot), rank, inside))
+    dealt = runs(apart.join(common, "d1", "left_anti").repartition("d1"))
+    dealt = _windowed(dealt.withColumn("own", F.struct(*rank)).drop(*inside))
+    dealt = later(dealt.select("*", *[F.col(f"own.{c}").alias(c) for c in inside]), "d1", "head")
+    dealt = _joined(dealt, ["d1", "doc", "head"], F.lit(False), ["word"])
 
     # runs that follow each other here and in the kept text are one span; a short unit is a span of its own
-    again = again.withColumn("short", F.col("kind") != RUN)
-    text = Window.partitionBy("doc").orderBy("short", "word", "start", "kind")
-    off = F.col("best.word") - F.col("word")
-    step = again.withColumn("run", F.sum(F.coalesce(
-        (F.col("short") | (F.col("word") > F.lag("after").over(text)) | (F.col("best.doc") != F.lag("best.doc").over(text))
-         | (off != F.lag(off).over(text))).cast("int"), F.lit(1))).over(text.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = step.groupBy("doc", "run").agg(
-        F.first("kind").alias("kind"), F.first("id").alias("id"), F.first("rid").alias("rid"), F.min("start").alias("start"),
-        F.max("end").alias("end"), F.min("word").alias("word"), F.max("after").alias("after"), F.min_by("best", "word").alias("best"),
-        F.max("group_size").alias("group_size")).drop("run")
+    again = again.unionByName(dealt.select(again.columns)).withColumn("short", F.col("kind") != RUN)
+    spans = _joined(again, ["doc"], F.col("short"), ["short", "word", "start", "kind"])
     text = Window.partitionBy("doc").orderBy("word", "start")
     # short sentences go in runs only
     behind = F.max("after").over(text.rowsBetween(Window.unboundedPreceding, -1))
@@ -429,16 +525,17 @@ def _passages(docs: DataFrame, id_col: str, text_col: str, min_words: int, min_r
     follows = F.coalesce((F.col("word") > F.lag("after").over(w)).cast("int"), F.lit(1))
     spans = (spans.withColumn("island", F.sum(follows).over(w))
              .withColumn("run_words", F.sum("n_words").over(Window.partitionBy("doc", "island")).cast("int")))
-    return base, spans.withColumn("keep_id", F.col("best.id"))
+    return base, spans
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
                       min_run: int = MIN_RUN) -> DataFrame:
     """One row per span to be removed, with the columns of ``repeated_units``; ``keep_start`` is where the kept text of the
     span begins, ``group_size`` the occurrences of its most frequent part."""
-    _, spans = _passages(docs, id_col, text_col, min_words, min_run)
-    return spans.select(F.col("id").alias(id_col), "start", "end", "n_words", "run_words", "keep_id",
-                        F.col("best.start").alias("keep_start"), "group_size", F.col("rid").alias("row_hash"))
+    base, spans = _passages(docs, id_col, text_col, min_words, min_run)
+    return spans.join(base, "doc").select(
+        F.col("id").alias(id_col), "start", "end", "n_words", "run_words", F.col("best_id").alias("keep_id"),
+        F.col("best_start").alias("keep_start"), "group_size", F.col("rid").alias("row_hash"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "sentence",
@@ -449,7 +546,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     left = docs.withColumn(h, F.xxhash64(F.coalesce(col(text_col), F.lit(""))))
     if unit == "passage":      # repeated rows: the first one keeps what the others lose
         base, found = _passages(docs, id_col, text_col, min_words, min_run)
-        copies = base.select("doc", F.row_number().over(Window.partitionBy("id", "rid").orderBy("doc")).alias("copy"))
+        copies = base.select("doc", "id", "rid", F.row_number().over(Window.partitionBy("id", "rid").orderBy("doc")).alias("copy"))
         found = found.join(copies, "doc").select(F.col("id").alias(k1), F.col("rid").alias(k2), F.col("copy").alias(k3), "start", "end")
         left = left.withColumn(n, F.row_number().over(
             Window.partitionBy(col(id_col), col(h)).orderBy(row_hash(docs))))
