@@ -124,9 +124,11 @@ def _unit_rows(docs: DataFrame, unit: str, min_words: int) -> DataFrame:
 
 
 def _frequent(rows: DataFrame) -> DataFrame:
-    """The values of d1 that more than one row in ``HEAVY`` has (the sketch counts none too low)."""
-    return (rows.agg(F.expr(f"approx_top_k(d1, {HEAVY}, {COUNTERS})").alias("t"), F.count(F.lit(1)).alias("n"))
-            .select("n", F.explode("t").alias("t")).filter(F.col("t.count") * HEAVY > F.col("n")).select(F.col("t.item").alias("d1")))
+    """The values of d1 that more than one row in ``HEAVY`` has (the sketch counts none too low).  They are written: made
+    anew, a sketch may name others, and a row would be settled twice or not at all."""
+    return written(rows.agg(F.expr(f"approx_top_k(d1, {HEAVY}, {COUNTERS})").alias("t"), F.count(F.lit(1)).alias("n"))
+                   .select("n", F.explode("t").alias("t")).filter(F.col("t.count") * HEAVY > F.col("n"))
+                   .select(F.col("t.item").alias("d1")), "frequent")
 
 
 def _later(rows: DataFrame, rank: list[Column], inside: list[str]) -> DataFrame:
