@@ -66,6 +66,22 @@ def test_only_frequent_digests_are_named_and_once(spark):
     assert "approx_top_k" not in named._jdf.queryExecution().toString()
 
 
+def test_rows_meet_what_is_known_of_their_digest_once(spark):
+    """A frequent digest of twice as many rows makes twice as many: each row goes through one join, which adds none."""
+    for n in (1000, 2000):
+        data = [(5 if k % 4 else k, k % 4 % 2, (7 * k) % n) for k in range(n)] + [(-k, 0, n + k // 2) for k in range(1, 9)] + [(-1, 0, -1)]
+        rows = spark.createDataFrame(data, "d1 long, d2 long, place long")
+        later = unit_dedup._later(rows, [F.col("place")], ["place"])
+        groups = {}
+        for d1, d2, place in data:
+            groups.setdefault((d1, d2), []).append(place)
+        want = sorted((*d, p, min(g), len(g)) for d, g in groups.items() if len(g) > 1 for p in g)
+        got = later.select("d1", "d2", "place", "best.place", "group_size").collect()
+        assert len(got) > 0.7 * n and sorted(map(tuple, got)) == want
+        plan = later._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join ") == plan.count("Join LeftOuter") == 1
+
+
 def test_texts_of_one_id_rank_by_their_hash(spark):
     prepare(spark)
     mid = _prose(40)

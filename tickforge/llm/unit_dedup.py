@@ -29,8 +29,9 @@ whether their stretches differ; a bucket of names gets each name once from a chu
 entries whose name occurs again become rows.  A stretch whose runs are settled by themselves moves as one row with its runs'
 digests, by its name; only there it becomes a row for each run, and runs that follow each other are one row again
 before they go back to their text.  Names and digests of more than one row in ``HEAVY`` are named by a frequent-items sketch.  The runs
-of such names are dealt by digest; such digests are settled with map-side combining and broadcast (few by that; counted,
-or an error).  All others are shuffled once and settled by a window, whose groups are small by that.
+of such names are dealt by digest (named values are few and filter rows without a join); such digests are settled with map-side combining and broadcast (few by that; counted,
+or an error).  All rows are shuffled once: those of settled digests one by one, all others by digest, settled by a window, whose
+groups are small by that.
 
 Texts are numbered so that those of one id (null: all of them) are in the order of their texts' hashes: chunks are
 cells of a grid, ranges of that hash by hashes of the id.
@@ -131,25 +132,32 @@ def _frequent(rows: DataFrame) -> DataFrame:
                    .select(F.col("t.item").alias("d1")), "frequent")
 
 
+def _named(rows: DataFrame) -> list[int]:
+    """The values of ``_frequent``, fewer than ``HEAVY``."""
+    return [r["d1"] for r in _frequent(rows).collect()]
+
+
 def _later(rows: DataFrame, rank: list[Column], inside: list[str]) -> DataFrame:
     """The rows whose digest occurs again, with ``best`` (the least ``rank`` of the digest) and ``group_size``.  The columns
     ``inside`` the rank move as its fields only; they come back as columns."""
     rows = rows.withColumn("own", F.struct(*rank)).drop(*inside)
-    named = _frequent(rows)
-    frequent = rows.join(F.broadcast(named), "d1", "left_semi")
-    first = written(frequent.groupBy("d1", "d2").agg(F.min("own").alias("best"), F.count(F.lit(1)).alias("group_size")), "first")
+    first = written(rows.filter(F.col("d1").isin(_named(rows))).groupBy("d1", "d2").agg(
+        F.min("own").alias("hot_best"), F.count(F.lit(1)).alias("hot_size")), "first")
     if (n := first.count()) > 4 * HEAVY:       # digests that share their first half with a named one: a few at most
         raise ValueError(f"{n} frequent digests share {HEAVY} first halves; too many to broadcast")
-    settled = (frequent.join(F.broadcast(first), ["d1", "d2"]))
-    windowed = _windowed(rows.join(F.broadcast(named), "d1", "left_anti"))
-    return settled.unionByName(windowed.select(settled.columns)).select("*", *[F.col(f"own.{c}").alias(c) for c in inside])
+    # each row once, with what is known of its digest; those of frequent digests are dealt one by one
+    dealt = (rows.join(F.broadcast(first), ["d1", "d2"], "left")
+             .withColumn("alone", F.when(F.col("hot_size").isNotNull(), F.xxhash64("own"))))
+    return _windowed(dealt, "alone").drop("hot_best", "hot_size", "alone").select("*", *[F.col(f"own.{c}").alias(c) for c in inside])
 
 
-def _windowed(rows: DataFrame) -> DataFrame:
-    """The rows whose digest occurs again, with ``best`` (the least ``own`` of the digest) and ``group_size``."""
-    w = Window.partitionBy("d1", "d2")
-    return (rows.withColumn("group_size", F.count(F.lit(1)).over(w)).filter("group_size > 1")
-            .withColumn("best", F.first("own").over(w.orderBy("own"))))
+def _windowed(rows: DataFrame, *alone: str) -> DataFrame:
+    """The rows whose digest occurs again, with ``best`` (the least ``own`` of the digest) and ``group_size``; with a column
+    ``alone`` they may have both already, as ``hot_best`` and ``hot_size``."""
+    w = Window.partitionBy("d1", "d2", *alone)
+    known = lambda c, e: F.coalesce(c, e) if alone else e
+    return (rows.withColumn("group_size", known("hot_size", F.count(F.lit(1)).over(w))).filter("group_size > 1")
+            .withColumn("best", known("hot_best", F.first("own").over(w.orderBy("own")))))
 
 
 def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "sentence",
@@ -485,7 +493,7 @@ def _passages(docs: DataFrame, id_col: str, text_col: str, min_words: int, min_r
     inside = ["id", "doc", "start", "word"]
     rank = [F.col("id").isNull().alias("n"), *map(F.col, inside)]
     apart = rows.filter(F.size("runs") > 0).select(*inside, "starts", "ends", "runs", "d1")
-    common = F.broadcast(_frequent(apart))
+    common = F.col("d1").isin(_named(apart))
 
     def runs(stretch: DataFrame) -> DataFrame:
         place = lambda c: F.col("start") + F.get(c, F.col("i"))
@@ -499,11 +507,11 @@ def _passages(docs: DataFrame, id_col: str, text_col: str, min_words: int, min_r
                         *[F.col(f"best.{c}").alias(f"best_{c}") for c in inside], "group_size"))
 
     # runs of names that occur very often are dealt by their digest, all others by name
-    hot = runs(apart.join(common, "d1", "left_semi"))
+    hot = runs(apart.filter(common))
     hot = hot.select("kind", *inside, "end", "words", F.col("d2").alias("d1"), F.col("d1").alias("d2"))
     whole = rows.filter((F.col("kind") != TEXT) & (F.size("runs") == 0)).select(hot.columns)
     again = later(_later(whole.unionByName(hot), rank, inside))
-    dealt = runs(apart.join(common, "d1", "left_anti").repartition("d1"))
+    dealt = runs(apart.filter(~common).repartition("d1"))
     dealt = _windowed(dealt.withColumn("own", F.struct(*rank)).drop(*inside))
     dealt = later(dealt.select("*", *[F.col(f"own.{c}").alias(c) for c in inside]), "d1", "head")
     dealt = _joined(dealt, ["d1", "doc", "head"], F.lit(False), ["word"])
