@@ -9,7 +9,7 @@ import numpy as np
 from conftest import SF0001
 
 import corpus_pipeline as P
-from tickforge.llm import bpe, catalog, mixing
+from tickforge.llm import bpe, catalog, jaccard_join, mixing
 from tickforge.llm.common import documents, written
 
 
@@ -72,6 +72,36 @@ def test_stages_against_plain_python(spark):
             len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(t.encode()).hexdigest())
 
 
+def test_keys_leave_a_worker_in_small_batches(monkeypatch):
+    """Also those of one long text; none is lost."""
+    monkeypatch.setattr(jaccard_join, "KEYS", 100)
+    sets = [(np.arange(n, dtype=np.uint64) + np.uint64((1 << 63) + 1000 * c), c) for c, n in enumerate([3, 0, 99, 250, 100, 1, 7])]
+    taken = []
+
+    def found():
+        for x in sets:
+            taken.append(x)
+            yield x
+    batches = jaccard_join._few(found())
+    first = next(batches)
+    assert len(taken) < len(sets)          # a batch leaves before all are made
+    batches = [first, *batches]
+    assert all(0 < b.num_rows <= 100 for b in batches)
+    got = [(k, c) for b in batches for k, c in zip(b.column("key").to_pylist(), b.column("c").to_pylist())]
+    assert got == [(k, c) for keys, c in sets for k in keys.view(np.int64).tolist()]
+    assert list(jaccard_join._few([])) == []
+
+
+def test_stages_take_small_batches(spark):
+    catalog.prepare(spark)
+    before = int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch"))
+    for _, stage in P.STAGES:
+        catalog.prepare(spark)
+        stage(spark, documents(spark, SF0001).limit(0), SF0001)
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) == P.BATCH_BYTES < before
+    catalog.prepare(spark)
+
+
 def test_run_and_empty_input(spark):
     catalog.prepare(spark)
     out = P.run(spark, SF0001)

@@ -31,10 +31,10 @@ MODULES = {
 BATCH_BYTES = 8 << 20
 
 
-def prepare(spark: SparkSession) -> None:
+def prepare(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> None:
     """Session settings that the operators rely on."""
     configure(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
 
 
 def _configured(fn: Callable) -> Callable[[SparkSession, str], DataFrame]:

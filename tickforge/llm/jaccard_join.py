@@ -54,6 +54,8 @@ STARS = 3
 #: Most classes of a key whose pairs are listed; keys with more are compared in blocks of about
 #: CHUNK classes, by sketches folded to FOLD bytes.
 LISTED, CHUNK, FOLD = 32, 256, 256
+#: Keys that leave a Python worker at a time.
+KEYS = 1 << 16
 
 
 class Bounds:
@@ -135,11 +137,30 @@ def _features(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, f"id {kind}, idh long, th long, n long, c1 long, c2 long, sketch binary")
 
 
+def _few(found: Iterable[tuple[np.ndarray, int]]) -> Iterator[pa.RecordBatch]:
+    """(key, c) of pairs (keys, c), at most ``KEYS`` rows in a batch: the keys of a batch of texts take more room than the texts."""
+    keys, cs, size = [], [], 0
+    for key, c in found:
+        keys.append(key)
+        cs.append(np.full(len(key), c, np.int64))
+        size += len(key)
+        if size >= KEYS:
+            yield from _cut(keys, cs)
+            keys, cs, size = [], [], 0
+    if size:
+        yield from _cut(keys, cs)
+
+
+def _cut(keys: list[np.ndarray], cs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    t = pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(cs))], names=["key", "c"])
+    for at in range(0, t.num_rows, KEYS):
+        yield t.slice(at, KEYS)
+
+
 def _keys(docs: DataFrame, k: int, bounds: Bounds, hot) -> DataFrame:
     """(key, c) for every range of both bands of every set; of a class in ``hot`` only the id named there."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, int]]:
         for b in batches:
-            keys, cs = [], []
             for idh, words in zip(b.column(0).to_pylist(), word_hashes(b.column(1).to_pylist())):
                 s = shingles(words, k)
                 if not len(s):
@@ -162,13 +183,9 @@ def _keys(docs: DataFrame, k: int, bounds: Bounds, hot) -> DataFrame:
                     empty = hi == lo
                     if empty.sum() < equal:      # then some equal range has members: empty ones need not meet
                         key = key[~empty]
-                    keys.append(key)
-                    cs.append(np.full(len(key), c, np.int64))
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)),
-                                                  pa.array(np.concatenate(cs))], names=["key", "c"])
+                    yield key, c
 
-    return docs.select("idh", "text").mapInArrow(run, "key long, c long")
+    return docs.select("idh", "text").mapInArrow(lambda batches: _few(found(batches)), "key long, c long")
 
 
 def _meetings(keys: DataFrame) -> DataFrame:
