@@ -47,6 +47,24 @@ def test_stretches_that_differ_move_as_one_row(spark):
     assert got.runs > 2 * got.rows
 
 
+def test_all_entries_become_rows_in_one_step(spark):
+    """Runs and whole entries go through one step and one window, and there are as many rows as runs and whole entries."""
+    prepare(spark)
+    shared = _prose(100).split()
+    rows = {}
+    for copies in (10, 20):
+        texts = [" ".join(shared[:k] + [f"edit{k}"] + shared[k + 1:]) for k in range(0, 100, 100 // copies)]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        found = unit_dedup._recurring(docs, "doc_id", "text", 5, 15).filter(F.col("kind") != unit_dedup.TEXT)
+        each = unit_dedup._each(found)
+        rows[copies] = each.count()
+        assert rows[copies] == found.agg(F.sum(F.greatest(F.size("runs"), F.lit(1)))).first()[0]
+        assert all(r.end > r.start for r in each.collect())
+    assert rows[20] < 2.2 * rows[10]
+    plan = unit_dedup.repeated_passages(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate ") == 1
+
+
 def test_by_name_and_by_digest_agree(spark, monkeypatch):
     """Passages of names that occur often (all names of a few rows do) and of others."""
     prepare(spark)

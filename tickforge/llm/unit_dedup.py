@@ -26,12 +26,11 @@ Scale of passages: whole texts are shuffled once, into chunks of about ``CHUNK_B
 hashed many at a time.  A chunk asks,
 with packed arrays dealt by hash, which of its distinct names (of stretches and short units) occur again in the table, and
 whether their stretches differ; a bucket of names gets each name once from a chunk, so no name is hot in it.  Only
-entries whose name occurs again become rows.  A stretch whose runs are settled by themselves moves as one row with its runs'
-digests, by its name; only there it becomes a row for each run, and runs that follow each other are one row again
-before they go back to their text.  Names and digests of more than one row in ``HEAVY`` are named by a frequent-items sketch.  The runs
-of such names are dealt by digest; such digests are settled with map-side combining and broadcast (few by that; counted,
-or an error).  All rows are shuffled once: those of settled digests one by one, all others by digest, settled by a window, whose
-groups are small by that.
+entries whose name occurs again become rows.  A stretch whose runs are settled by themselves leaves its chunk as one row with its
+runs' digests; it is a row for each run where digests are settled, so rows are in proportion to the words of what repeats.
+Digests of more than one row in ``HEAVY`` are named by a frequent-items sketch and settled with map-side combining and broadcast
+(few by that; counted, or an error).  All rows are shuffled once: those of settled digests one by one, all others by digest,
+settled by a window, whose groups are small by that.
 
 Texts are numbered so that those of one id (null: all of them) are in the order of their texts' hashes: chunks are
 cells of a grid, ranges of that hash by hashes of the id.
@@ -148,16 +147,10 @@ def _later(rows: DataFrame, rank: list[Column], inside: list[str]) -> DataFrame:
     # each row once, with what is known of its digest; those of frequent digests are dealt one by one
     dealt = (rows.join(F.broadcast(first), ["d1", "d2"], "left")
              .withColumn("alone", F.when(F.col("hot_size").isNotNull(), F.xxhash64("own"))))
-    return _windowed(dealt, "alone").drop("hot_best", "hot_size", "alone").select("*", *[F.col(f"own.{c}").alias(c) for c in inside])
-
-
-def _windowed(rows: DataFrame, *alone: str) -> DataFrame:
-    """The rows whose digest occurs again, with ``best`` (the least ``own`` of the digest) and ``group_size``; with a column
-    ``alone`` they may have both already, as ``hot_best`` and ``hot_size``."""
-    w = Window.partitionBy("d1", "d2", *alone)
-    known = lambda c, e: F.coalesce(c, e) if alone else e
-    return (rows.withColumn("group_size", known("hot_size", F.count(F.lit(1)).over(w))).filter("group_size > 1")
-            .withColumn("best", known("hot_best", F.first("own").over(w.orderBy("own")))))
+    w = Window.partitionBy("d1", "d2", "alone")
+    return (dealt.withColumn("group_size", F.coalesce("hot_size", F.count(F.lit(1)).over(w))).filter("group_size > 1")
+            .withColumn("best", F.coalesce("hot_best", F.first("own").over(w.orderBy("own"))))
+            .drop("hot_best", "hot_size", "alone").select("*", *[F.col(f"own.{c}").alias(c) for c in inside]))
 
 
 def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "sentence",
@@ -471,15 +464,26 @@ def _arrow_schema(df: DataFrame) -> pa.Schema:
     return to_arrow_schema(df.schema)
 
 
-def _joined(rows: DataFrame, key: list[str], alone: Column, order: list[str]) -> DataFrame:
-    """Rows of a key that follow each other here and in the kept text as one; rows that are ``alone`` stay."""
-    w = Window.partitionBy(*key).orderBy(*order)
+def _each(rows: DataFrame) -> DataFrame:
+    """A row for each run of the stretches that have runs, one for every other; the digest first where it is a run's: a name may
+    have very many runs."""
+    split = F.size("runs") > 0
+    whole = F.array(F.struct(F.lit(0).alias("starts"), (F.col("end") - F.col("start")).alias("ends"), F.col("d2").alias("runs")))
+    part = rows.select("*", F.posexplode(F.when(split, F.arrays_zip("starts", "ends", "runs")).otherwise(whole)).alias("i", "part"))
+    return part.select("kind", "id", "doc", (F.col("start") + F.col("part.starts")).alias("start"), (F.col("word") + F.col("i")).alias("word"),
+                       (F.col("start") + F.col("part.ends")).alias("end"), "words",
+                       F.when(split, F.col("part.runs")).otherwise(F.col("d1")).alias("d1"),
+                       F.when(split, F.col("d1")).otherwise(F.col("part.runs")).alias("d2"))
+
+
+def _joined(rows: DataFrame, alone: Column, order: list[str]) -> DataFrame:
+    """Rows of a text that follow each other here and in the kept text as one; rows that are ``alone`` stay."""
+    w = Window.partitionBy("doc").orderBy(*order)
     off = F.col("best_word") - F.col("word")
     step = rows.withColumn("run", F.sum(F.coalesce(
         (alone | (F.col("word") > F.lag("after").over(w)) | (F.col("best_doc") != F.lag("best_doc").over(w))
          | (off != F.lag(off).over(w))).cast("int"), F.lit(1))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    same = ["kind", "doc", "best_doc", "best_id"]
-    return step.groupBy(*[k for k in key if k not in same], "run", *same).agg(
+    return step.groupBy("run", "kind", "doc", "best_doc", "best_id").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.min("word").alias("word"), F.max("after").alias("after"),
         F.min("best_start").alias("best_start"), F.min("best_word").alias("best_word"),
         F.max("group_size").alias("group_size")).drop("run")
@@ -492,33 +496,13 @@ def _passages(docs: DataFrame, id_col: str, text_col: str, min_words: int, min_r
     base = rows.filter(F.col("kind") == TEXT).select("doc", "id", F.col("d1").alias("rid"))
     inside = ["id", "doc", "start", "word"]
     rank = [F.col("id").isNull().alias("n"), *map(F.col, inside)]
-    apart = rows.filter(F.size("runs") > 0).select(*inside, "starts", "ends", "runs", "d1")
-    common = F.col("d1").isin(_named(apart))
-
-    def runs(stretch: DataFrame) -> DataFrame:
-        place = lambda c: F.col("start") + F.get(c, F.col("i"))
-        return stretch.select("*", F.posexplode("runs").alias("i", "d2")).select(
-            F.lit(RUN).alias("kind"), "id", "doc", place("starts").alias("start"), place("ends").alias("end"),
-            (F.col("word") + F.col("i")).alias("word"), F.lit(n).alias("words"), "d1", "d2", F.col("word").alias("head"))
-
-    def later(settled: DataFrame, *more: str) -> DataFrame:
-        return (settled.filter((F.col("best.doc") != F.col("doc")) | (F.col("best.start") != F.col("start")))
-                .select(*more, "kind", "doc", "start", "end", "word", (F.col("word") + F.col("words")).alias("after"),
-                        *[F.col(f"best.{c}").alias(f"best_{c}") for c in inside], "group_size"))
-
-    # runs of names that occur very often are dealt by their digest, all others by name
-    hot = runs(apart.filter(common))
-    hot = hot.select("kind", *inside, "end", "words", F.col("d2").alias("d1"), F.col("d1").alias("d2"))
-    whole = rows.filter((F.col("kind") != TEXT) & (F.size("runs") == 0)).select(hot.columns)
-    again = later(_later(whole.unionByName(hot), rank, inside))
-    dealt = runs(apart.filter(~common).repartition("d1"))
-    dealt = _windowed(dealt.withColumn("own", F.struct(*rank)).drop(*inside))
-    dealt = later(dealt.select("*", *[F.col(f"own.{c}").alias(c) for c in inside]), "d1", "head")
-    dealt = _joined(dealt, ["d1", "doc", "head"], F.lit(False), ["word"])
+    later = (_later(_each(rows.filter(F.col("kind") != TEXT)), rank, inside)
+             .filter((F.col("best.doc") != F.col("doc")) | (F.col("best.start") != F.col("start")))
+             .select("kind", "doc", "start", "end", "word", (F.col("word") + F.col("words")).alias("after"),
+                     *[F.col(f"best.{c}").alias(f"best_{c}") for c in inside], "group_size"))
 
     # runs that follow each other here and in the kept text are one span; a short unit is a span of its own
-    again = again.unionByName(dealt.select(again.columns)).withColumn("short", F.col("kind") != RUN)
-    spans = _joined(again, ["doc"], F.col("short"), ["short", "word", "start", "kind"])
+    spans = _joined(later.withColumn("short", F.col("kind") != RUN), F.col("short"), ["short", "word", "start", "kind"])
     text = Window.partitionBy("doc").orderBy("word", "start")
     # short sentences go in runs only
     behind = F.max("after").over(text.rowsBetween(Window.unboundedPreceding, -1))
