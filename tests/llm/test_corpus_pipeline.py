@@ -9,7 +9,7 @@ import numpy as np
 from conftest import SF0001
 
 import corpus_pipeline as P
-from tickforge.llm import bpe, catalog, jaccard_join, mixing
+from tickforge.llm import bpe, catalog, common, jaccard_join, mixing
 from tickforge.llm.common import documents, written
 
 
@@ -142,3 +142,13 @@ def test_near_copies_with_null_and_repeated_ids(spark):
         through = written(stages[name](spark, through, SF0001), name)
     assert Counter((r.doc_id, r.text) for r in through.collect())[(5, d)] == 1
     assert {r.text for r in through.collect()} >= {b, d, e}
+
+
+def test_the_driver_collects_its_garbage_between_written_tables(spark, monkeypatch):
+    """What ended steps hold in the driver goes every ``TIDY`` tables, not when its heap is full."""
+    jvm, calls, tidy = spark.sparkContext._jvm, [], common.tidy
+    held = jvm.java.lang.ref.WeakReference(jvm.java.util.ArrayList())
+    monkeypatch.setattr(common, "tidy", lambda s: (calls.append(s), tidy(s)))
+    for _ in range(3 * common.TIDY):
+        common.written(spark.range(1))
+    assert len(calls) == 3 and held.get() is None

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import itertools
 import uuid
 from collections.abc import Sequence
 
@@ -13,6 +15,9 @@ from tickforge.session import scratch_path
 #: The ASCII white space that separates words: space and \\t \\n \\v \\f \\r.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 WHITE_SPACE_CLASS = r"[\x20\x09-\x0D]"
+#: Tables that are written between two collections of the driver's garbage.
+TIDY = 8
+_TABLES = itertools.count(1)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,9 +32,18 @@ def written(df: DataFrame, name: str = "step") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"{spark.sparkContext.applicationId}-{name}-{uuid.uuid4().hex[:12]}")
     df.write.parquet(path)
+    if next(_TABLES) % TIDY == 0:
+        tidy(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Collect the driver's garbage.  Spark drops the shuffles and broadcasts of steps that have ended only when the driver's
+    JVM finds that nothing refers to them; by itself it lets its heap grow to the limit first."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it until no column of ``df`` has it
     (column names clash without regard to case)."""
