@@ -152,3 +152,21 @@ def test_the_driver_collects_its_garbage_between_written_tables(spark, monkeypat
     for _ in range(3 * common.TIDY):
         common.written(spark.range(1))
     assert len(calls) == 3 and held.get() is None
+
+
+def test_language_learns_all_rows_and_decides(spark, monkeypatch):
+    """Every labelled row is learned (also those that op2 holds out), and texts whose language is not known go."""
+    catalog.prepare(spark)
+    rng = np.random.default_rng(3)
+    say = lambda words: " ".join(rng.choice(words, 12))
+    rows = [(i, say(["the", "of", "and", "with", "that"]), "en") for i in range(150)]
+    rows += [(1000 + i, say(["xuq", "quz", "zyx", "juq"]), f"l{i % 3}") for i in range(300)]   # one tongue, three names
+    rows += [(5000, "12 ?", "en"), (5001, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    train = P.lang_id.train
+    monkeypatch.setattr(P.lang_id, "train", lambda d, *a: (seen.append(d.count()), train(d, *a))[1])
+    got = {r.doc_id for r in P.language(spark, docs, None).collect()}
+    assert seen == [len(rows)]
+    assert got >= set(range(150)) and not got & {5000, 5001}
+    assert len([i for i in got if i >= 1000]) < 60

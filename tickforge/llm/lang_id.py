@@ -207,8 +207,8 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 def known_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                    least: float = 0.0) -> DataFrame:
-    """Rows of ``docs`` whose text has a language (not ``und``) with a score of at least ``least``."""
-    model = train(docs.filter(fold(col(id_col), 5) != 0), text_col, lang_col, col(id_col))
+    """Rows of ``docs`` whose text has a language (not ``und``) with a score of at least ``least``, learned from all rows."""
+    model = train(docs, text_col, lang_col, col(id_col))
     if model is None:                   # nothing to learn from: only texts without a letter go
         return docs.filter(has_letter(col(text_col)))
     lang, score = free_name(docs, "_lang_pred"), free_name(docs, "_lang_score")
