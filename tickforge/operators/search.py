@@ -7,7 +7,7 @@ products of all features and the label.  They are summed once for each (fold, ro
 2. rows are dealt into groups of about ``GROUP_ROWS`` within (fold, role) and each group gives one partial sum (a matrix of
    d x d doubles, however many rows it has);
 3. each fold's partial sums are added (pairwise update of means and centred products, which does not cancel), every trial is
-   solved from the training sums by coordinate descent, and its error is read off the validation sums.
+   solved from the training sums by coordinate descent and solves for its signs, and its error is read off the validation sums.
 
 The problem solved is the one MLlib's normal-equation solver states: squares / 2n + regParam * (a * |w| + (1 - a) / 2 * w^2) in
 features and label scaled to unit variance (population), with the penalty divided by the label's deviation; constant
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 #: Rows of a partial sum; sweeps over the weights, and the change below which they stop.
 GROUP_ROWS, SWEEPS, STILL = 4096, 2000, 1e-10
+#: Least l2 beside an l1 penalty (C has a unit diagonal): one answer where features depend on each other exactly.
+LEAST_RIDGE = 1e-9
 
 STATS = "fold int, role string, n long, mean array<double>, products array<double>"
 
@@ -79,15 +81,15 @@ def solve(n: int, mean: np.ndarray, products: np.ndarray, reg: float, mix: float
 
 
 def _descend(c: np.ndarray, q: np.ndarray, l1: float, l2: float) -> np.ndarray:
-    """Least of w'Cw / 2 - q'w + l1 |w| + l2 w^2 / 2 by coordinate descent (C has a unit diagonal)."""
+    """Least of w'Cw / 2 - q'w + l1 |w| + l2 w^2 / 2 (C has a unit diagonal): sweeps of coordinate descent find the weights that are not
+    zero and their signs, a solve gives the least among weights of these signs, and so on until no weight outside wants to move."""
     if l1 == 0:
         return np.linalg.lstsq(c + l2 * np.eye(len(q)), q, rcond=1e-12)[0]
+    l2 = max(l2, LEAST_RIDGE)
     w, gap = np.zeros(len(q)), q.copy()                    # gap = q - Cw
-    every = np.arange(len(q))
-    work = every
     for _ in range(SWEEPS):
         most = 0.0
-        for j in work:
+        for j in range(len(q)):
             z = gap[j] + w[j]
             new = np.sign(z) * max(abs(z) - l1, 0.0) / (1.0 + l2)
             step = new - w[j]
@@ -96,12 +98,40 @@ def _descend(c: np.ndarray, q: np.ndarray, l1: float, l2: float) -> np.ndarray:
                 w[j] = new
                 most = max(most, abs(step))
         if most < STILL:
-            if work is every:
-                break
-            work = every                                   # settled: look at all weights again
-        else:
-            work = np.flatnonzero(w) if work is every else work
-            work = work if len(work) else every
+            break
+        w = _settled(c, q, l1, l2, w)
+        gap = q - c @ w
+        if np.all(np.abs(gap - l2 * w - l1 * np.sign(w)) <= np.where(w != 0, STILL, l1 + STILL)):
+            break
+    return w
+
+
+def _solved(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """x of ax = b (a symmetric); the shortest one where ``a`` is not positive definite."""
+    try:
+        low = np.linalg.cholesky(a)
+        if low.diagonal().min() > 1e-6:
+            return np.linalg.solve(a, b)
+    except np.linalg.LinAlgError:
+        pass
+    return np.linalg.lstsq(a, b, rcond=1e-12)[0]
+
+
+def _settled(c: np.ndarray, q: np.ndarray, l1: float, l2: float, w: np.ndarray) -> np.ndarray:
+    """From ``w`` towards the least among weights of its signs; weights that reach zero on the way stay there."""
+    w = w.copy()
+    while len(at := np.flatnonzero(w)):
+        sign, old = np.sign(w[at]), w[at]
+        new = _solved(c[np.ix_(at, at)] + l2 * np.eye(len(at)), q[at] - l1 * sign)
+        if np.all(new * sign > 0):
+            w[at] = new
+            break
+        far = np.where(new * sign > 0, np.inf, old / np.where(old == new, 1.0, old - new))
+        far[(old == new) & (new * sign <= 0)] = 0.0
+        share = far.min()
+        moved = old + share * (new - old)
+        moved[far <= share] = 0.0
+        w[at] = moved
     return w
 
 
@@ -111,8 +141,13 @@ def squared_error(n: int, mean: np.ndarray, products: np.ndarray, weights: np.nd
     return float(max(0.0, v @ products @ v) + n * (mean @ v - intercept) ** 2)
 
 
-def linear_errors(sums: DataFrame, trials: Sequence[tuple[int, float, float]]) -> DataFrame:
-    """(trial, fold, rmse) of the ``trials`` (number, regParam, elasticNetParam) from the folds' ``sums``."""
+def dealt(rows: DataFrame, folds: int) -> DataFrame:
+    """``rows`` dealt by fold over a number of tasks, so that small folds are not put into one."""
+    return rows.repartition(max(1, min(folds, 8 * rows.sparkSession.sparkContext.defaultParallelism)), "fold")
+
+
+def linear_errors(sums: DataFrame, trials: Sequence[tuple[int, float, float]], folds: int = 200) -> DataFrame:
+    """(trial, fold, rmse) of the ``trials`` (number, regParam, elasticNetParam) from the sums of ``folds`` folds."""
     todo = list(trials)
 
     def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
@@ -129,7 +164,7 @@ def linear_errors(sums: DataFrame, trials: Sequence[tuple[int, float, float]]) -
         return pa.table({"trial": pa.array([k for k, _, _ in todo], pa.int32()),
                          "fold": pa.array([key[0].as_py()] * len(todo), pa.int32()), "rmse": pa.array(errors, pa.float64())})
 
-    return sums.groupBy("fold").applyInArrow(run, "trial int, fold int, rmse double")
+    return dealt(sums, folds).groupBy("fold").applyInArrow(run, "trial int, fold int, rmse double")
 
 
 def design(assembled: DataFrame, label: str) -> DataFrame:
